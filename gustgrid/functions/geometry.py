@@ -7,11 +7,16 @@ A ring is ``array<struct<lon:double,lat:double>>``; its edges are
 from __future__ import annotations
 
 import struct
+import sys
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import Column, functions as F, types as T
+
+# The WKB functions travel with the job, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 RING_TYPE = "array<struct<lon:double,lat:double>>"
 # Rings given as Python lists up to this many edges become one generated expression.
@@ -154,7 +159,7 @@ _POINT, _SRID_FLAG = 1, 0x20000000
 _POINT_HEAD = struct.pack("<BI", 1, _POINT)
 
 
-@F.pandas_udf("struct<lon:double,lat:double>")
+@F.pandas_udf(T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())]))
 def wkb_to_lonlat(wkb: pd.Series) -> pd.DataFrame:
     """Coordinates of WKB or EWKB points of either byte order; anything else is NULL."""
     lon, lat = np.full(len(wkb), np.nan), np.full(len(wkb), np.nan)
@@ -178,7 +183,7 @@ def wkb_to_lonlat(wkb: pd.Series) -> pd.DataFrame:
     return out.where(out.notna(), None)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def lonlat_to_wkb(lon: pd.Series, lat: pd.Series) -> pd.Series:
     """Little-endian WKB points; NULL coordinates give NULL."""
     xy = np.column_stack([lon.to_numpy(dtype="<f8"), lat.to_numpy(dtype="<f8")])

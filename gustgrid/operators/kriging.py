@@ -6,15 +6,20 @@ local systems, a row-wise map over Arrow batches.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gustgrid.operators.neighbors import neighbor_group
 
+# The solver travels with the job, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass(frozen=True)
 class Task:
@@ -32,14 +37,20 @@ class Task:
     trend: bool = False
 
 
-def gather_neighbors(neighbors: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """One row per query with its neighbours in rank order (at most k of them)."""
+def gather_neighbors(
+    neighbors: DataFrame, keys: Sequence[str], fields: Sequence[str], query_cols: Sequence[str] = (), extra: Sequence[Column] = ()
+) -> DataFrame:
+    """One row per query with its neighbours in rank order (at most k of them).
+
+    ``query_cols`` are carried along, ``extra`` are further aggregates over the neighbours.
+    """
     item = F.struct("rank", "t_x", "t_y", "d2", *fields)
-    return (
-        neighbors.groupBy(*neighbor_group(neighbors, keys))
-        .agg(F.sort_array(F.collect_list(item)).alias("nb"), F.first("q_x").alias("q_x"), F.first("q_y").alias("q_y"))
-        .select(*keys, "q_id", "q_x", "q_y", "nb")
+    group = neighbor_group(neighbors, keys)
+    out = neighbors.groupBy(*group).agg(
+        F.sort_array(F.collect_list(item)).alias("nb"),
+        *(F.first(c).alias(c) for c in ("q_x", "q_y", *query_cols)), *extra,
     )
+    return out.drop(*(c for c in group if c not in (*keys, "q_id")))
 
 
 def krige(rows: DataFrame, tasks: Sequence[Task], keep: Sequence[str], maxdist: float | None = None) -> DataFrame:

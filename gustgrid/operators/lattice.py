@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gustgrid.operators.projection import project
+
 # Relative tolerance when a coordinate is matched to a lattice line.
 ON_LINE = 1e-6
 
@@ -133,19 +135,17 @@ def append_points(grid: DataFrame, points: DataFrame, lattice: DataFrame, keys:
     keys are hours, and no data row is touched.
     """
     keys = list(keys)
-    px, py = projection.forward(F.col("p.lon"), F.col("p.lat"))
     listed = points.agg(F.sort_array(F.collect_list(F.struct("name", "lon", "lat"))).alias("pts"))
     named = (
         lattice.select(*keys, "min_x", "min_y")
         .withColumn("pts", listed.scalar())
         .select(*keys, "min_x", "min_y", F.posexplode("pts").alias("_i", "p"))
-        .withColumn("name", F.coalesce(F.col("p.name"), F.concat(F.lit("test_point_"), (F.col("_i") + 1).cast("string"))))
-        .withColumn("x", px).withColumn("y", py)
-        .select(
-            *keys, F.col("name").alias("node_id"),
-            (F.col("x") - F.col("min_x")).alias("x_local"), (F.col("y") - F.col("min_y")).alias("y_local"),
-            "x", "y", F.lit(False).alias("is_orig"), F.lit(True).alias("is_test_point"),
-        )
+        .selectExpr(*keys, "min_x", "min_y", "coalesce(p.name, concat('test_point_', _i + 1)) AS name", "p.lon AS lon", "p.lat AS lat")
+    )
+    named = project(named, projection).select(
+        *keys, F.col("name").alias("node_id"),
+        (F.col("x") - F.col("min_x")).alias("x_local"), (F.col("y") - F.col("min_y")).alias("y_local"),
+        "x", "y", F.lit(False).alias("is_orig"), F.lit(True).alias("is_test_point"),
     )
     return (
         grid.withColumn("node_id", F.col("node").cast("string"))

@@ -76,7 +76,7 @@ def speed_metrics(aligned: DataFrame, keys: Sequence[str]) -> DataFrame:
         _rmse(err).alias("rmse_speed"),
         F.avg(F.abs(err)).alias("mae_speed"),
         F.avg(err).alias("bias_speed"),
-        F.when(n > 1, F.corr(p, o)).alias("corr_speed"),
+        (F.covar_pop(p, o) / F.nullif(F.stddev_pop(p) * F.stddev_pop(o), F.lit(0.0))).alias("corr_speed"),
         (1.0 - F.sum(err * err) / F.nullif(F.var_pop(o) * n, F.lit(0.0))).alias("r2_speed"),
         (spread / F.nullif(F.avg(F.abs(o)), F.lit(0.0))).alias("si_speed"),
         (spread / F.nullif(F.max(F.abs(o)), F.lit(0.0))).alias("si_speed_max"),

@@ -15,7 +15,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gustgrid.session import stage
 
@@ -144,13 +144,14 @@ def knn_join(
     maxdist: float | None = None,
     fold: str | None = None,
     train_cols: Sequence[str] = (),
+    query_cols: Sequence[str] = (),
     unique_locations: bool = False,
     spread: str = "train",
 ) -> DataFrame:
     """The k nearest training rows of each query row with the same keys.
 
-    Returns keys, ``q_id, q_x, q_y, t_id, t_x, t_y``, the ``train_cols``, squared distance ``d2``
-    and ``rank``; ties are broken by training id. ``maxdist`` drops farther rows; ``fold`` names a
+    Returns keys, ``q_id, q_x, q_y, t_id, t_x, t_y``, the ``query_cols`` and ``train_cols``, squared
+    distance ``d2`` and ``rank``; ties are broken by training id. ``maxdist`` drops farther rows; ``fold`` names a
     column of both sides and only rows of *other* folds are eligible. ``spread`` says which side is
     copied into the cell block: the smaller one.
 
@@ -159,7 +160,7 @@ def knn_join(
     """
     keys = list(keys)
     q_fold, t_fold = ([f"{fold} AS q_fold"], [f"{fold} AS t_fold"]) if fold else ([], [])
-    q = query.selectExpr(*keys, f"{query_id} AS q_id", f"CAST({x} AS DOUBLE) AS q_x", f"CAST({y} AS DOUBLE) AS q_y", *q_fold)
+    q = query.selectExpr(*keys, f"{query_id} AS q_id", f"CAST({x} AS DOUBLE) AS q_x", f"CAST({y} AS DOUBLE) AS q_y", *q_fold, *query_cols)
     t = train.selectExpr(*keys, f"{train_id} AS t_id", f"CAST({x} AS DOUBLE) AS t_x", f"CAST({y} AS DOUBLE) AS t_y", *t_fold, *train_cols)
     if not unique_locations:
         t = limit_copies(t, keys, k, fold)
@@ -201,7 +202,7 @@ def knn_join(
         pairs, clustered = q.join(_into_block(t, 3), cell), [*cell, "q_id"]
     else:
         pairs, clustered = _into_block(q, 3).join(t, cell), [*keys, "q_id"]
-    columns = [*keys, "q_id", "q_x", "q_y", "t_id", "t_x", "t_y", *train_cols]
+    columns = [*keys, "q_id", "q_x", "q_y", *query_cols, "t_id", "t_x", "t_y", *train_cols]
     where = "(_bound2 IS NULL OR d2 <= _bound2)"
     if maxdist is not None:
         where += f" AND d2 <= {limit2}"
@@ -269,24 +270,31 @@ def idw_within(
     return query.select(*keys, F.col(query_id).alias("q_id")).join(found, [*keys, "q_id"], "left")
 
 
+def idw_aggregate(value: str, maxdist: float | None = None) -> Column:
+    """Inverse squared distance mean of the grouped neighbours; an exact hit takes its value."""
+    use = F.lit(True) if maxdist is None else F.col("d2") <= float(maxdist) ** 2
+    z = F.col(value)
+    w = F.when(use & (F.col("d2") > 0) & z.isNotNull(), 1.0 / F.col("d2"))
+    return F.coalesce(F.avg(F.when(use & (F.col("d2") == 0), z)), F.sum(w * z) / F.sum(w))
+
+
 def idw_nearest(neighbors: DataFrame, keys: Sequence[str], values: Sequence[str], maxdist: float | None = None) -> DataFrame:
     """Inverse squared distance weighting over the rows of :func:`knn_join`."""
-    use = F.lit(True) if maxdist is None else F.col("d2") <= float(maxdist) ** 2
-    w = F.when(use & (F.col("d2") > 0), 1.0 / F.col("d2"))
-    aggs = []
-    for v in values:
-        z = F.col(v)
-        hit = F.avg(F.when(use & (F.col("d2") == 0), z))
-        aggs.append(F.coalesce(hit, F.sum(w * z) / F.sum(F.when(z.isNotNull(), w))).alias(v))
+    aggs = [idw_aggregate(v, maxdist).alias(v) for v in values]
     return neighbors.groupBy(*neighbor_group(neighbors, keys)).agg(*aggs).select(*keys, "q_id", *values)
 
 
+def neighbor_aggregates(cutoff: float | None = None) -> list[Column]:
+    inside = F.lit(1) if not cutoff or cutoff <= 0 else F.when(F.col("d2") <= float(cutoff) ** 2, 1)
+    return [F.sqrt(F.min("d2")).alias("nearest_distance"), F.count(inside).cast("int").alias("neighbors_used")]
+
+
 def neighbor_stats(neighbors: DataFrame, keys: Sequence[str], cutoff: float | None = None) -> DataFrame:
     """Nearest distance and how many of the k nearest lie within ``cutoff`` (all if it is not positive)."""
-    inside = F.lit(1) if not cutoff or cutoff <= 0 else F.when(F.col("d2") <= float(cutoff) ** 2, 1)
-    return neighbors.groupBy(*neighbor_group(neighbors, keys)).agg(
-        F.sqrt(F.min("d2")).alias("nearest_distance"), F.count(inside).cast("int").alias("neighbors_used")
-    ).select(*keys, "q_id", "nearest_distance", "neighbors_used")
+    return (
+        neighbors.groupBy(*neighbor_group(neighbors, keys)).agg(*neighbor_aggregates(cutoff))
+        .select(*keys, "q_id", "nearest_distance", "neighbors_used")
+    )
 
 
 def neighbor_group(neighbors: DataFrame, keys: Sequence[str]) -> list[str]:

@@ -40,7 +40,7 @@ def ols_topo(df: DataFrame, keys: Sequence[str], values: Sequence[str], topo="to
         slope = F.coalesce(F.covar_pop(topo, v) / F.nullif(F.var_pop(t), F.lit(0.0)), F.lit(0.0))
         aggs += [
             slope.alias(f"{v}_t1"), (F.avg(v) - slope * F.avg(t)).alias(f"{v}_t0"),
-            F.pow(F.corr(topo, v), F.lit(2.0)).alias(f"{v}_r2"),
+            (F.pow(F.covar_pop(topo, v), F.lit(2.0)) / F.nullif(F.var_pop(t) * F.var_pop(v), F.lit(0.0))).alias(f"{v}_r2"),
         ]
     return df.groupBy(*keys).agg(*aggs)
 

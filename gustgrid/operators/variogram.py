@@ -61,7 +61,7 @@ def empirical_variogram(
             F.expr(f"sum({square})").alias(f"g_{v}"),
         ]
     rows = ", ".join(
-        f"named_struct('var', '{v}', 'np', np_{v}, 'dist', d_{v} / np_{v}, 'gamma', g_{v} / (2 * np_{v}))" for v in values
+        f"named_struct('var', '{v}', 'np', np_{v}, 'dist', d_{v} / nullif(np_{v}, 0), 'gamma', g_{v} / nullif(2 * np_{v}, 0))" for v in values
     )
     return (
         pairs.groupBy(*keys, "bin").agg(*sums)
