@@ -69,8 +69,8 @@ def region_label(region: Column) -> Column:
 def pick_region(regions: Column, name: str | None = None) -> Column:
     """First region, or the first with this name; an error if there is none."""
     found = regions if name is None else F.filter(regions, lambda r: region_label(r) == name)
-    missing = F.raise_error(F.lit(f"region not found: {name or 'any'}"))
-    return F.coalesce(F.try_element_at(found, F.lit(1)), missing.cast("string").cast("void"))
+    first = F.try_element_at(found, F.lit(1))
+    return F.when(first.isNotNull(), first).otherwise(F.raise_error(F.lit(f"region not found: {name or 'any'}")))
 
 
 def add_region(regions: Column, name: str, ring: Sequence) -> Column:
