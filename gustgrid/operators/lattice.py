@@ -180,5 +180,15 @@ def assemble_grid(grid: DataFrame, data: DataFrame, predictions: DataFrame, keys
     )
 
 
+def output_counts(nodes: DataFrame, clipped_grid: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Input rows per key, and nodes of the clipped grid that are not originals."""
+    made = clipped_grid.groupBy(*keys).agg(F.count_if(~F.col("is_orig")).cast("int").alias("interpolated_count"))
+    return (
+        nodes.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("input_count"))
+        .join(made, list(keys), "left")
+        .withColumn("interpolated_count", F.coalesce("interpolated_count", F.lit(0)))
+    )
+
+
 def source_tag(is_orig: Column, is_test_point: Column) -> Column:
     return F.when(is_test_point, "test_point").when(is_orig, "original").otherwise("interpolated")

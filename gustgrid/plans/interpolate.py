@@ -22,7 +22,7 @@ from gustgrid.functions.geometry import in_box, in_ring, python_bounds
 from gustgrid.functions.times import parse_timestamp
 from gustgrid.functions.wind import dir_from_uv, speed_from_uv, uv_from_speed_dir
 from gustgrid.operators.kriging import Task, gather_neighbors, krige
-from gustgrid.operators.lattice import append_points, assign_node_id, infer_lattice, refine_grid, source_tag
+from gustgrid.operators.lattice import append_points, assign_node_id, infer_lattice, output_counts, refine_grid, source_tag
 from gustgrid.operators.metrics import cv_score
 from gustgrid.operators.neighbors import idw_aggregate, idw_within, knn_join, neighbor_aggregates
 from gustgrid.operators.projection import project, unproject
@@ -238,7 +238,7 @@ def interpolate(
     sub = data.filter("is_sub")
 
     # Trends: both on the subsample for the variograms, topography on all rows for prediction.
-    topo_all = stage(ols_topo(data, keys, VARS).join(data.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("input_count")), keys), "trend")
+    topo_all = stage(ols_topo(data, keys, VARS), "trend")
     coefs = stage(ols_xy(sub, keys, VARS).join(ols_topo(sub, keys, VARS), keys), "coefs")
     residuals = add_residuals(sub.join(coefs, keys), VARS, "x_local", "y_local")
     names = [f"{v}_{r}" for v in VARS for r in ("res", "tres")]
@@ -265,8 +265,7 @@ def interpolate(
     spacing = usable.select(*keys, (F.col("base_res") / float(p.res_factor)).alias("spacing"))
     grid = grid.join(spacing, keys)
 
-    counts = grid.groupBy(*keys).agg(F.count_if(~F.col("is_orig")).cast("int").alias("interpolated_count"))
-    diagnostics = stage(_diagnostics(usable, topo_all, chosen, held, counts, keys), "diagnostics")
+    diagnostics = stage(_diagnostics(output_counts(data, grid, keys), chosen, held, keys), "diagnostics")
     carry = ["x", "y", "x_local", "y_local", "lon", "lat", "spacing", "is_orig", "is_test_point"]
     predicted = predict_grid(grid, data, chosen, rk_models, topo_all, keys, p, carry)
     return Interpolation(
@@ -274,7 +273,7 @@ def interpolate(
     )
 
 
-def _diagnostics(usable, topo_all, chosen, held, counts, keys) -> DataFrame:
+def _diagnostics(counts, chosen, held, keys) -> DataFrame:
     """Per key: counts, chosen models with scores and parameters, hold-out scores."""
     models = chosen.join(held.withColumnsRenamed({"rsr": "test_rsr", "bias": "test_bias"}), [*keys, "var"], "left")
     wide = []
@@ -288,12 +287,7 @@ def _diagnostics(usable, topo_all, chosen, held, counts, keys) -> DataFrame:
             pick("model").alias(f"cv_model_{v}"), pick("rsr").alias(f"cv_rsr_{v}"), pick("bias").alias(f"cv_bias_{v}"),
             pick("model").alias(f"test_model_{v}"), pick("test_rsr").alias(f"test_rsr_{v}"), pick("test_bias").alias(f"test_bias_{v}"),
         ]
-    return (
-        usable.select(*keys).join(topo_all.select(*keys, "input_count"), keys)
-        .join(models.groupBy(*keys).agg(*wide), keys, "left")
-        .join(counts, keys, "left")
-        .withColumn("interpolated_count", F.coalesce("interpolated_count", F.lit(0)))
-    )
+    return counts.join(models.groupBy(*keys).agg(*wide), keys, "left")
 
 
 def _status(lattice, diagnostics, rk_models, keys) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from gustgrid.functions import crs, geometry as geo, text as tx, times as tm, wind
@@ -25,9 +23,6 @@ def stamp(c):
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
-STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S')"
-
-
 def query(name: str, sql: str | None = None, *views: str):
     """Register a query with its oracle."""
     def add(fn):
