@@ -100,6 +100,8 @@ class _Neighbors:
             self.mask = self.mask & (self.columns["d2"] <= float(maxdist) ** 2)
         self.dx = self.columns["t_x"] - _numbers(batch.column("q_x"))[:, None]
         self.dy = self.columns["t_y"] - _numbers(batch.column("q_y"))[:, None]
+        # Distances are the same for every variable and model of the batch.
+        self.apart = np.hypot(self.dx[:, :, None] - self.dx[:, None, :], self.dy[:, :, None] - self.dy[:, None, :])
 
 
 def _corr(model: str, h: np.ndarray, a: np.ndarray) -> np.ndarray:
@@ -127,12 +129,13 @@ def _solve_task(block: _Neighbors, params: pa.StructArray, task: Task) -> tuple[
         pick = np.flatnonzero(models == model)
         if len(pick):
             pred[pick], var[pick] = solve_local(
-                block.dx[pick], block.dy[pick], z[pick], used[pick], model, nugget[pick], psill[pick], rng[pick], task.drift
+                block.dx[pick], block.dy[pick], block.apart[pick], z[pick], used[pick], model,
+                nugget[pick], psill[pick], rng[pick], task.drift,
             )
     return pred, var
 
 
-def solve_local(dx, dy, z, used, model, nugget, psill, rng, drift):
+def solve_local(dx, dy, apart, z, used, model, nugget, psill, rng, drift):
     """Kriging systems of a batch. Unused neighbours become identity rows with zero weight.
 
     Coordinates are relative to the target and scaled by the neighbourhood's radius, which keeps
@@ -149,9 +152,8 @@ def solve_local(dx, dy, z, used, model, nugget, psill, rng, drift):
     ok = used.sum(axis=1) >= m
     ok &= np.linalg.eigvalsh(gram)[:, 0] > 1e-9 * np.maximum(np.trace(gram, axis1=1, axis2=2), 1e-300)
 
-    h = np.sqrt((dx[:, :, None] - dx[:, None, :]) ** 2 + (dy[:, :, None] - dy[:, None, :]) ** 2)
-    cov = psill[:, None, None] * _corr(model, h, rng[:, None, None])
-    cov += np.where(h == 0, nugget[:, None, None], 0.0)
+    cov = psill[:, None, None] * _corr(model, apart, rng[:, None, None])
+    cov += np.where(apart == 0, nugget[:, None, None], 0.0)
     both = used[:, :, None] & used[:, None, :]
     cov = np.where(both, cov, 0.0) + np.where(used, 0.0, 1.0)[:, :, None] * np.eye(k)
     h0 = np.sqrt(dx**2 + dy**2)

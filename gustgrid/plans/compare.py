@@ -26,7 +26,7 @@ PLAN_SCHEMA = ", ".join(f"{f} string" for f in PLAN_FIELDS)
 
 def read_plan(spark: SparkSession, path: str) -> DataFrame:
     """Entries of a plan file: an array of objects, one object, or an object with ``buoys``."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     wrapped = F.from_json("value", f"buoys array<struct<{PLAN_FIELDS[0]}:string>>")
     many = F.when(F.size(F.col("w.buoys")) > 0, F.get_json_object("value", "$.buoys")).when(
         F.substring(F.trim("value"), 1, 1) == "[", F.col("value")

@@ -63,7 +63,7 @@ def rings_from_geojson(texts: DataFrame, text: str = "value", name: Column | Non
 def read_regions(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
     """Regions of GeoJSON files, named after the file unless a name is given."""
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
-    texts = spark.read.option("wholetext", True).text(path)
+    texts = spark.read.text(path, wholetext=True)
     return rings_from_geojson(texts.select("value", stem.alias("_stem")), name=F.lit(name) if name else F.col("_stem"))
 
 
