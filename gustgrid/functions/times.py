@@ -6,16 +6,13 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-# Accepted timestamp layouts, most specific first.
+# Accepted timestamp layouts, the usual one first (a failed try is not free).
 TIMESTAMP_PATTERNS = (
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyyMMddHHmmss",
+    "yyyy-MM-dd['T'][ ]HH:mm:ss[.SSSSSS][.SSS][XXX]",
     "yyyy-MM-dd",
-    "yyyy/MM/dd",
     "yyyyMMdd",
+    "yyyyMMddHHmmss",
+    "yyyy/MM/dd[ HH:mm:ss]",
 )
 
 

@@ -10,6 +10,8 @@ from gustgrid.operators.projection import project
 
 # Relative tolerance when a coordinate is matched to a lattice line.
 ON_LINE = 1e-6
+# Bound of a point list, which every hour carries along.
+MAX_POINTS = 10000
 
 
 def anchor_offset(df: DataFrame, keys: Sequence[str], x="x", y="y", proj_x="proj_x", proj_y="proj_y") -> DataFrame:
@@ -132,10 +134,14 @@ def append_points(grid: DataFrame, points: DataFrame, lattice: DataFrame, keys:
     """Add named points (name, lon, lat) to the grid of every key.
 
     Each key's lattice row carries the whole point list: the list is a handful of stations, the
-    keys are hours, and no data row is touched.
+    keys are hours, and no data row is touched. More than ``MAX_POINTS`` points are an error.
     """
     keys = list(keys)
-    listed = points.agg(F.sort_array(F.collect_list(F.struct("name", "lon", "lat"))).alias("pts"))
+    # One point more than allowed is read, so that a wrong table cannot fill the list.
+    few = points.select("name", "lon", "lat").limit(MAX_POINTS + 1)
+    too_many = F.raise_error(F.lit(f"more than {MAX_POINTS} points"))
+    every = F.sort_array(F.collect_list(F.struct("name", "lon", "lat")))
+    listed = few.agg(F.when(F.count(F.lit(1)) <= MAX_POINTS, every).otherwise(too_many).alias("pts"))
     named = (
         lattice.select(*keys, "min_x", "min_y")
         .withColumn("pts", listed.scalar())

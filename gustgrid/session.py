@@ -56,3 +56,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/gustgrid-{app}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_stages(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; results that read them must be written first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/gustgrid-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
