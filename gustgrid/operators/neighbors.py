@@ -155,8 +155,8 @@ def knn_join(
     column of both sides and only rows of *other* folds are eligible. ``spread`` says which side is
     copied into the cell block: the smaller one.
 
-    Two small results reach the driver: the extent of the training rows and the list of levels in
-    use (at most a few dozen). The queries with their level are written to the shared folder once.
+    Six numbers (extent and density of the training rows) reach the driver. The queries with their
+    level, and the levels in use per key, are written to the shared folder once.
     """
     keys = list(keys)
     q_fold, t_fold = ([f"{fold} AS q_fold"], [f"{fold} AS t_fold"]) if fold else ([], [])
@@ -189,11 +189,10 @@ def knn_join(
         )
     )
     q = stage(_at_level(q), "knn-queries")
-    # Training rows are only bucketed at the levels some query asked for.
-    used = sorted(r[0] for r in q.select("_l").distinct().collect())
-    t = _at_level(t.selectExpr(
-        *keys, "t_id", "t_x", "t_y", *(["t_fold"] if fold else []), *train_cols, "_fx", "_fy",
-        f"explode(array({', '.join(map(str, used)) or 0})) AS _l",
+    # Training rows are only bucketed at the levels some query of their own keys asked for.
+    asked = stage(q.groupBy(*keys).agg(F.collect_set("_l").alias("_ls")), "knn-levels")
+    t = _at_level(t.join(asked, keys).selectExpr(
+        *keys, "t_id", "t_x", "t_y", *(["t_fold"] if fold else []), *train_cols, "_fx", "_fy", "explode(_ls) AS _l",
     ))
 
     cell = [*keys, "_l", "_cx", "_cy"]
