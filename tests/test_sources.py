@@ -164,3 +164,26 @@ def test_stream_catalogs_new_hours_once(spark, tmp_path):
     hours.write_hourly(hour_rows(spark, day="03", n_hours=1), root)
     catalog_stream(spark, root, schema, table, state).awaitTermination(120)
     assert {r.item_id for r in spark.read.parquet(table).collect()} == {"20250102T00", "20250102T01", "20250103T00"}
+
+
+def test_cubes_are_ingested_and_grids_published(spark, tmp_path):
+    from gustgrid.plans.publish import ingest_cubes, publish_grid
+
+    cubes = spark.sql(
+        "SELECT make_timestamp(2025, 1, 2, CAST(id AS INT), 0, 0) AS time, array(0D, 4D, 8D) AS x, array(10D, 14D) AS y,"
+        " transform(sequence(0, 5), i -> 42D + i) AS lat, transform(sequence(0, 5), i -> -9D + i) AS lon,"
+        " transform(sequence(0, 5), i -> CAST(90 AS FLOAT)) AS dir, transform(sequence(0, 5), i -> CAST(i + id AS FLOAT)) AS mod,"
+        " transform(sequence(0, 5), i -> CAST(i AS FLOAT)) AS topo FROM range(2)")
+    root = str(tmp_path / "winds")
+    ingest_cubes(cubes, root, "wrf4km")
+    rows = hours.scan_partitions(spark, root, "2025-01-02", "01").withColumn("p", geo.wkb_to_lonlat("geometry")).orderBy("wind_speed").collect()
+    assert [(r.x, r.y, r.wind_speed, r.p.lon) for r in rows] == [(4.0 * (i % 3), 10.0 + 4 * (i // 3), i + 1.0, -9.0 + i) for i in range(6)]
+    assert rows[0].timestamp == "2025-01-02T01:00:00Z" and rows[0].source_model == "wrf4km" and "lat" not in rows[0].asDict()
+    grid = spark.sql("SELECT '2025-01-02' AS date, '05' AS hour, 'a' AS node_id, -8.5D AS lon, 43D AS lat, 1D AS u")
+    side = spark.sql("SELECT '2025' AS year, '01' AS month, '02' AS day, '05' AS hour, '+proj=utm +zone=29' AS crs, 'wrf4km' AS source_model")
+    out = str(tmp_path / "out")
+    publish_grid(grid, out, side)
+    row = hours.scan_partitions(spark, out).join(hours.read_sidecars(spark, out).select(*hours.HOUR_KEYS, "crs"), list(hours.HOUR_KEYS), "left").first()
+    assert (row.node_id, row.hour, row.month, row.crs) == ("a", "05", "01", "+proj=utm +zone=29") and len(row.geometry) == 21
+    checked = catalog.verify_dataset(hours.scan_partitions(spark, out), list(hours.HOUR_KEYS), hours.read_sidecars(spark, out)).first()
+    assert checked.rows == 1 and checked.has_sidecar
