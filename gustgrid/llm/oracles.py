@@ -22,4 +22,22 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesc
        s.doc_id = least(s.doc_id, coalesce(low.b, s.doc_id)) AS kept
 FROM sets s LEFT JOIN low ON low.a = s.doc_id"""
 
-ORACLES: dict[str, str] = {"op4_setsketch_near_dedup": OP4}
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight,
+             CAST(source_size AS DOUBLE) * 3e0 AS cap FROM s),
+l AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE)
+        - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0e0))
+        / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+t AS (SELECT source, source_size, coalesce(least(cap, weight * (max(CASE WHEN level * weight < cap THEN level END) OVER ())), cap) AS target FROM l),
+r AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM d)
+SELECT r.doc_id, r.size, t.source_size, t.target,
+  CAST(r.size * (CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END
+    + CASE WHEN 2 * r.run - r.size < 2 * (t.target - (CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END) * t.source_size)
+      THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source"""
+
+ORACLES: dict[str, str] = {"op4_setsketch_near_dedup": OP4, "op10_water_fill_mix": OP10}

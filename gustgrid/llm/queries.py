@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gustgrid.llm.common import table
 from gustgrid.llm.setsketch import near_duplicates
+from gustgrid.llm.water_fill import mix
 
 
 def op4_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +16,13 @@ def op4_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, threshold=0.8)
 
 
+def op10_water_fill_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words each document gives to a mix of sources weighing 1, 2, 3, at most three epochs (:mod:`water_fill`)."""
+    return mix(table(spark, sf_dir, "documents"), max_epochs=3.0).selectExpr(
+        "doc_id", "_size AS size", "_source_size AS source_size", "_target AS target", "_size * _copies AS taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
+    "op10_water_fill_mix": op10_water_fill_mix,
 }
