@@ -6,6 +6,20 @@ from __future__ import annotations
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPLIT = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 
+OP3 = (r"""
+WITH d AS (SELECT doc_id, regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (SELECT item_id, regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+cut AS (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 13, 0) + 2)) AS a FROM i WHERE len(ws) > 0),
+win AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, array_to_string(ws[a:a+12], ' ') AS w, least(13, len(ws)) AS n FROM cut),
+lens AS (SELECT DISTINCT n FROM win),
+place AS (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS a FROM d, lens WHERE len(ws) >= n),
+hit AS (SELECT p.doc_id, p.a, p.n, win.item FROM place p JOIN win ON win.n = p.n AND win.w = array_to_string(p.ws[p.a:p.a+p.n-1], ' ')),
+words AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(a, a + n)) AS x FROM hit) GROUP BY doc_id),
+named AS (SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.ws) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)""").replace("{low}", _LOWERED)
+
 OP4 = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_SPLIT.format(text=_LOWERED)} AS ws FROM documents),
 sets AS (
@@ -40,4 +54,4 @@ SELECT r.doc_id, r.size, t.source_size, t.target,
       THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source"""
 
-ORACLES: dict[str, str] = {"op4_setsketch_near_dedup": OP4, "op10_water_fill_mix": OP10}
+ORACLES: dict[str, str] = {"op3_aho_corasick_decontamination": OP3, "op4_setsketch_near_dedup": OP4, "op10_water_fill_mix": OP10}

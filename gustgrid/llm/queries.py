@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
 from gustgrid.llm.common import table
+from gustgrid.llm.decontam import contamination
 from gustgrid.llm.setsketch import near_duplicates
+from gustgrid.llm.token_dac import read_documents, write_tokens
 from gustgrid.llm.water_fill import mix
+from gustgrid.session import shared_dir
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_aho_corasick_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside a 13-word window of a benchmark item (:mod:`decontam`)."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    return found.selectExpr(
+        "doc_id", "n_words", "n_hit", "CAST(size(items) AS BIGINT) AS n_items", "sha2(array_join(items, ','), 256) AS items_sha256",
+        "n_hit > 0 AND 20 * n_hit >= n_words AS contaminated")
 
 
 def op4_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +31,13 @@ def op4_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, threshold=0.8)
 
 
+def op9_directly_addressable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all documents as token files and reads them back (:mod:`token_dac`)."""
+    out = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    write_tokens(table(spark, sf_dir, "documents"), out, TOKENIZER)
+    return read_documents(spark, out)
+
+
 def op10_water_fill_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to a mix of sources weighing 1, 2, 3, at most three epochs (:mod:`water_fill`)."""
     return mix(table(spark, sf_dir, "documents"), max_epochs=3.0).selectExpr(
@@ -23,6 +45,8 @@ def op10_water_fill_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_aho_corasick_decontamination": op3_aho_corasick_decontamination,
     "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
+    "op9_directly_addressable_tokens": op9_directly_addressable_tokens,
     "op10_water_fill_mix": op10_water_fill_mix,
 }
