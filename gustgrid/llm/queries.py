@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gustgrid.llm.common import table
 from gustgrid.llm.decontam import contamination
+from gustgrid.llm.mcd_rules import BASE, quality_rules
+from gustgrid.llm.rff_quality import quality_scores
 from gustgrid.llm.setsketch import near_duplicates
 from gustgrid.llm.token_dac import read_documents, write_tokens
 from gustgrid.llm.water_fill import mix
@@ -31,6 +33,16 @@ def op4_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, threshold=0.8)
 
 
+def op7_mcd_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and robust outliers by language and source (:mod:`mcd_rules`)."""
+    return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", *BASE, "base_failed", "kept", "distance")
+
+
+def op8_random_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality scores; a fifth of the ids never trains (:mod:`rff_quality`)."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op9_directly_addressable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents as token files and reads them back (:mod:`token_dac`)."""
     out = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
@@ -47,6 +59,8 @@ def op10_water_fill_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_aho_corasick_decontamination": op3_aho_corasick_decontamination,
     "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
+    "op7_mcd_quality_rules": op7_mcd_quality_rules,
+    "op8_random_fourier_quality": op8_random_fourier_quality,
     "op9_directly_addressable_tokens": op9_directly_addressable_tokens,
     "op10_water_fill_mix": op10_water_fill_mix,
 }
