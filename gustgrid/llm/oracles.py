@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from gustgrid.llm.license_diag import COVER, NEAR, templates
+from gustgrid.llm.url_rules import MIN_CONFIDENCE, MIN_LIFT, MIN_ROWS, MIN_SUPPORT, RULES
+
 # Words between white space, after lower-casing A-Z only.
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPLIT = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
@@ -54,4 +57,66 @@ SELECT r.doc_id, r.size, t.source_size, t.target,
       THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source"""
 
-ORACLES: dict[str, str] = {"op3_aho_corasick_decontamination": OP3, "op4_setsketch_near_dedup": OP4, "op10_water_fill_mix": OP10}
+
+def _op1() -> str:
+    """All token subsets of the labelled pages, counted one by one."""
+    cases, verdicts = "", ""
+    for verdict, rule in sorted(RULES, key=lambda r: -len(r[1])):
+        host, _, path = rule.partition("/")
+        fits = f"(host = '{host}' OR host LIKE '%.{host}') AND starts_with(path, '/{path}')"
+        cases, verdicts = cases + f" WHEN {fits} THEN '{rule}'", verdicts + f" WHEN {fits} THEN '{verdict}'"
+    text = r"""
+WITH u AS (
+  SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^(.*?)://([^/?#]*)([^?#]*)([?][^#]*)?(#.*)?$', ['scheme', 'host', 'path', 'query', 'fragment']) AS p FROM pages),
+parts AS (
+  SELECT page_id, translate(p.host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, p.path AS path, p.scheme AS scheme, p.query AS query, p.fragment AS fragment FROM u),
+tokens AS (
+  SELECT page_id, host, path, list_sort(list_distinct(list_concat(
+    CASE WHEN host = '' THEN [] ELSE list_concat(['s:' || lower(scheme)], list_transform(string_split(host, '.'), lambda x: 'h:' || x)) END,
+    list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: 'p:' || regexp_replace(x, '[0-9]+', '0', 'g')),
+    list_transform(list_filter(string_split(substr(query, 2), '&'), lambda x: x <> ''), lambda x: 'q:' || string_split(x, '=')[1]),
+    CASE WHEN fragment = '' THEN [] ELSE ['f:'] END))) AS tokens FROM parts),
+y AS (SELECT doc_id, max(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS blocked FROM labels
+      WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id),
+l AS (SELECT tokens, blocked FROM tokens JOIN y ON y.doc_id = try_cast(nullif(regexp_extract(path, '/([0-9]+)', 1), '') AS BIGINT) WHERE len(tokens) > 0),
+n AS (SELECT count(*) AS total, count(*) FILTER (blocked) AS bad FROM l),
+m AS (SELECT tokens, blocked, unnest(range(1, CAST(pow(2, len(tokens)) AS BIGINT))) AS mask FROM l),
+sub AS (SELECT list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS a, blocked FROM m),
+rules AS (
+  SELECT a, count(*) FILTER (blocked) AS support, count(*) FILTER (blocked) / CAST(count(*) AS DOUBLE) AS confidence FROM sub, n GROUP BY a, total
+  HAVING count(*) FILTER (blocked) >= ceil(least(1e0, greatest({support}, {rows} / CAST(total AS DOUBLE))) * total)),
+shorter AS (SELECT a, unnest(list_transform(a, lambda x: list_filter(a, lambda z: z <> x))) AS part, confidence FROM rules WHERE len(a) > 1),
+beaten AS (SELECT DISTINCT s.a FROM shorter s JOIN rules r ON r.a = s.part WHERE r.confidence >= s.confidence),
+kept AS (SELECT rules.* FROM rules, n WHERE a NOT IN (SELECT a FROM beaten) AND support >= {rows} AND confidence >= greatest({confidence}, {lift} * bad / total)),
+best AS (SELECT page_id, max(confidence) AS confidence FROM tokens JOIN kept ON list_has_all(tokens, a) GROUP BY page_id)
+SELECT t.page_id, host, path, CASE{cases} END AS rule,
+       coalesce(CASE{verdicts} END, CASE WHEN b.confidence IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, b.confidence
+FROM tokens t LEFT JOIN best b USING (page_id)"""
+    for name, value in (("support", f"{MIN_SUPPORT}"), ("rows", MIN_ROWS), ("confidence", MIN_CONFIDENCE), ("lift", MIN_LIFT), ("cases", cases), ("verdicts", verdicts)):
+        text = text.replace("{" + name + "}", str(value))
+    return text
+
+
+def _op6() -> str:
+    rows = ", ".join(f"({t}, '{label}', {n}, {str(phrase).lower()}, {p}, '{gram}')" for t, label, n, phrase, p, gram in templates())
+    return (r"""
+WITH t(template, label, length, phrase, tpos, gram) AS (VALUES {rows}),
+d AS (SELECT doc_id, regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+g AS (SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM d),
+h AS (SELECT doc_id, t.*, i - 1 - tpos AS diagonal FROM g JOIN t ON t.gram = ws[i] || ' ' || ws[i+1]),
+v AS (SELECT doc_id, template, label, length, diagonal, list(DISTINCT tpos) AS tpos, bool_or(phrase) AND count(*) = length - 1 AS base FROM h
+      GROUP BY doc_id, template, label, length, diagonal),
+w AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > {near} THEN 1 ELSE 0 END AS fresh FROM v),
+x AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM w),
+s AS (SELECT doc_id, template, label, length, span, len(list_distinct(flatten(list(tpos)))) / CAST(length - 1 AS DOUBLE) AS share,
+        count(*) FILTER (base) AS n_base, min(diagonal) FILTER (base) AS first, max(diagonal) FILTER (base) AS last FROM x GROUP BY doc_id, template, label, length, span),
+r AS (SELECT doc_id, CAST(sum(n_base) AS BIGINT) AS n_base, min(first) AS first_word, max(last) AS last_word,
+        array_to_string(list_sort(list(DISTINCT label) FILTER (n_base > 0)), ',') AS base_labels,
+        array_to_string(list_sort(list(DISTINCT label) FILTER (n_base > 0 OR share >= {cover})), ',') AS labels,
+        max(share) FILTER (share >= {cover}) AS score FROM s GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0e0) AS score
+FROM d LEFT JOIN r USING (doc_id)""").replace("{rows}", rows).replace("{low}", _LOWERED).replace("{near}", str(NEAR)).replace("{cover}", str(COVER))
+
+
+ORACLES: dict[str, str] = {"op1_association_url_filter": _op1(), "op6_diagonal_license_scan": _op6(), "op3_aho_corasick_decontamination": OP3, "op4_setsketch_near_dedup": OP4, "op10_water_fill_mix": OP10}

@@ -6,20 +6,32 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gustgrid.llm.common import table
 from gustgrid.llm.decontam import contamination
+from gustgrid.llm.license_diag import license_scan
 from gustgrid.llm.mcd_rules import BASE, quality_rules
 from gustgrid.llm.rff_quality import quality_scores
 from gustgrid.llm.setsketch import near_duplicates
 from gustgrid.llm.token_dac import read_documents, write_tokens
+from gustgrid.llm.url_rules import judge_urls, mine_rules, url_parts
 from gustgrid.llm.water_fill import mix
 from gustgrid.session import shared_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_association_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page urls (:mod:`url_rules`). The first number of a page's path is the document it shows, so
+    that document's labels are the page's: of low quality or toxic is blocked."""
+    parts = url_parts(table(spark, sf_dir, "pages"))
+    labels = table(spark, sf_dir, "labels").filter("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").groupBy("doc_id").agg(
+        F.expr("max(coalesce(quality = 0, false) OR coalesce(toxic = 1, false))").alias("blocked"))
+    numbered = parts.selectExpr("tokens", "try_cast(nullif(regexp_extract(path, '/([0-9]+)', 1), '') AS BIGINT) AS doc_id").filter("doc_id IS NOT NULL")
+    return judge_urls(parts, mine_rules(numbered.join(labels, "doc_id").select("tokens", "blocked")))
+
+
 def op3_aho_corasick_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside a 13-word window of a benchmark item (:mod:`decontam`)."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
@@ -33,6 +45,12 @@ def op4_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, threshold=0.8)
 
 
+def op6_diagonal_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document (:mod:`license_diag`)."""
+    return license_scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op7_mcd_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and robust outliers by language and source (:mod:`mcd_rules`)."""
     return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", *BASE, "base_failed", "kept", "distance")
@@ -57,8 +75,10 @@ def op10_water_fill_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_association_url_filter": op1_association_url_filter,
     "op3_aho_corasick_decontamination": op3_aho_corasick_decontamination,
     "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
+    "op6_diagonal_license_scan": op6_diagonal_license_scan,
     "op7_mcd_quality_rules": op7_mcd_quality_rules,
     "op8_random_fourier_quality": op8_random_fourier_quality,
     "op9_directly_addressable_tokens": op9_directly_addressable_tokens,
