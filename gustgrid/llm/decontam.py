@@ -13,7 +13,6 @@ shuffled and no window is left out.
 
 from __future__ import annotations
 
-import hashlib
 import re
 import sys
 import types
@@ -155,6 +154,3 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     out = rows.mapInArrow(_finish, f"id {kind}, n_words long, n_hit long, items array<string>, spans array<long>")
     return out.withColumnRenamed("id", id_col)
 
-
-def digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(ids).encode()).hexdigest()

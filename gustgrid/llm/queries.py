@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gustgrid.llm.common import table
 from gustgrid.llm.decontam import contamination
+from gustgrid.llm.html_tree import extract_main_text
 from gustgrid.llm.license_diag import license_scan
 from gustgrid.llm.mcd_rules import BASE, quality_rules
 from gustgrid.llm.rff_quality import quality_scores
+from gustgrid.llm.secret_crf import secret_scan
 from gustgrid.llm.setsketch import near_duplicates
 from gustgrid.llm.token_dac import read_documents, write_tokens
 from gustgrid.llm.url_rules import judge_urls, mine_rules, url_parts
@@ -32,6 +34,11 @@ def op1_association_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(parts, mine_rules(numbered.join(labels, "doc_id").select("tokens", "blocked")))
 
 
+def op2_crf_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document by fixed patterns and a random field (:mod:`secret_crf`)."""
+    return secret_scan(table(spark, sf_dir, "documents")).selectExpr("doc_id", "n_assign", "n_access", "n_hex", "sha2(base, 256) AS base_sha256", "spans")
+
+
 def op3_aho_corasick_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside a 13-word window of a benchmark item (:mod:`decontam`)."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
@@ -45,6 +52,11 @@ def op4_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, threshold=0.8)
 
 
+def op5_tree_scored_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page (:mod:`html_tree`)."""
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_diagonal_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices of every document (:mod:`license_diag`)."""
     return license_scan(table(spark, sf_dir, "documents")).select(
@@ -76,8 +88,10 @@ def op10_water_fill_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_association_url_filter": op1_association_url_filter,
+    "op2_crf_secret_scan": op2_crf_secret_scan,
     "op3_aho_corasick_decontamination": op3_aho_corasick_decontamination,
     "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
+    "op5_tree_scored_html": op5_tree_scored_html,
     "op6_diagonal_license_scan": op6_diagonal_license_scan,
     "op7_mcd_quality_rules": op7_mcd_quality_rules,
     "op8_random_fourier_quality": op8_random_fourier_quality,
