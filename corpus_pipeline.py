@@ -12,11 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gustgrid.llm.common import table
-from gustgrid.llm.stages import drop_near_duplicates
+from gustgrid.llm.stages import classify_quality, decontaminate, drop_near_duplicates, mix_sources, tokenize
 from gustgrid.session import stage
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", classify_quality),
     ("near_dedup", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("source_mix", mix_sources),
+    ("token_output", tokenize),
 ]
 
 # The classifier and the sketches have no SQL form; tests compare run() with a brute-force version.

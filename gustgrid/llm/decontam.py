@@ -23,10 +23,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from gustgrid.session import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_PATTERNS = 500_000
+# SQL of the rule: any hit, and hits of a twentieth of the words.
+CONTAMINATED = "(_n_hit > 0 AND 20 * _n_hit >= _n_words)"
 # Bytes of UTF-8: A-Z to a-z, ASCII that is no word character to a space, the rest as it is.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b < 48 or 58 <= b <= 64 or 91 <= b <= 96 or 123 <= b <= 127 else b for b in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -81,8 +86,8 @@ def _automaton(shared, key: str):
     return kept[key]
 
 
-def _scan(shared, key: str, id_at: int, text_at: int):
-    """Adds the block's hits to the columns ``spans`` (flat word bounds, end exclusive) and ``items``."""
+def _scan(shared, key: str, text_at: int):
+    """Adds the block's hits to the last two columns: flat word bounds (end exclusive) and item ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not shared.value:
@@ -90,12 +95,12 @@ def _scan(shared, key: str, id_at: int, text_at: int):
             return
         automaton, patterns = _automaton(shared, key), shared.value
         for batch in batches:
-            spans, items = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            spans, items = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
             for row, text in enumerate(batch.column(text_at)):
                 string, _ = normal(text.as_py())
                 if not string:
                     continue
-                hits = [(end, k) for end, k in automaton.iter(string)]
+                hits = list(automaton.iter(string))
                 if hits:
                     gaps = np.flatnonzero(np.frombuffer(string.encode("latin-1"), np.uint8) == 32)
                     ends = np.array([e for e, _ in hits])
@@ -103,54 +108,60 @@ def _scan(shared, key: str, id_at: int, text_at: int):
                     bounds = np.stack([np.searchsorted(gaps, begins), np.searchsorted(gaps, ends)], axis=1)
                     spans[row] = [*spans[row], *np.unique(bounds, axis=0).reshape(-1).tolist()]
                     items[row] = sorted({*items[row], *(i for _, k in hits for i in patterns[k][1])})
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], batch.schema.names)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-2], pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], batch.schema.names)
+
+    return run
+
+
+def _measure(text_at: int):
+    """Turns word bounds into counts and ranges of the original text: adds ``_n_words`` and ``_n_hit``, replaces ``_spans``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, hits, ranges = [], [], []
+            for text, flat in zip(batch.column(text_at), batch.column(batch.num_columns - 2).to_pylist()):
+                text = text.as_py()
+                n, hit, spans = normal(text)[1], 0, []
+                if flat:
+                    step = np.zeros(n + 1, np.int64)
+                    np.add.at(step, flat[0::2], 1)
+                    np.add.at(step, flat[1::2], -1)
+                    inside = np.cumsum(step)[:n] > 0
+                    hit = int(inside.sum())
+                    edge = np.diff(np.concatenate([[0], inside.astype(np.int8), [0]]))
+                    places = [m.span() for m in WORD.finditer(text)]
+                    for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
+                        spans += [places[a][0], places[b - 1][1]]
+                counts.append(n)
+                hits.append(hit)
+                ranges.append(spans)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-2], pa.array(ranges, pa.list_(pa.int64())), batch.column(batch.num_columns - 1), pa.array(counts, pa.int64()), pa.array(hits, pa.int64())],
+                [*batch.schema.names, "_n_words", "_n_hit"])
 
     return run
 
 
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.int64()))]
-    for batch in batches:
-        out = []
-        for text, flat, items in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            text = text.as_py()
-            n, hit, spans = normal(text)[1], 0, []
-            if flat:
-                step = np.zeros(n + 1, np.int64)
-                np.add.at(step, flat[0::2], 1)
-                np.add.at(step, flat[1::2], -1)
-                inside = np.cumsum(step)[:n] > 0
-                hit = int(inside.sum())
-                edge = np.diff(np.concatenate([[0], inside.astype(np.int8), [0]]))
-                places = [m.span() for m in WORD.finditer(text)]
-                for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
-                    spans += [places[a][0], places[b - 1][1]]
-            out.append((n, hit, items, spans))
-        columns = list(zip(*out)) if out else [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, (_, k) in zip(columns, kinds))], ["id", *(k for k, _ in kinds)])
-
-
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_id: str = "item_id", item_text: str = "text", window: int = 13) -> DataFrame:
-    """One row per document row: ``id_col, n_words, n_hit, items, spans``.
-
-    ``n_hit`` counts the words inside any occurrence of an item window, ``items`` are the sorted ids
-    (as text) of items with an occurring window, ``spans`` the merged hit ranges as start, end, start,
-    end, ... in code points of the original text. Null and empty texts have no words; a null id keeps
-    its row; without items nothing is hit.
+def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13) -> DataFrame:
+    """The document rows with ``_spans, _items, _n_words, _n_hit`` (columns of these names are replaced).
+
+    ``_n_hit`` counts the words inside any occurrence of an item window, ``_items`` are the sorted ids
+    (as text) of items with an occurring window, ``_spans`` the merged hit ranges as start, end, start,
+    end, ... in code points of the original text. Null and empty texts have no words; ids may be null
+    or repeat; without items nothing is hit.
     """
     spark = docs.sparkSession
-    windows = item_windows(items, item_id, item_text, window).persist()
+    windows = stage(item_windows(items, item_id, item_text, window), "windows")
     blocks = -(-max(1, windows.count()) // BLOCK_PATTERNS)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                       F.expr("CAST(array() AS ARRAY<BIGINT>)").alias("spans"), F.expr("CAST(array() AS ARRAY<STRING>)").alias("items"))
+    rows = docs.drop("_spans", "_items", "_n_words", "_n_hit")
+    text_at = rows.columns.index(text_col)
+    rows = rows.withColumns({"_spans": F.expr("CAST(array() AS ARRAY<BIGINT>)"), "_items": F.expr("CAST(array() AS ARRAY<STRING>)")})
     key = f"automaton-{uuid.uuid4().hex}"
     for b in range(blocks):
         block = windows if blocks == 1 else windows.filter(f"pmod(xxhash64(pattern), {blocks}) = {b}")
-        shared = spark.sparkContext.broadcast([(r.pattern, r["items"]) for r in block.toLocalIterator()])
-        rows = rows.mapInArrow(_scan(shared, f"{key}-{b}", 0, 1), rows.schema)
-    windows.unpersist()
-    kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(_finish, f"id {kind}, n_words long, n_hit long, items array<string>, spans array<long>")
-    return out.withColumnRenamed("id", id_col)
-
+        # Bounded: about BLOCK_PATTERNS windows at a time.
+        shared = spark.sparkContext.broadcast([(r.pattern, r["items"]) for r in block.collect()])
+        rows = rows.mapInArrow(_scan(shared, f"{key}-{b}", text_at), rows.schema)
+    out = StructType([*rows.schema.fields, StructField("_n_words", LongType()), StructField("_n_hit", LongType())])
+    return rows.mapInArrow(_measure(text_at), out)

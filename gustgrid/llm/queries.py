@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gustgrid.llm.common import table
-from gustgrid.llm.decontam import contamination
+from gustgrid.llm.decontam import CONTAMINATED, contamination
 from gustgrid.llm.html_tree import extract_main_text
 from gustgrid.llm.license_diag import license_scan
 from gustgrid.llm.mcd_rules import BASE, quality_rules
@@ -41,10 +41,10 @@ def op2_crf_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_aho_corasick_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside a 13-word window of a benchmark item (:mod:`decontam`)."""
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    found = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), window=13)
     return found.selectExpr(
-        "doc_id", "n_words", "n_hit", "CAST(size(items) AS BIGINT) AS n_items", "sha2(array_join(items, ','), 256) AS items_sha256",
-        "n_hit > 0 AND 20 * n_hit >= n_words AS contaminated")
+        "doc_id", "_n_words AS n_words", "_n_hit AS n_hit", "CAST(size(_items) AS BIGINT) AS n_items", "sha2(array_join(_items, ','), 256) AS items_sha256",
+        f"{CONTAMINATED} AS contaminated")
 
 
 def op4_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gustgrid.llm.common import table
+from gustgrid.llm.decontam import CONTAMINATED, contamination
+from gustgrid.llm.rff_quality import keep_quality
 from gustgrid.llm.setsketch import near_duplicates
+from gustgrid.llm.token_dac import read_documents, write_tokens
+from gustgrid.llm.water_fill import mix
+from gustgrid.session import shared_dir
+
+
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents whose calibrated quality score is 0.3 or more."""
+    return keep_quality(docs, table(spark, sf_dir, "labels"), threshold=0.3)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,7 +30,25 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     keep = verdict.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
     found = docs.join(keep.hint("shuffle_hash"), "doc_id")
     once = found.filter("_rows = 1").select(*docs.columns)
-    repeated = found.filter("_rows > 1")
-    first = repeated.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_r"))
-    first = first.select("doc_id", "_r.*").select(*docs.columns)
-    return once.unionByName(first).unionByName(docs.filter("doc_id IS NULL"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = found.filter("_rows > 1").groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("_r")).select("doc_id", "_r.*")
+    return once.unionByName(first.select(*docs.columns)).unionByName(docs.filter("doc_id IS NULL"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold benchmark windows over a twentieth of their words."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark"), window=13)
+    return found.filter(f"NOT {CONTAMINATED}").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats documents so that sources weigh 1, 2, 3, ... in turn, at most three epochs each."""
+    copies = mix(docs, max_epochs=3.0).filter("_copies > 0")
+    return copies.withColumn("_copy", F.expr("explode(sequence(1L, _copies))")).select(*docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the token files and returns one row for each document in them."""
+    out = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    write_tokens(docs, out, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_documents(spark, out)
