@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from gustgrid.llm.common import flat, mix, steps, word_bounds, word_hashes
+from gustgrid.llm.common import flat, mix, steps, word_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -42,23 +42,26 @@ KEY_WORDS = ["password", "passwd", "secret", "token", "apikey", "api_key", "api-
              "credential", "credentials", "private", "access", "access_key", "secret_key", "client_secret", "login"]
 # Number of values of each feature.
 SIZES = [8, 4, 5, 2, 5, 30, 30, 30, 30, 3, 3, 3]
-
-_BODY = np.zeros(256, bool)
-_BODY[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.-")] = True
-_BODY[128:] = True
-_SPACE = np.zeros(256, bool)
-_SPACE[list(range(0x21))] = True
-_VISIBLE = ~_SPACE & ~_BODY
-_DIGIT = np.zeros(256, np.int32)
-_DIGIT[48:58] = 1
-_UP = np.zeros(256, np.int32)
-_UP[65:91] = 1
-_LOW = np.zeros(256, np.int32)
-_LOW[97:123] = 1
-_HEXED = np.zeros(256, np.int32)
-_HEXED[list(b"0123456789abcdefABCDEF")] = 1
+_TOGETHER = [(0, 1, 2, 3, 4), (5, 6), (7, 8), (9, 10, 11)]
+
+# Byte classes: white space and control characters, token characters (also all of non-ASCII), other visible ones.
+_CLASS = np.full(256, 2, np.int8)
+_CLASS[:0x21] = 0
+_CLASS[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.-")] = 1
+_CLASS[128:] = 1
+_LETTER = np.zeros(256, np.int8)
+_LETTER[48:58], _LETTER[65:91], _LETTER[97:123] = 1, 2, 2
+# Two counters in one number: digits and hex digits, upper-case and lower-case letters.
+_HALF = 1 << 32
+_DIGIT_HEX, _UP_LOW = np.zeros(256, np.int64), np.zeros(256, np.int64)
+_DIGIT_HEX[list(b"abcdefABCDEF")] = _HALF
+_DIGIT_HEX[48:58] = 1 + _HALF
+_UP_LOW[65:91] = 1
+_UP_LOW[97:123] = _HALF
 _HEADS = np.ones(256, np.int32)
 _HEADS[0x80:0xC0] = 0
+_INITIALS = np.zeros(256, bool)
+_INITIALS[[ord(c) for w in KEY_WORDS for c in (w[0], w[0].upper())]] = True
 
 
 def _sum(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -84,24 +87,37 @@ class Tokens:
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> Tokens:
     """Bounds (bytes), row and features of every token of a batch."""
-    parts = [word_bounds(data, offsets, flags) for flags in (_BODY, _VISIBLE)]
-    starts = np.concatenate([p[0] for p in parts])
-    order = np.argsort(starts, kind="stable")
-    starts, ends, rows = (np.concatenate([p[k] for p in parts])[order] for k in range(3))
-    body = np.concatenate([np.ones(len(parts[0][0]), bool), np.zeros(len(parts[1][0]), bool)])[order]
+    kinds = _CLASS[data]
+    if not len(data):
+        none = np.empty(0, np.int64)
+        return Tokens(none, none, none, np.zeros((0, len(SIZES)), np.int16))
+    edge = np.append(True, kinds[1:] != kinds[:-1])
+    edge[offsets[:-1][offsets[:-1] < len(data)]] = True
+    at = np.flatnonzero(edge)
+    seen = kinds[at] > 0
+    starts, ends = at[seen], np.append(at[1:], len(data))[seen]
     n = len(starts)
     if not n:
-        return Tokens(starts, ends, rows, np.zeros((0, len(SIZES)), np.int16))
+        return Tokens(starts, ends, starts, np.zeros((0, len(SIZES)), np.int16))
+    rows = np.searchsorted(offsets, starts, side="right") - 1
+    body = kinds[starts] == 1
     length = ends - starts
-    digits, upper, lower, hexed = (_sum(t[data], starts, ends) for t in (_DIGIT, _UP, _LOW, _HEXED))
-    kind = _DIGIT[data] + 2 * (_UP[data] | _LOW[data])
-    turns = np.concatenate([[0], (kind[1:] != kind[:-1]).astype(np.int32)]) if len(kind) else kind
-    turns = _sum(turns, np.minimum(starts + 1, ends), ends)
+    # White space between tokens counts for nothing, so sums may run on to the next token.
+    both = np.add.reduceat(_DIGIT_HEX[data], starts)
+    digits, hexed = both % _HALF, both // _HALF
+    both = np.add.reduceat(_UP_LOW[data], starts)
+    upper, lower = both % _HALF, both // _HALF
+    letter = _LETTER[data]
+    turns = np.append(False, (letter[1:] != letter[:-1]) & (kinds[1:] > 0))
+    turns[starts] = False
+    turns = np.add.reduceat(turns, starts, dtype=np.int64)
 
     codes, which = _word_codes()
-    h = word_hashes(data, starts, ends, lower=True)
+    name = np.zeros(n, np.int64)
+    maybe = np.flatnonzero(body & (length <= 13) & (length >= 3) & _INITIALS[data[starts]])
+    h = word_hashes(data, starts[maybe], ends[maybe], lower=True)
     at = np.minimum(np.searchsorted(codes, h), len(codes) - 1)
-    name = np.where(codes[at] == h, which[at] + 1, 0)
+    name[maybe] = np.where(codes[at] == h, which[at] + 1, 0)
     first = data[starts]
     mark = np.select([first == ord("="), first == ord(":"), (first == 34) | (first == 39)], [25, 26, 27], 28)
     # An assignment sign behind a quote is still an assignment.
@@ -154,8 +170,13 @@ class Field:
 
     def emissions(self, features: np.ndarray) -> np.ndarray:
         out = np.zeros((len(features), 3), np.float32)
-        for k, w in enumerate(self.emit):
-            out += w.astype(np.float32)[features[:, k]]
+        for group in _TOGETHER:
+            # The weights of a few features, summed once for every combination of their values.
+            table, code = np.zeros((1, 3)), np.zeros(len(features), np.int32)
+            for k in group:
+                table = (table[:, None, :] + self.emit[k][None, :, :]).reshape(-1, 3)
+                code = code * SIZES[k] + features[:, k]
+            out += table.astype(np.float32)[code]
         return out
 
     def tags(self, tokens: Tokens) -> np.ndarray:
