@@ -14,8 +14,10 @@ ascending id order without one task seeing them all.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SEGMENT = 1 << 20
 RANK_BITS = 512
 # Words whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
+_OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# A word that ends with a letter, and ASCII punctuation behind it.
+_TAIL = re.compile(r"(.*[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])([!-/:-@\[-`{-~]+)", re.S)
 _POPCOUNT = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 SEGMENT_SCHEMA = ("part long, segment long, n_docs long, n_tokens long, doc_ids array<long>, doc_ends array<long>, "
@@ -82,52 +87,75 @@ class Encoder:
     """Ids of texts as the tokenizers library gives them, each distinct word encoded once.
 
     Byte-level BPE works inside pieces that never reach over a single white-space character between
-    two others, so a text is cut there and pieces are remembered. Texts with runs of white space or
-    with a special token's string go through the library whole.
+    two others, nor from a letter to a punctuation mark behind it. So a text is cut at its white space,
+    the ids of words are remembered, and the library gets all new words of a batch as lines of one
+    text. Texts with runs of white space or with a special token's string go through the library whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import re
-
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"\s\s", r"[^\S \n]", *special]))
-        self.spaced: dict[str, bytes] = {}
-        self.plain: dict[str, bytes] = {}
-        self.newline = self._ids(["\n"])[0]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        # Texts that hold one of these are encoded whole: runs of white space, special tokens, other white space.
+        self.runs = ["  ", "\n\n", " \n", "\n ", *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
+        self.newline = self._ids("\n")
+        # Keys: a word behind a space as it is, behind a newline with the newline, at the start of a text with a space.
+        self.known: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def _lines(self, words: list[str], lead: str) -> dict[str, bytes]:
+        """Ids of each word behind ``lead``, from one text with a word on each line."""
+        if not words:
+            return {}
+        ids = np.frombuffer(self._ids("".join(f"{lead}{w}\n" for w in words)), "<u4")
+        ends = np.flatnonzero(ids == np.frombuffer(self.newline, "<u4")[0])
+        data = ids.tobytes()
+        return {w: data[4 * a : 4 * b] for w, a, b in zip(words, [0, *(ends[:-1] + 1).tolist()], ends.tolist())}
+
+    def _learn(self, keys: set[str]) -> None:
+        """Adds the ids of new keys; a word is taken apart from the punctuation that ends it."""
+        cut = {k: (m[1], m[2]) if (m := _TAIL.fullmatch(k)) else (k, "") for k in keys}
+        spaced, plain = set(), {tail for _, tail in cut.values() if tail}
+        for stem, _ in cut.values():
+            if stem[:1] in (" ", "\n"):
+                plain.add(stem[1:])
+            elif stem not in self.known:
+                spaced.add(stem)
+        plain.discard("")
+        bare = self._lines(sorted(plain), "")
+        bare[""] = b""
+        self.known.update(self._lines(sorted(spaced), " "))
+        for key, (stem, tail) in cut.items():
+            if stem[:1] == " ":
+                self.known[key] = bare[stem[1:]] + bare[tail]
+            elif stem[:1] == "\n":
+                self.known[key] = self.newline + bare[stem[1:]] + bare[tail]
+            elif tail:
+                self.known[key] = self.known[stem] + bare[tail]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text; a null text is empty."""
-        if len(self.spaced) + len(self.plain) > REMEMBERED:
-            self.spaced.clear()
-            self.plain.clear()
-        cut, spaced, plain = [], set(), set()
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        cut, new, get = [], set(), self.known.get
         for text in texts:
             text = text or ""
-            if self.whole.search(text) or text[:1] == " " or text[-1:] in (" ", "\n"):
-                cut.append(text)
+            if text[:1] == " " or text[-1:] in (" ", "\n") or any(run in text for run in self.runs) or _OTHER_SPACE.search(text):
+                cut.append((text, None))
                 continue
-            lines = [line.split(" ") for line in text.split("\n")]
-            cut.append(lines)
-            for words in lines:
-                plain.add(words[0])
-                spaced.update(words[1:])
-        for kept, new, lead in ((self.spaced, spaced, " "), (self.plain, plain, "")):
-            new = [w for w in new if w not in kept]
-            kept.update(zip(new, self._ids([lead + w for w in new])))
-        out, get = [], self.spaced.__getitem__
-        for lines in cut:
-            if isinstance(lines, str):
-                out.append(self._ids([lines])[0])
-            else:
-                out.append(self.newline.join([self.plain[w[0]] + b"".join(map(get, w[1:])) for w in lines]))
-        return out
+            words = text.replace("\n", " \n").split(" ")
+            words[0] = f" {words[0]}"
+            ids = list(map(get, words))
+            if None in ids:
+                new.update(w for w, i in zip(words, ids) if i is None)
+                ids = None
+            cut.append((words, ids))
+        if new:
+            self._learn(new)
+        return [self._ids(words) if isinstance(words, str) else b"".join(ids or map(get, words)) for words, ids in cut]
 
 
 def _write_segments(path: str, end_id: int):
