@@ -48,8 +48,8 @@ def _as_time(df: DataFrame, name: str) -> Column:
     return parse_timestamp(F.col(name)) if isinstance(kind, T.StringType) else F.col(name).cast("timestamp")
 
 
-def catalog_items(df: DataFrame, path: str = "path") -> DataFrame:
-    """One row per data file: id, box, time range, rows, model. One scan of the needed columns.
+def file_items(df: DataFrame, path: str = "path") -> DataFrame:
+    """One row per data file: id of its hour, box, time range, rows, model. One scan of the needed columns.
 
     ``df`` is a dataset with the file of each row in ``path`` (``_metadata.file_path``).
     """
@@ -66,6 +66,24 @@ def catalog_items(df: DataFrame, path: str = "path") -> DataFrame:
     )
 
 
+def merge_files(files: DataFrame) -> DataFrame:
+    """One item per hour from rows of :func:`file_items`: ids are unique however many files an hour has.
+
+    ``path`` is the first file; ``n_files`` counts them. Files outside hourly partitions are items of their own.
+    """
+    return files.groupBy("item_id").agg(
+        F.min("path").alias("path"), F.min("min_lon").alias("min_lon"), F.min("min_lat").alias("min_lat"),
+        F.max("max_lon").alias("max_lon"), F.max("max_lat").alias("max_lat"),
+        F.min("start_datetime").alias("start_datetime"), F.max("end_datetime").alias("end_datetime"),
+        F.sum("row_count").alias("row_count"), F.min("source_model").alias("source_model"), F.count(F.lit(1)).alias("n_files"),
+    )
+
+
+def catalog_items(df: DataFrame, path: str = "path") -> DataFrame:
+    """One row per hour of a dataset with the file of each row in ``path``."""
+    return merge_files(file_items(df, path).withColumnRenamed(path, "path"))
+
+
 def scan_items(dataset: DataFrame) -> DataFrame:
     """Catalog items of a dataset read from files."""
     return catalog_items(dataset.withColumn("path", F.col("_metadata.file_path")))
@@ -88,8 +106,23 @@ def stac_type(kind: T.DataType) -> str:
     return "date" if isinstance(kind, T.DateType) else "string"
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """(name, n_rows, n_null, min_value, max_value) of each column in one aggregation; the extremes of numbers only."""
+    aggs, rows = [F.count(F.lit(1)).alias("_rows")], []
+    for i, f in enumerate(df.schema):
+        number = isinstance(f.dataType, T.NumericType)
+        value = F.col(f"`{f.name}`")
+        aggs.append(F.count(value).alias(f"_n{i}"))
+        if number:
+            aggs += [F.min(value).cast("double").alias(f"_lo{i}"), F.max(value).cast("double").alias(f"_hi{i}")]
+        low, high = (F.col(f"_{k}{i}") if number else F.lit(None).cast("double") for k in ("lo", "hi"))
+        rows.append(F.struct(F.lit(f.name).alias("name"), F.col("_rows").alias("n_rows"), (F.col("_rows") - F.col(f"_n{i}")).alias("n_null"),
+                             low.alias("min_value"), high.alias("max_value")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def column_catalog(df: DataFrame, descriptions: DataFrame | None = None) -> DataFrame:
-    """(name, type, description) of each column; only the schema is read."""
+    """(name, type, description) of each column; only the schema is read (see :func:`column_profile` for values)."""
     spark = df.sparkSession
     rows = [(f.name, stac_type(f.dataType)) for f in df.schema]
     listed = spark.createDataFrame(rows, "name string, type string")
@@ -100,10 +133,16 @@ def column_catalog(df: DataFrame, descriptions: DataFrame | None = None) -> Data
 
 
 def incremental_items(existing: DataFrame, found: DataFrame, years: Sequence[str] | None = None) -> DataFrame:
-    """Existing items plus those found whose id is new; ``years`` limits the existing ones loaded."""
+    """All existing items plus those found whose id is new.
+
+    ``years`` limits the search: only ids of these years are compared and added, and existing items
+    of other years stay as they are.
+    """
+    known = existing.select("item_id")
     if years:
-        existing = existing.filter(F.substring("item_id", 1, 4).isin(*years))
-    return existing.unionByName(found.join(existing.select("item_id"), "item_id", "left_anti"), allowMissingColumns=True)
+        in_years = F.substring("item_id", 1, 4).isin(*years)
+        known, found = known.filter(in_years), found.filter(in_years)
+    return existing.unionByName(found.join(known, "item_id", "left_anti"), allowMissingColumns=True)
 
 
 def collection_extent(items: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -120,6 +159,7 @@ def collection_extent(items: DataFrame, start: str | None = None, end: str | Non
         F.date_format(low, iso).alias("extent_start"), F.date_format(high, iso).alias("extent_end"),
         F.date_format(F.coalesce(given[0], low), iso).alias("period_start"),
         F.date_format(F.coalesce(given[1], high), iso).alias("period_end"),
+        # Models are few, whatever the number of items: each task sends each of its models once.
         F.concat_ws(",", F.sort_array(F.collect_set("source_model"))).alias("source_models"),
     )
 

@@ -10,8 +10,8 @@ from gustgrid.operators.projection import project
 
 # Relative tolerance when a coordinate is matched to a lattice line.
 ON_LINE = 1e-6
-# Bound of a point list, which every hour carries along.
-MAX_POINTS = 10000
+# Parts that a point list is cut into when it meets the hours.
+POINT_PARTS = 32
 
 
 def anchor_offset(df: DataFrame, keys: Sequence[str], x="x", y="y", proj_x="proj_x", proj_y="proj_y") -> DataFrame:
@@ -133,21 +133,17 @@ def assign_node_id(df: DataFrame, lattice: DataFrame, keys: Sequence[str], res_f
 def append_points(grid: DataFrame, points: DataFrame, lattice: DataFrame, keys: Sequence[str], projection) -> DataFrame:
     """Add named points (name, lon, lat) to the grid of every key.
 
-    Each key's lattice row carries the whole point list: the list is a handful of stations, the
-    keys are hours, and no data row is touched. More than ``MAX_POINTS`` points are an error.
+    Every key needs every point, so the result has that many rows; they are made by an equi-join on
+    the part of the point list, with one copy of a key's lattice row for each part. Points without a
+    name are numbered by longitude and latitude.
     """
     keys = list(keys)
-    # One point more than allowed is read, so that a wrong table cannot fill the list.
-    few = points.select("name", "lon", "lat").limit(MAX_POINTS + 1)
-    too_many = F.raise_error(F.lit(f"more than {MAX_POINTS} points"))
-    every = F.sort_array(F.collect_list(F.struct("name", "lon", "lat")))
-    listed = few.agg(F.when(F.count(F.lit(1)) <= MAX_POINTS, every).otherwise(too_many).alias("pts"))
-    named = (
-        lattice.select(*keys, "min_x", "min_y")
-        .withColumn("pts", listed.scalar())
-        .select(*keys, "min_x", "min_y", F.posexplode("pts").alias("_i", "p"))
-        .selectExpr(*keys, "min_x", "min_y", "coalesce(p.name, concat('test_point_', _i + 1)) AS name", "p.lon AS lon", "p.lat AS lat")
-    )
+    given = points.select("name", "lon", "lat")
+    number = F.row_number().over(Window.orderBy("lon", "lat"))
+    unnamed = given.filter("name IS NULL").select(F.concat(F.lit("test_point_"), number).alias("name"), "lon", "lat")
+    listed = given.filter("name IS NOT NULL").union(unnamed).withColumn("_part", F.expr(f"pmod(xxhash64(name, lon, lat), {POINT_PARTS})"))
+    origins = lattice.select(*keys, "min_x", "min_y", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(POINT_PARTS - 1).cast("bigint"))).alias("_part"))
+    named = origins.join(listed, "_part").drop("_part")
     named = project(named, projection).select(
         *keys, F.col("name").alias("node_id"),
         (F.col("x") - F.col("min_x")).alias("x_local"), (F.col("y") - F.col("min_y")).alias("y_local"),

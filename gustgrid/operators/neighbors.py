@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gustgrid.session import stage
 
-# Levels below the average-density cell: local density may be 4**FINER times the average before
-# cells stop getting smaller (the result stays exact beyond that).
-FINER = 5
+# Cells are halved until none holds more than CROWD * k rows, however dense a spot is: the depths
+# tried below the average-density cell, and the bits a cell number may have (a double has no more).
+DEPTHS, CELL_BITS, CROWD = (0, 1, 2, 3, 5, 8, 12, 18, 26, 36, 48), 50, 4
 # Extra room when the nearest rows of a query's own fold are not eligible.
 FOLD_ROOM = 1.6
 
@@ -37,17 +37,20 @@ def _into_block(df: DataFrame, radius: int) -> DataFrame:
 def limit_copies(train: DataFrame, keys: Sequence[str], k: int, fold: str | None) -> DataFrame:
     """Keep the k first ids of each location (and fold); later copies can never be among k nearest.
 
+    Copies with one id are ordered by their other columns, so reruns keep the same ones.
+
     Spark applies the group limit before the shuffle, so a location with a third of all rows
     sends k rows per input task.
     """
     where = [*keys, "t_x", "t_y"] + (["t_fold"] if fold else [])
-    rank = F.row_number().over(Window.partitionBy(*where).orderBy("t_id"))
+    rank = F.row_number().over(Window.partitionBy(*where).orderBy("t_id", *(c for c in train.columns if c not in (*where, "t_id"))))
     return train.withColumn("_copy", rank).filter(F.col("_copy") <= k).drop("_copy")
 
 
 @dataclass(frozen=True)
 class _Grid:
-    """Extent of the training rows and the cell side at level 0 (the average density)."""
+    """Extent of the training rows, the cell side at level 0 (the average density), and how many
+    levels are above and below it."""
 
     x0: float
     x1: float
@@ -55,10 +58,11 @@ class _Grid:
     y1: float
     side: float
     top: int
+    finer: int = 0
 
     @property
     def fine(self) -> float:
-        return self.side / 2.0**FINER
+        return self.side / 2.0**self.finer
 
     def cell(self, x: str, y: str) -> list[str]:
         """Finest cell of the position moved into the extent, and the squared move."""
@@ -73,7 +77,7 @@ class _Grid:
     def farthest_in_block(self) -> str:
         """Distance from the (moved) query to the farthest corner of its 3x3 block at ``_level``."""
         def axis(fine_cell: str) -> str:
-            cells = f"pow(2D, _level + {FINER})"
+            cells = f"pow(2D, _level + {self.finer})"
             inside = f"({fine_cell} / {cells} - floor({fine_cell} / {cells}))"
             # The position lies between the finest cell's two edges.
             return f"greatest(1 + {inside} + 1 / {cells}, 2 - {inside}) * {self.fine!r}D * {cells}"
@@ -82,11 +86,12 @@ class _Grid:
 
     @property
     def levels(self) -> str:
-        return f"explode(sequence({-FINER}, {self.top})) AS _l"
+        return f"explode(sequence({-self.finer}, {self.top})) AS _l"
 
 
 def _grid_of(train: DataFrame, keys: list[str], k: float) -> _Grid | None:
-    """One small job: six numbers over all training rows."""
+    """Two small jobs: extent and average density of all training rows, then the depth at which no
+    cell is crowded. A dozen numbers reach the driver."""
     row = (
         train.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"), F.min("t_x").alias("x0"), F.max("t_x").alias("x1"),
@@ -101,14 +106,21 @@ def _grid_of(train: DataFrame, keys: list[str], k: float) -> _Grid | None:
     side = 1.05 * max(math.sqrt(w * h * k / (9.0 * n)), max(w, h) * k / (3.0 * n))
     side = min(side, max(w, h)) or 1.0
     top = max(0, math.ceil(math.log2(max(w, h, side) / side)))
-    return _Grid(x0, x1, y0, y1, side, top)
+    depths = [d for d in DEPTHS if d + top <= CELL_BITS] or [0]
+    deepest = _Grid(x0, x1, y0, y1, side, top, depths[-1])
+    counts = train.selectExpr(*keys, *deepest.cell("t_x", "t_y")).selectExpr(
+        *keys, "_fx", "_fy", f"explode(array({', '.join(map(str, depths))})) AS _d"
+    ).selectExpr(*keys, "_d", f"shiftright(_fx, {depths[-1]} - _d) AS _cx", f"shiftright(_fy, {depths[-1]} - _d) AS _cy")
+    crowds = counts.groupBy(*keys, "_d", "_cx", "_cy").agg(F.count(F.lit(1)).alias("n")).groupBy("_d").agg(F.max("n").alias("n")).collect()
+    finer = min((r["_d"] for r in crowds if r["n"] <= CROWD * k), default=depths[-1])
+    return _Grid(x0, x1, y0, y1, side, top, finer)
 
 
-def _at_level(df: DataFrame) -> DataFrame:
+def _at_level(df: DataFrame, grid: _Grid) -> DataFrame:
     """Replace the finest cell by the cell at level ``_l``."""
     kept = [c for c in df.columns if c not in ("_fx", "_fy")]
     return df.selectExpr(
-        *kept, f"shiftright(_fx, _l + {FINER}) AS _cx", f"shiftright(_fy, _l + {FINER}) AS _cy"
+        *kept, f"shiftright(_fx, _l + {grid.finer}) AS _cx", f"shiftright(_fy, _l + {grid.finer}) AS _cy"
     )
 
 
@@ -117,7 +129,7 @@ def _query_levels(train: DataFrame, query: DataFrame, grid: _Grid, keys: list[st
     by = [*keys, "_l", "_cx", "_cy"]
     fold_col = ["t_fold"] if fold else []
     nested = (
-        _at_level(train.selectExpr(*keys, *fold_col, "_fx", "_fy", grid.levels))
+        _at_level(train.selectExpr(*keys, *fold_col, "_fx", "_fy", grid.levels), grid)
         .groupBy(*by, *fold_col).agg(F.count(F.lit(1)).alias("n"))
     )
     if fold:
@@ -126,7 +138,7 @@ def _query_levels(train: DataFrame, query: DataFrame, grid: _Grid, keys: list[st
     around = _into_block(nested, 1).groupBy(*by).agg(F.sum("n").alias("n")).filter(F.col("n") >= k).drop("n")
     asked = query.select(*keys, "_fx", "_fy").distinct().selectExpr(*keys, "_fx", "_fy", "_fx AS _qx", "_fy AS _qy", grid.levels)
     return (
-        _at_level(asked).join(around, by)
+        _at_level(asked, grid).join(around, by)
         .groupBy(*keys, "_qx", "_qy").agg(F.min("_l").alias("_level"))
         .withColumnsRenamed({"_qx": "_fx", "_qy": "_fy"})
     )
@@ -155,7 +167,7 @@ def knn_join(
     column of both sides and only rows of *other* folds are eligible. ``spread`` says which side is
     copied into the cell block: the smaller one.
 
-    Six numbers (extent and density of the training rows) reach the driver. The queries with their
+    A dozen numbers (extent and density of the training rows) reach the driver. The queries with their
     level, and the levels in use per key, are written to the shared folder once.
     """
     keys = list(keys)
@@ -184,16 +196,16 @@ def knn_join(
         )
         .selectExpr(
             *kept, "_fx", "_fy", "_bound2",
-            f"CASE WHEN _bound2 IS NULL THEN {grid.top} ELSE CAST(greatest({-FINER}, least({grid.top}, "
+            f"CASE WHEN _bound2 IS NULL THEN {grid.top} ELSE CAST(greatest({-grid.finer}, least({grid.top}, "
             f"ceil(log2(greatest(1e-30D, sqrt(greatest(_bound2 - _off2, 0D)) / {3.0 * grid.side!r}D))))) AS INT) END AS _l",
         )
     )
-    q = stage(_at_level(q), "knn-queries")
+    q = stage(_at_level(q, grid), "knn-queries")
     # Training rows are only bucketed at the levels some query of their own keys asked for.
     asked = stage(q.groupBy(*keys).agg(F.collect_set("_l").alias("_ls")), "knn-levels")
     t = _at_level(t.join(asked, keys).selectExpr(
         *keys, "t_id", "t_x", "t_y", *(["t_fold"] if fold else []), *train_cols, "_fx", "_fy", "explode(_ls) AS _l",
-    ))
+    ), grid)
 
     cell = [*keys, "_l", "_cx", "_cy"]
     if spread == "train":
@@ -207,7 +219,7 @@ def knn_join(
         where += f" AND d2 <= {limit2}"
     if fold:
         where += " AND q_fold <> t_fold"
-    rank = F.row_number().over(Window.partitionBy(*clustered).orderBy("d2", "t_id"))
+    rank = F.row_number().over(Window.partitionBy(*clustered).orderBy("d2", "t_id", *train_cols))
     tail = ["_l", "_cx", "_cy"] if spread == "train" else []
     return (
         pairs.selectExpr("*", "(q_x - t_x) * (q_x - t_x) + (q_y - t_y) * (q_y - t_y) AS d2").filter(where)

@@ -17,11 +17,13 @@ def ols_xy(df: DataFrame, keys: Sequence[str], values: Sequence[str], x="x", y="
     """
     moments = []
     for v in values:
-        mx, my = (F.when(F.col(v).isNotNull(), F.col(c)) for c in (x, y))
+        # Rows with a NULL in any of the three take no part in any moment.
+        whole = F.col(v).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull()
+        mx, my, mz = (F.when(whole, F.col(c)) for c in (x, y, v))
         moments += [
-            F.avg(mx).alias(f"{v}_mx"), F.avg(my).alias(f"{v}_my"), F.avg(v).alias(f"{v}_mz"),
+            F.avg(mx).alias(f"{v}_mx"), F.avg(my).alias(f"{v}_my"), F.avg(mz).alias(f"{v}_mz"),
             F.var_pop(mx).alias(f"{v}_xx"), F.var_pop(my).alias(f"{v}_yy"), F.covar_pop(mx, my).alias(f"{v}_xy"),
-            F.covar_pop(x, v).alias(f"{v}_xz"), F.covar_pop(y, v).alias(f"{v}_yz"),
+            F.covar_pop(mx, mz).alias(f"{v}_xz"), F.covar_pop(my, mz).alias(f"{v}_yz"),
         ]
     out = df.groupBy(*keys).agg(*moments)
     for v in values:
@@ -33,14 +35,18 @@ def ols_xy(df: DataFrame, keys: Sequence[str], values: Sequence[str], x="x", y="
 
 
 def ols_topo(df: DataFrame, keys: Sequence[str], values: Sequence[str], topo="topo") -> DataFrame:
-    """``z ~ 1 + topo`` per key: ``<v>_t0, <v>_t1, <v>_r2``; a constant topo gives slope 0."""
+    """``z ~ 1 + topo`` per key: ``<v>_t0, <v>_t1, <v>_r2``; a constant topo gives slope 0.
+
+    Only rows that have both values count, as in :func:`ols_xy`.
+    """
     aggs = []
     for v in values:
-        t = F.when(F.col(v).isNotNull(), F.col(topo))
-        slope = F.coalesce(F.covar_pop(topo, v) / F.nullif(F.var_pop(t), F.lit(0.0)), F.lit(0.0))
+        whole = F.col(v).isNotNull() & F.col(topo).isNotNull()
+        t, z = F.when(whole, F.col(topo)), F.when(whole, F.col(v))
+        slope = F.coalesce(F.covar_pop(t, z) / F.nullif(F.var_pop(t), F.lit(0.0)), F.lit(0.0))
         aggs += [
-            slope.alias(f"{v}_t1"), (F.avg(v) - slope * F.avg(t)).alias(f"{v}_t0"),
-            (F.pow(F.covar_pop(topo, v), F.lit(2.0)) / F.nullif(F.var_pop(t) * F.var_pop(v), F.lit(0.0))).alias(f"{v}_r2"),
+            slope.alias(f"{v}_t1"), (F.avg(z) - slope * F.avg(t)).alias(f"{v}_t0"),
+            (F.pow(F.covar_pop(t, z), F.lit(2.0)) / F.nullif(F.var_pop(t) * F.var_pop(z), F.lit(0.0))).alias(f"{v}_r2"),
         ]
     return df.groupBy(*keys).agg(*aggs)
 

@@ -72,13 +72,27 @@ def _(t):
 SELECT name AS region_name, CAST(p - 1 AS INT) AS pos, CASE p WHEN 1 THEN n WHEN 2 THEN n + 1 ELSE n END AS lon, CASE p WHEN 1 THEN 0e0 WHEN 2 THEN 1e0 ELSE 2.5e0 END AS lat
 FROM (SELECT s_name AS name, CAST(s_nationkey AS DOUBLE) AS n FROM supplier), (VALUES (1), (2), (3)) v(p)""")
 def _(t):
+    rings = inputs.rings_from_geojson(_geojson(t), name=F.col("name"), first_only=True)
+    return rings.select("region_name", F.posexplode("ring").alias("pos", "p")).select("region_name", "pos", "p.lon", "p.lat")
+
+
+@query("read_regions_all", """
+WITH s AS (SELECT s_name AS region_name, s_suppkey AS k, CAST(s_nationkey AS DOUBLE) AS n FROM supplier),
+r AS (SELECT region_name, k, n, 0 AS part FROM s UNION ALL SELECT region_name, k, n, 1 FROM s WHERE k % 2 <> 0)
+SELECT region_name, 0 AS feature, part, 0 AS ring_no, CAST(p - 1 AS INT) AS pos,
+ CASE WHEN part = 1 THEN 10e0 - p WHEN p = 2 THEN n + 1 ELSE n END AS lon, CASE WHEN part = 1 THEN 10e0 - p WHEN p = 1 THEN 0e0 WHEN p = 2 THEN 1e0 ELSE 2.5e0 END AS lat
+FROM r, (VALUES (1), (2), (3)) v(p)""")
+def _(t):
+    rings = inputs.rings_from_geojson(_geojson(t), name=F.col("name"))
+    return rings.select("region_name", "feature", "part", "ring_no", F.posexplode("ring").alias("pos", "p")).select("region_name", "feature", "part", "ring_no", "pos", "p.lon", "p.lat")
+
+
+def _geojson(t):
     ring = "concat('[[', n, ',0],[', n + 1, ',1],[', n, ',2.5]]')"
-    geometry = f"CASE k % 2 WHEN 0 THEN concat('{{\"type\":\"Polygon\",\"coordinates\":[', {ring}, ']}}') ELSE concat('{{\"type\":\"MultiPolygon\",\"coordinates\":[[', {ring}, ',[[9,9],[8,8],[7,7]]]]}}') END"
-    docs = t.supplier.selectExpr("s_name AS name", "s_suppkey AS k", "s_nationkey AS n").selectExpr("name", "k", f"{geometry} AS g").selectExpr(
+    geometry = f"CASE k % 2 WHEN 0 THEN concat('{{\"type\":\"Polygon\",\"coordinates\":[', {ring}, ']}}') ELSE concat('{{\"type\":\"MultiPolygon\",\"coordinates\":[[', {ring}, '],[[[9,9],[8,8],[7,7]]]]}}') END"
+    return t.supplier.selectExpr("s_name AS name", "s_suppkey AS k", "s_nationkey AS n").selectExpr("name", "k", f"{geometry} AS g").selectExpr(
         "name", """CASE k % 3 WHEN 0 THEN g WHEN 1 THEN concat('{"type":"Feature","geometry":', g, '}')
         ELSE concat('{"type":"FeatureCollection","features":[{"type":"Feature","geometry":', g, '}]}') END AS value""")
-    rings = inputs.rings_from_geojson(docs, name=F.col("name"))
-    return rings.select("region_name", F.posexplode("ring").alias("pos", "p")).select("region_name", "pos", "p.lon", "p.lat")
 
 
 @query("source_manifest", """

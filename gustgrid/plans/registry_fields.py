@@ -79,6 +79,26 @@ def _(t):
     return out.select("pk", "node_id", "x", "y", "x_local", "is_orig", "is_test_point")
 
 
+@query("append_many_points", f"""WITH {REFINED_SQL} SELECT pk, CAST(node AS VARCHAR) AS node_id, x, y, x_local, is_orig, false AS is_test_point FROM refined
+UNION ALL SELECT pk, concat('c', CAST(c_custkey AS VARCHAR)), c_nationkey * 2e0, c_custkey * 0.5e0, c_nationkey * 2e0 - min_x, false, true FROM lattice, customer""", "tiles")
+def _(t):
+    points = t.customer.selectExpr("concat('c', c_custkey) AS name", "c_nationkey * 2e0 AS lon", "c_custkey * 0.5e0 AS lat")
+    lat = lattice.infer_lattice(t.tiles, ["pk"])
+    out = lattice.append_points(lattice.refine_grid(lat, ["pk"], 2), points, lat, ["pk"], LonLat())
+    return out.select("pk", "node_id", "x", "y", "x_local", "is_orig", "is_test_point")
+
+
+# Trends over rows with gaps: every fourth topography and every fifth u is missing.
+@query("ols_with_nulls", """WITH d AS (SELECT pk, x, y, CASE WHEN id % 4 <> 0 THEN topo END AS topo, CASE WHEN id % 5 <> 0 THEN u END AS u, v FROM tiles)
+SELECT pk, round(regr_slope(u, topo), 6) + 0e0 AS u_t1, round(regr_intercept(u, topo), 6) + 0e0 AS u_t0, round(regr_slope(v, topo), 6) + 0e0 AS v_t1,
+ round(regr_intercept(v, topo), 6) + 0e0 AS v_t0, round(regr_r2(v, topo), 6) + 0e0 AS v_r2 FROM d GROUP BY pk""", "tiles")
+def _(t):
+    from gustgrid.operators.trend import ols_topo
+
+    gaps = t.tiles.selectExpr("pk", "CASE WHEN id % 4 <> 0 THEN topo END AS topo", "CASE WHEN id % 5 <> 0 THEN u END AS u", "v")
+    return rounded(ols_topo(gaps, ["pk"], ["u", "v"]).select("pk", "u_t1", "u_t0", "v_t1", "v_t0", "v_r2"))
+
+
 @query("assemble_grid", f"""WITH {REFINED_SQL} SELECT r.pk, CAST(r.node AS VARCHAR) AS node_id, round(CASE WHEN is_orig THEN d.u ELSE r.x_local * 0.1 END, 6) + 0e0 AS u,
  round(CASE WHEN is_orig THEN d.u ELSE r.x_local * 0.2 END, 6) + 0e0 AS u_rkt, CASE WHEN NOT is_orig THEN 0.5e0 END AS kriging_var_u,
  CASE WHEN is_orig THEN 'original' ELSE 'interpolated' END AS interpolation_source
@@ -245,6 +265,18 @@ def _(t):
     return rounded(_knn(t).select("pk", "q_id", "t_id", "rank", "d2"))
 
 
+# One dense cluster and one far outlier per key, and keys a million units apart.
+CLUSTERED = "clustered AS (SELECT id % 2 AS pk, id, CASE WHEN id < 2 THEN 1e6 ELSE x * 0.01e0 END + (id % 2) * 1e6 AS x, CASE WHEN id < 2 THEN 1e6 ELSE y * 0.01e0 END AS y FROM grid)"
+
+
+@query("knn_join_clustered", f"""WITH {CLUSTERED}, near AS (SELECT q.pk, q.id AS q_id, t.id AS t_id, (q.x - t.x) * (q.x - t.x) + (q.y - t.y) * (q.y - t.y) AS d2
+ FROM clustered q JOIN clustered t ON q.pk = t.pk)
+SELECT pk, q_id, t_id, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY pk, q_id ORDER BY d2, t_id) AS rank FROM near) WHERE rank <= 5""", "grid")
+def _(t):
+    far = t.grid.selectExpr("id % 2 AS pk", "id", "CASE WHEN id < 2 THEN 1e6 ELSE x * 0.01e0 END + (id % 2) * 1e6 AS x", "CASE WHEN id < 2 THEN 1e6 ELSE y * 0.01e0 END AS y")
+    return neighbors.knn_join(far, far, 5, ["pk"]).select("pk", "q_id", "t_id", "rank")
+
+
 @query("knn_join_maxdist", f"WITH {KNN} SELECT pk, q_id, t_id, CAST(rank AS INT) AS rank FROM knn WHERE d2 <= 56.25 AND rank <= 9", "tiles")
 def _(t):
     return _knn(t, 9, maxdist=7.5, spread="query").select("pk", "q_id", "t_id", "rank")
@@ -560,7 +592,7 @@ def _stamped(t):
 
 
 ITEMS = """items AS (SELECT strftime(min(ts), '%Y%m%dT%H') AS item_id, path, min(lon) AS min_lon, min(lat) AS min_lat, max(lon) AS max_lon, max(lat) AS max_lat,
- date_trunc('second', min(ts)) AS start_ts, date_trunc('second', max(ts)) AS end_ts, count(*) AS row_count, min(source_model) AS source_model FROM files GROUP BY path)"""
+ date_trunc('second', min(ts)) AS start_ts, date_trunc('second', max(ts)) AS end_ts, count(*) AS row_count, min(source_model) AS source_model, 1 AS n_files FROM files GROUP BY path)"""
 
 
 def _texts(items):
@@ -572,6 +604,20 @@ def _(t):
     return _texts(catalog.catalog_items(_stamped(t)))
 
 
+PARTS = """items AS (SELECT strftime(min(ts), '%Y%m%dT%H') AS item_id, min(replace(path, 'data.', concat('part-', CAST(event_id % 3 AS VARCHAR), '.'))) AS path, min(lon) AS min_lon,
+ min(lat) AS min_lat, max(lon) AS max_lon, max(lat) AS max_lat, date_trunc('second', min(ts)) AS start_ts, date_trunc('second', max(ts)) AS end_ts, count(*) AS row_count,
+ min(source_model) AS source_model, count(DISTINCT event_id % 3) AS n_files FROM files GROUP BY path)"""
+
+
+def _parts(t):
+    return _stamped(t).withColumn("path", F.expr("replace(path, 'data.', concat('part-', CAST(event_id % 3 AS STRING), '.'))"))
+
+
+@query("catalog_items_multi_file", f"WITH {PARTS} SELECT * EXCLUDE (start_ts, end_ts), strftime(start_ts, '%Y-%m-%d %H:%M:%S') AS start_datetime, strftime(end_ts, '%Y-%m-%d %H:%M:%S') AS end_datetime FROM items", "files")
+def _(t):
+    return _texts(catalog.catalog_items(_parts(t)))
+
+
 @query("item_id", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN concat('my-file', CAST(event_id AS VARCHAR)) ELSE strftime(ts, '%Y%m%dT%H') END AS item_id FROM files", "files")
 def _(t):
     path = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("/data/My.File"), F.col("event_id").cast("string"), F.lit(".parquet"))).otherwise(F.col("path"))
@@ -595,6 +641,23 @@ def _(t):
     return catalog.column_catalog(t.lineitem.select("l_orderkey", "l_quantity", "l_shipdate", "l_returnflag", "l_linenumber"), described)
 
 
+@query("column_profile", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS name, count(*) AS n_rows, count(*) - count({c}) AS n_null, {f'CAST(min({c}) AS DOUBLE)' if number else 'CAST(NULL AS DOUBLE)'} AS min_value, "
+    f"{f'CAST(max({c}) AS DOUBLE)' if number else 'CAST(NULL AS DOUBLE)'} AS max_value FROM lineitem"
+    for c, number in (("l_orderkey", True), ("l_quantity", True), ("l_shipdate", False), ("l_returnflag", False), ("l_linenumber", True))) + ")")
+def _(t):
+    return catalog.column_profile(t.lineitem.select("l_orderkey", "l_quantity", "l_shipdate", "l_returnflag", "l_linenumber"))
+
+
+@query("incremental_items_multi_file", f"""WITH {PARTS} SELECT item_id, row_count, n_files, CASE WHEN substr(item_id, 7, 2) < '11' THEN 'old' ELSE 'new' END AS origin FROM items
+UNION ALL SELECT '2019-other', 7, 1, 'old'""", "files")
+def _(t):
+    items = catalog.catalog_items(_parts(t)).select("item_id", "row_count", "n_files")
+    old = items.filter(F.substring("item_id", 7, 2) < "11").union(t.spark.sql("SELECT '2019-other', 7L, 1L")).withColumn("origin", F.lit("old"))
+    found = items.union(t.spark.sql("SELECT '2019-late', 9L, 1L")).withColumn("origin", F.lit("new"))
+    return catalog.incremental_items(old, found, ["2024"])
+
+
 @query("incremental_items", f"""WITH {ITEMS} SELECT item_id, row_count, CASE WHEN substr(item_id, 10, 2) < '12' THEN 'old' ELSE 'new' END AS origin FROM items""", "files")
 def _(t):
     items = catalog.catalog_items(_stamped(t)).select("item_id", "row_count")

@@ -21,11 +21,21 @@ SIDECAR_SCHEMA = (
 )
 
 
+# Error conditions that mean "no such files"; any other analysis error is the caller's to see.
+NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _no_files(e: AnalysisException) -> bool:
+    return (e.getCondition() or "").startswith(NO_FILES)
+
+
 def _read(spark: SparkSession, root: str, glob: str) -> DataFrame | None:
     try:
         return spark.read.option("mergeSchema", True).option("pathGlobFilter", glob).parquet(root)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if _no_files(e):
+            return None
+        raise
 
 
 def scan_partitions(spark: SparkSession, root: str, date: str | None = None, hour: str | None = None) -> DataFrame:
@@ -55,24 +65,31 @@ def nanos_to_timestamp(c):
 def write_hourly(df: DataFrame, root: str, files_per_hour: int = 1) -> None:
     """Write partitions with snappy, replacing only the hours present in ``df``.
 
-    ``files_per_hour`` spreads a large hour over several tasks and files.
+    ``files_per_hour`` spreads a large hour over several tasks and files. The number of tasks is
+    given, because small partitions would else be merged and an hour's files with them.
     """
-    keys = [F.col(k) for k in HOUR_KEYS]
+    keys, tasks = [F.col(k) for k in HOUR_KEYS], int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if files_per_hour > 1:
         keys.append(F.pmod(F.xxhash64(*(c for c in df.columns if c not in HOUR_KEYS)), F.lit(int(files_per_hour))))
+        tasks *= int(files_per_hour)
     (
-        df.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.repartition(tasks, *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy(*HOUR_KEYS).parquet(root)
     )
 
 
 def read_sidecars(spark: SparkSession, dataset_root: str) -> DataFrame:
-    """Sidecar documents of a dataset with their hour; no documents give an empty frame."""
+    """Sidecar documents of a dataset with their hour; no documents give an empty frame.
+
+    A malformed document is an error when its row is read, never a row of NULLs.
+    """
     try:
         return spark.read.schema(f"{SIDECAR_SCHEMA}, year string, month string, day string, hour string").option(
             "multiLine", True
-        ).json(sidecar_root(dataset_root))
-    except AnalysisException:
+        ).option("mode", "FAILFAST").json(sidecar_root(dataset_root))
+    except AnalysisException as e:
+        if not _no_files(e):
+            raise
         return spark.createDataFrame([], f"{SIDECAR_SCHEMA}, year string, month string, day string, hour string")
 
 

@@ -41,30 +41,40 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     return points_from_rows(spark.read.option("header", True).csv(path))
 
 
-def rings_from_geojson(texts: DataFrame, text: str = "value", name: Column | None = None) -> DataFrame:
-    """(region_name, ring) of GeoJSON documents: first feature, first polygon, outer ring."""
+def rings_from_geojson(texts: DataFrame, text: str = "value", name: Column | None = None, first_only: bool = False) -> DataFrame:
+    """(region_name, feature, part, ring_no, ring) of GeoJSON documents: every ring of every polygon.
+
+    ``feature``, ``part`` and ``ring_no`` count from 0; ring 0 of a part is its outer one, the others
+    are holes. ``first_only`` gives one row per document, (region_name, ring): the outer ring of the
+    first polygon of the first feature. A geometry without a polygon is an error.
+    """
     doc = F.col(text)
     kind = F.get_json_object(doc, "$.type")
-    geometry = (
-        F.when(kind == "FeatureCollection", F.get_json_object(doc, "$.features[0].geometry"))
-        .when(kind == "Feature", F.get_json_object(doc, "$.geometry"))
-        .when(kind.isin("Polygon", "MultiPolygon"), doc)
-    )
-    shape = F.get_json_object(F.col("_g"), "$.type")
-    pairs = F.when(shape == "Polygon", F.get_json_object(F.col("_g"), "$.coordinates[0]")).when(
-        shape == "MultiPolygon", F.get_json_object(F.col("_g"), "$.coordinates[0][0]")
-    )
-    ring = F.from_json(pairs, "array<array<double>>")
-    ring = F.when(F.size(ring) >= 3, ring).otherwise(F.raise_error(F.lit("no polygon in GeoJSON")).cast("array<array<double>>"))
+    features = F.when(
+        kind == "FeatureCollection", F.from_json(doc, "features array<struct<geometry:string>>")["features"]["geometry"]
+    ).otherwise(F.array(F.when(kind == "Feature", F.get_json_object(doc, "$.geometry")).otherwise(doc)))
     label = name if name is not None else F.get_json_object(doc, "$.name")
-    return texts.withColumn("_g", geometry).select(label.alias("region_name"), ring_from_pairs(ring).alias("ring"))
-
-
-def read_regions(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
-    """Regions of GeoJSON files, named after the file unless a name is given."""
+    shapes = texts.select(label.alias("region_name"), F.posexplode_outer(features).alias("feature", "_g"))
+    shape, body = F.get_json_object("_g", "$.type"), F.get_json_object("_g", "$.coordinates")
+    rings = "array<array<array<double>>>"
+    parts = F.when(shape == "Polygon", F.array(F.from_json(body, rings))).when(shape == "MultiPolygon", F.from_json(body, f"array<{rings}>"))
+    parts = F.when(F.size(parts) > 0, parts).otherwise(F.raise_error(F.lit("no polygon in GeoJSON")).cast(f"array<{rings}>"))
+    if first_only:
+        shapes = shapes.filter("coalesce(feature, 0) = 0")
+    each = shapes.select("region_name", "feature", F.posexplode(parts).alias("part", "_p")).select(
+        "region_name", "feature", "part", F.posexplode("_p").alias("ring_no", "_r"))
+    if first_only:
+        each = each.filter("part = 0 AND ring_no = 0")
+    whole = F.when(F.size("_r") >= 3, F.col("_r")).otherwise(F.raise_error(F.lit("no polygon in GeoJSON")).cast("array<array<double>>"))
+    kept = ["region_name"] if first_only else ["region_name", "feature", "part", "ring_no"]
+    return each.select(*kept, ring_from_pairs(whole).alias("ring"))
+
+
+def read_regions(spark: SparkSession, path: str, name: str | None = None, first_only: bool = False) -> DataFrame:
+    """Regions of GeoJSON files (see :func:`rings_from_geojson`), named after the file unless a name is given."""
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
     texts = spark.read.text(path, wholetext=True)
-    return rings_from_geojson(texts.select("value", stem.alias("_stem")), name=F.lit(name) if name else F.col("_stem"))
+    return rings_from_geojson(texts.select("value", stem.alias("_stem")), name=F.lit(name) if name else F.col("_stem"), first_only=first_only)
 
 
 def model_table(spark: SparkSession) -> DataFrame:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
-def write_metrics(tables: dict[str, DataFrame], root: str, by: str = "buoy_id") -> None:
-    """Each table as CSV with a header under ``root/<name>``, one folder per buoy."""
+def write_metrics(tables: dict[str, DataFrame], root: str, by: str = "buoy_id", files_per_key: int = 8) -> None:
+    """Each table as CSV with a header under ``root/<name>``, one folder per buoy.
+
+    A buoy's rows are spread over up to ``files_per_key`` tasks and files, so one long series is not one task.
+    """
     for name, df in tables.items():
-        df.repartition(by).write.mode("overwrite").option("header", True).partitionBy(by).csv(f"{root.rstrip('/')}/{name}")
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_key))
+        df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col(by), part).write.mode("overwrite").option("header", True).partitionBy(by).csv(f"{root.rstrip('/')}/{name}")
 
 
 def write_subset(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -76,15 +76,16 @@ def test_samples_are_exact_and_disjoint(spark):
     assert len(sizes) == 15 and max(sizes) - min(sizes) <= 1
 
 
-def test_point_list_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(lattice, "MAX_POINTS", 3)
-    nodes = spark.sql("SELECT 0 AS pk, id % 3 * 1D AS x, id div 3 * 1D AS y FROM range(9)")
+def test_point_lists_of_any_length(spark):
+    nodes = spark.sql("SELECT pk, id % 3 * 1D AS x, id div 3 * 1D AS y FROM range(9), (SELECT explode(array(0, 1)) AS pk)")
     lat = lattice.infer_lattice(nodes, ["pk"])
     grid = lattice.refine_grid(lat, ["pk"], 2)
-    points = spark.sql("SELECT concat('p', id) AS name, 0.5D AS lon, 0.5D AS lat FROM range(4)")
-    assert lattice.append_points(grid, points.limit(3), lat, ["pk"], crs.LonLat()).count() == 28
-    with pytest.raises(Exception, match="more than 3 points"):
-        lattice.append_points(grid, points, lat, ["pk"], crs.LonLat()).collect()
+    points = spark.sql("SELECT concat('p', id) AS name, 0.5D AS lon, id * 0.1D AS lat FROM range(20000)")
+    out = lattice.append_points(grid, points, lat, ["pk"], crs.LonLat())
+    assert out.count() == 2 * (25 + 20000) and out.filter("is_test_point").select("pk", "node_id").distinct().count() == 40000
+    unnamed = spark.sql("SELECT CAST(NULL AS STRING) AS name, 3.0D - id AS lon, 0D AS lat FROM range(3)")
+    rows = lattice.append_points(grid, unnamed, lat, ["pk"], crs.LonLat()).filter("is_test_point AND pk = 0").collect()
+    assert sorted((r.node_id, r.x) for r in rows) == [("test_point_1", 1.0), ("test_point_2", 2.0), ("test_point_3", 3.0)]
 
 
 def test_stages_are_read_back_and_released(spark):

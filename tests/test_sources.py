@@ -11,7 +11,7 @@ from gustgrid.functions.text import sidecar_root
 from gustgrid.operators import catalog, metrics, regions
 from gustgrid.plans import compare
 from gustgrid.sources import hours, inputs, reports
-from gustgrid.streaming.catalog import catalog_stream
+from gustgrid.streaming.catalog import catalog_stream, read_catalog
 
 
 def hour_rows(spark, day="02", n_hours=3, shift=0.0):
@@ -80,8 +80,13 @@ def test_points_and_regions_from_files(spark, tmp_path):
     ring = [[-8.6, 43.3], [-8.4, 43.3], [-8.4, 43.5], [-8.6, 43.3]]
     (tmp_path / "coast.geojson").write_text(json.dumps(
         {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": {"type": "MultiPolygon", "coordinates": [[ring]]}}]}, indent=1))
-    row = inputs.read_regions(spark, str(tmp_path / "coast.geojson")).first()
+    row = inputs.read_regions(spark, str(tmp_path / "coast.geojson"), first_only=True).first()
     assert row.region_name == "coast" and [[p.lon, p.lat] for p in row.ring] == ring
+    hole, other = [[-8.5, 43.35], [-8.45, 43.35], [-8.45, 43.4]], [[0, 0], [1, 0], [1, 1]]
+    polygons = [{"type": "MultiPolygon", "coordinates": [[ring, hole], [other]]}, {"type": "Polygon", "coordinates": [other]}]
+    (tmp_path / "many.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": g} for g in polygons]}))
+    rows = inputs.read_regions(spark, str(tmp_path / "many.geojson")).collect()
+    assert sorted((r.feature, r.part, r.ring_no, len(r.ring)) for r in rows) == [(0, 0, 0, 4), (0, 0, 1, 3), (0, 1, 0, 3), (1, 0, 0, 3)]
     (tmp_path / "line.geojson").write_text('{"type":"LineString","coordinates":[[0,0],[1,1]]}')
     with pytest.raises(Exception, match="no polygon"):
         inputs.read_regions(spark, str(tmp_path / "line.geojson")).collect()
@@ -164,6 +169,12 @@ def test_stream_catalogs_new_hours_once(spark, tmp_path):
     hours.write_hourly(hour_rows(spark, day="03", n_hours=1), root)
     catalog_stream(spark, root, schema, table, state).awaitTermination(120)
     assert {r.item_id for r in spark.read.parquet(table).collect()} == {"20250102T00", "20250102T01", "20250103T00"}
+    # A second file of a cataloged hour arrives in a later batch.
+    late = f"{root}/year=2025/month=01/day=03/hour=00"
+    spark.read.parquet(late).limit(1).write.mode("append").parquet(late)
+    catalog_stream(spark, root, schema, table, state).awaitTermination(120)
+    item = {r.item_id: r for r in read_catalog(spark, table).collect()}
+    assert len(item) == 3 and item["20250103T00"].n_files == 2 and item["20250103T00"].row_count == item["20250102T00"].row_count + 1
 
 
 def test_cubes_are_ingested_and_grids_published(spark, tmp_path):
