@@ -10,6 +10,10 @@ from gustgrid.operators.projection import project
 
 # Relative tolerance when a coordinate is matched to a lattice line.
 ON_LINE = 1e-6
+# Coordinates nearer than this share of the extent are one lattice line (noise of float arithmetic).
+SAME_LINE = 1e-7
+# Points whose extent would hold this many times the lines they lie on are scattered, not a lattice.
+SCATTERED = 16
 # Parts that a point list is cut into when it meets the hours.
 POINT_PARTS = 32
 
@@ -43,25 +47,32 @@ def local_coords(df: DataFrame, keys: Sequence[str], x="x", y="y") -> DataFrame:
 def infer_lattice(df: DataFrame, keys: Sequence[str], x="x", y="y") -> DataFrame:
     """One row per key: origin, extents, smallest gap between lattice lines, number of lines.
 
-    Only the distinct coordinates of one axis (the lattice width) meet in a window.
+    Coordinates that differ by noise are one line. ``base_res`` is NULL without two lines, and for
+    scattered points, so that one bad hour has no lattice instead of a boundless grid. Only the
+    distinct coordinates of one axis (the lattice width) meet in a window.
     """
     keys = list(keys)
     axes = df.select(*keys, F.explode(F.array(
         F.struct(F.lit("x").alias("axis"), F.col(x).alias("c")),
         F.struct(F.lit("y").alias("axis"), F.col(y).alias("c")),
     )).alias("_e")).select(*keys, "_e.axis", "_e.c").distinct()
-    gap = F.col("c") - F.lag("c").over(Window.partitionBy(*keys, "axis").orderBy("c"))
+    per_axis = Window.partitionBy(*keys, "axis")
+    gap = F.col("c") - F.lag("c").over(per_axis.orderBy("c"))
+    extent = F.max("c").over(per_axis) - F.min("c").over(per_axis)
+    axes = axes.withColumns({"gap": gap, "extent": extent}).withColumn("fresh", F.coalesce(F.col("gap") > SAME_LINE * F.col("extent"), F.lit(True)))
 
-    def of(axis, agg):
-        return agg(F.when(F.col("axis") == axis, F.col("c")))
+    def of(axis, agg, column="c", where=None):
+        return agg(F.when((F.col("axis") == axis) if where is None else (F.col("axis") == axis) & where, F.col(column)))
 
-    return axes.withColumn("gap", gap).groupBy(*keys).agg(
-        F.min("gap").alias("base_res"),
+    found = axes.groupBy(*keys).agg(
+        F.min(F.when(F.col("fresh"), F.col("gap"))).alias("base_res"),
         of("x", F.min).alias("min_x"), of("y", F.min).alias("min_y"),
         (of("x", F.max) - of("x", F.min)).alias("max_x_local"),
         (of("y", F.max) - of("y", F.min)).alias("max_y_local"),
-        of("x", F.count).alias("n_x"), of("y", F.count).alias("n_y"),
+        of("x", F.count, where=F.col("fresh")).alias("n_x"), of("y", F.count, where=F.col("fresh")).alias("n_y"),
     )
+    regular = F.greatest(*(F.col(f"max_{a}_local") / F.col("base_res") / F.col(f"n_{a}") for a in "xy")) <= SCATTERED
+    return found.withColumn("base_res", F.when(regular, F.col("base_res")))
 
 
 def _lines(extent: Column, spacing: Column) -> Column:

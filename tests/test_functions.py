@@ -88,6 +88,21 @@ def test_point_lists_of_any_length(spark):
     assert sorted((r.node_id, r.x) for r in rows) == [("test_point_1", 1.0), ("test_point_2", 2.0), ("test_point_3", 3.0)]
 
 
+def test_noise_and_scatter_in_lattices(spark):
+    nodes = spark.sql(
+        "SELECT 'clean' AS pk, id % 6 * 4D AS x, id div 6 * 4D AS y FROM range(36) UNION ALL"
+        " SELECT 'noisy', id % 6 * 4D + sin(id) * 1e-9D, id div 6 * 4D + cos(id) * 1e-9D FROM range(36) UNION ALL"
+        " SELECT 'scattered', 50 * sin(id * 12.9898D), 50 * cos(id * 78.233D) FROM range(60) UNION ALL SELECT 'one', 1D, 2D")
+    lat = {r.pk: r for r in lattice.infer_lattice(nodes, ["pk"]).collect()}
+    assert lat["clean"].base_res == 4 and (lat["clean"].n_x, lat["clean"].n_y) == (6, 6)
+    assert abs(lat["noisy"].base_res - 4) < 1e-6 and (lat["noisy"].n_x, lat["noisy"].n_y) == (6, 6)
+    assert lat["scattered"].base_res is None and lat["one"].base_res is None
+    noisy = nodes.filter("pk = 'noisy'")
+    lines = lattice.infer_lattice(noisy, ["pk"])
+    assert lattice.refine_grid(lines, ["pk"], 2).count() == 121
+    assert lattice.assign_node_id(noisy, lines, ["pk"], 2).filter("node IS NULL").count() == 0
+
+
 def test_stages_are_read_back_and_released(spark):
     df = session.stage(spark.range(5), "t")
     assert df.count() == 5
