@@ -10,13 +10,16 @@ maximum and agree between two sets with a probability close to their Jaccard sim
    with probability (1 - 0.8**5)**40 = 1e-7;
 3. every class of a bucket is compared with the bucket's leader (its smallest class). The
    similarity is estimated by maximum likelihood over the three register counts (greater, equal,
-   less) and the two set sizes; pairs that cannot be links are put aside;
-4. links are confirmed on the full sets and merged into components;
-5. buckets that still hold several components are searched completely, in blocks of bounded size,
-   for links across components. This repeats until no unconfirmed pair is left, so no link is lost
-   and no group is expanded into all its pairs.
-
-All tables stay distributed. Rounds are written to the shared folder.
+   less) and the two set sizes; pairs that cannot be links are put aside. The best leader of each
+   class is confirmed on the full sets, which already merges most groups;
+4. buckets that still hold several components are searched completely, in blocks of bounded size,
+   for pairs of different components that may be links. Each block gives a spanning forest of such
+   pairs, so its output is no longer than its input; the forests' components are candidate groups;
+5. the members of a candidate group meet again in blocks with their full sets, and every pair of
+   different components that may be a link is checked there. Only links that merge two components
+   leave the block. No link is lost, and no group is expanded into its pairs.
+
+All tables stay distributed; intermediate ones are written to the shared folder.
 """
 
 from __future__ import annotations
@@ -186,66 +189,113 @@ def _set_batches(words: int):
     return run
 
 
-def _cross_pairs(lowest: float, threshold: float, most: int):
-    """Pairs of one sorted block group (rows share bucket, i, j) that may link two components.
+class _Union:
+    """Disjoint sets of a block's rows."""
+
+    def __init__(self, comps: np.ndarray):
+        _, first, inverse = np.unique(comps, return_index=True, return_inverse=True)
+        self.root = first[inverse]
+
+    def merge(self, x: int, y: int) -> None:
+        self.root[self.root == self.root[y]] = self.root[x]
+
+
+def _overlap(x: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of one sorted set with each of several non-empty ones."""
+    every = np.concatenate(sets)
+    met = x[np.minimum(np.searchsorted(x, every), len(x) - 1)] == every
+    sizes = [len(s) for s in sets]
+    return np.add.reduceat(met.astype(np.int64), np.cumsum(sizes) - sizes)
 
-    For each row and other component the ``most`` best estimates are given, and the next one is
-    marked as ``more``; the caller raises ``most`` until nothing is held back.
+
+def _block_links(lowest: float, threshold: float, exact: bool):
+    """Links of each block group of a sorted stream (rows that share key, i, j).
+
+    Rows of block ``i`` meet rows of block ``j``. A pair of different components whose estimate is at
+    least ``lowest`` merges them, if ``exact`` only after a check of the full sets. The merging pairs
+    are a spanning forest: fewer than the rows.
     """
 
-    def pairs(group: pa.Table) -> list[tuple[int, int, bool]]:
+    def links(group: pa.Table) -> list[tuple[int, int]]:
         cls, comp, n, blk = (group.column(c).to_numpy() for c in ("cls", "comp", "n", "blk"))
-        regs = _registers(group.column("regs"))
+        if (comp == comp[0]).all():
+            return []
+        regs, union = _registers(group.column("regs")), _Union(comp)
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in group.column("shingles")] if exact else []
+        # An id with several texts meets all its sets; sizes belong to the sets.
+        n = np.array([len(v) for v in sets]) if exact else n
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         left, right = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
         out = []
         for x in left:
-            y = right[(comp[right] != comp[x]) & ((cls[right] > cls[x]) if i == j else True)]
-            lo, hi = np.minimum(n[y], n[x]), np.maximum(n[y], n[x])
-            y = y[lo >= threshold * hi]
-            if not len(y):
-                continue
-            # A cheap count first: the likelihood estimate cannot exceed the share of equal registers by much.
-            y = y[(regs[y] == regs[x]).mean(axis=1) >= lowest - 0.05]
+            y = right[(union.root[right] != union.root[x]) & (right > x if i == j else True)]
+            y = y[np.minimum(n[y], n[x]) >= threshold * np.maximum(n[y], n[x])]
+            # A cheap count first: the estimate is never far above the share of equal registers.
+            y = y[(regs[y] == regs[x]).sum(axis=1) >= (lowest - 0.05) * REGISTERS] if len(y) else y
             if not len(y):
                 continue
             est = estimate(np.broadcast_to(regs[x], (len(y), REGISTERS)), regs[y], np.full(len(y), float(n[x])), n[y].astype(np.float64))
-            order = np.lexsort((cls[y], -est))
-            seen: dict[int, int] = {}
-            for k in order[est[order] >= lowest]:
-                other = int(comp[y[k]])
-                seen[other] = seen.get(other, 0) + 1
-                if seen[other] <= most + 1:
-                    out.append((int(cls[x]), int(cls[y[k]]), seen[other] > most))
+            y = y[np.argsort(-est, kind="stable")][: int((est >= lowest).sum())]
+            while len(y):
+                # The best row of every other component first: one link makes the rest needless.
+                roots, first = np.unique(union.root[y], return_index=True)
+                tried = y[first]
+                if exact:
+                    both = _overlap(sets[x], [sets[k] for k in tried])
+                    good = tried[100 * both >= round(100 * threshold) * (n[x] + n[tried] - both)]
+                else:
+                    good = tried
+                for k in good:
+                    if union.root[k] != union.root[x]:
+                        out.append((int(cls[x]), int(cls[k])))
+                        union.merge(x, k)
+                y = np.delete(y, first)
+                y = y[union.root[y] != union.root[x]]
         return out
 
+    def bounds(table: pa.Table) -> np.ndarray:
+        key = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
+        return np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            rest = table if rest is None else pa.concat_tables([rest, table])
-            yield from emit(rest, False)
-            rest = rest.slice(cut(rest))
-        if rest is not None and rest.num_rows:
-            yield from emit(rest, True)
-
-    def edges_of(table: pa.Table) -> np.ndarray:
-        key = np.stack([table.column(c).to_numpy() for c in ("bucket", "i", "j")])
-        return np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            table = pa.Table.from_batches(held)
+            at = bounds(table)
+            if len(at) > 1:
+                yield from emit(table, [*at])
+                held = table.slice(int(at[-1])).combine_chunks().to_batches()
+        if held:
+            table = pa.Table.from_batches(held)
+            yield from emit(table, [*bounds(table), table.num_rows])
+
+    def emit(table: pa.Table, at: list[int]) -> Iterator[pa.RecordBatch]:
+        found = [p for a, b in zip(at, at[1:]) for p in links(table.slice(a, b - a))]
+        if found:
+            x, y = zip(*found)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
-    def cut(table: pa.Table) -> int:
-        return int(edges_of(table)[-1]) if table.num_rows else 0
+    return run
 
-    def emit(table: pa.Table, last: bool) -> Iterator[pa.RecordBatch]:
-        if not table.num_rows:
-            return
-        at = [*edges_of(table), table.num_rows]
-        for a, b in zip(at[: len(at) - (1 if last else 2)], at[1:]):
-            if found := pairs(table.slice(a, b - a)):
-                x, y, e = zip(*found)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(e, pa.bool_())], ["a", "b", "more"])
 
-    return run
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Rows (key, cls, comp) of keys with several components, dealt into block pairs (key, i, j).
+
+    Rows of a key's largest component never need to meet each other, so they have blocks of their
+    own that meet only the blocks of the others: a huge group with a few stragglers costs a copy of
+    the stragglers for every block.
+    """
+    each = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
+    most = each.groupBy("key").agg(F.sum("m").alias("rows"), F.max(F.struct("m", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+    dealt = members.join(most.selectExpr(
+        "key", "top.comp AS top", f"CAST(ceil(top.m / {BLOCK}e0) AS INT) AS mine", f"CAST(ceil((rows - top.m) / {BLOCK}e0) AS INT) AS others"), "key")
+    dealt = dealt.selectExpr("key", "cls", "comp", "mine", "others", "comp = top AS big",
+                             "CAST(pmod(xxhash64(cls), CASE WHEN comp = top THEN mine ELSE others END) AS INT) + CASE WHEN comp = top THEN 0 ELSE mine END AS blk")
+    return dealt.selectExpr("key", "cls", "comp", "blk", "explode(CASE WHEN big THEN sequence(mine, mine + others - 1) ELSE sequence(0, mine + others - 1) END) AS other").selectExpr(
+        "key", "cls", "comp", "blk", "least(blk, other) AS i", "greatest(blk, other) AS j")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -255,15 +305,15 @@ def components(edges: DataFrame) -> DataFrame:
     aggregation and a join, so a hub's edges are spread by the other end.
     """
     e = stage(edges.selectExpr("greatest(a, b) AS u", "least(a, b) AS v").filter("u <> v").distinct(), "stars")
-    before = None
     while True:
-        now = e.agg(F.count(F.lit(1)), F.sum(F.expr("CAST(xxhash64(u, v) AS DECIMAL(38, 0))"))).first()
-        if now == before:
+        # Done when every node that points has one target, and no target points on.
+        ends = e.selectExpr("inline(array(struct(u AS x, 1 AS points, 0 AS target), struct(v AS x, 0 AS points, 1 AS target)))")
+        ends = ends.groupBy("x").agg(F.sum("points").alias("points"), F.max("target").alias("target"))
+        if not ends.filter("points > 1 OR (points = 1 AND target = 1)").agg(F.count(F.lit(1))).first()[0]:
             return e.selectExpr("u AS node", "v AS comp")
-        before = now
         both = e.union(e.selectExpr("v AS u", "u AS v"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
-        large = both.filter("v > u").join(low, "u").selectExpr("v AS u", "m AS v").distinct()
+        large = both.filter("v > u").join(low, "u").selectExpr("v AS u", "m AS v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").selectExpr("explode(array(struct(u AS u, m AS v), struct(v AS u, m AS v))) AS p").selectExpr("p.u", "p.v")
         e = stage(small.filter("u <> v").distinct(), "stars")
@@ -296,68 +346,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     candidates = stage(scored(members.filter("cls <> lead").selectExpr("cls AS a", "lead AS b").distinct()), "candidates")
 
-    sets: list[DataFrame] = []
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Checks pairs on full sets; texts are read again only for documents not seen before."""
-        needed = pairs.selectExpr("explode(array(a, b)) AS id").distinct()
-        for known in sets:
-            needed = needed.join(known.select("id"), "id", "left_anti")
-        needed = stage(needed, "needed")
-        if not needed.isEmpty():
-            texts = rows.join(needed.hint("shuffle_hash"), "id", "left_semi")
-            sets.append(stage(texts.mapInArrow(_set_batches(words), "id long, shingles binary"), "sets"))
-        known = sets[0]
-        for more in sets[1:]:
-            known = known.union(more)
-        both = pairs.select("a", "b").join(known.withColumnsRenamed({"id": "a", "shingles": "sa"}), "a").join(
-            known.withColumnsRenamed({"id": "b", "shingles": "sb"}), "b")
-        checked = both.select("a", "b", "sa", "sb").mapInArrow(_verify_batches(threshold), "a long, b long, linked boolean")
-        return stage(checked.groupBy("a", "b").agg(F.max("linked").alias("linked")), "checked")
-
-    def across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-        """The pairs whose ends are in different components so far."""
-        for s in "ab":
-            pairs = pairs.join(comp.withColumnsRenamed({"node": s, "comp": f"c{s}"}), s, "left")
-        return pairs.filter("coalesce(ca, a) <> coalesce(cb, b)").drop("ca", "cb")
-
-    comp = None
-    if not candidates.isEmpty():
-        # First the best leader of each class: most groups become one component with one check a row.
-        best = candidates.groupBy("a").agg(F.max(F.struct("est", F.expr("-b AS nb"))).alias("x")).selectExpr("a", "-x.nb AS b")
-        done = confirmed(best)
-        comp = components(done.filter("linked").select("a", "b"))
-        rest = stage(across(candidates.join(done, ["a", "b"], "left_anti"), comp), "candidates")
-        if not rest.isEmpty():
-            done = done.union(confirmed(rest))
-            comp = components(done.filter("linked").select("a", "b"))
-    else:
-        done = candidates.selectExpr("a", "b", "true AS linked")
-    most = 4
-    while True:
-        # Buckets with several components are searched in full, block by block.
-        own = members.select("bucket", "cls", "size")
-        own = own.join(comp, own.cls == comp.node, "left").selectExpr("bucket", "cls", "size", "coalesce(comp, cls) AS comp") if comp is not None else own.withColumn("comp", F.col("cls"))
-        mixed = own.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("bucket")
-        blocks = own.join(mixed, "bucket").selectExpr(
-            "*", f"CAST(ceil(size / {BLOCK}e0) AS INT) AS blocks").selectExpr("*", "CAST(pmod(xxhash64(cls), blocks) AS INT) AS blk")
-        blocks = blocks.selectExpr("bucket", "cls", "comp", "blk", "explode(sequence(0, blocks - 1)) AS other").selectExpr(
-            "bucket", "cls", "comp", "blk", "least(blk, other) AS i", "greatest(blk, other) AS j")
-        full = blocks.join(reps, "cls").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-        found = stage(full.select("bucket", "i", "j", "cls", "comp", "blk", "n", "regs").mapInArrow(
-            _cross_pairs(lowest, threshold, most), "a long, b long, more boolean"), "found")
-        known = done.selectExpr("greatest(a, b) AS a", "least(a, b) AS b")
-        fresh = found.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct().join(known, ["a", "b"], "left_anti")
-        fresh = stage(fresh, "fresh")
-        if not fresh.isEmpty():
-            done = done.union(confirmed(fresh))
-            comp = components(done.filter("linked").select("a", "b"))
-        elif found.filter("more").isEmpty():
-            break
-        most *= 4
-
-    linked = classes.join(comp, classes.cls == comp.node, "left").selectExpr("k1", "k2", "coalesce(comp, cls) AS comp") if comp is not None \
-        else classes.selectExpr("k1", "k2", "cls AS comp")
+    def sets_for(needed: DataFrame) -> DataFrame:
+        """Full sets of the documents with these ids (one column, distinct)."""
+        texts = rows.join(needed.hint("shuffle_hash"), "id", "left_semi").distinct()
+        return stage(texts.mapInArrow(_set_batches(words), "id long, shingles binary").filter("octet_length(shingles) > 0"), "sets")
+
+    # The best leader of each class: most groups become one component with one check a row.
+    best = stage(candidates.groupBy("a").agg(F.max(F.struct("est", F.expr("-b AS nb"))).alias("x")).selectExpr("a", "-x.nb AS b"), "best")
+    sets = sets_for(best.selectExpr("explode(array(a, b)) AS id").distinct())
+    both = best.join(sets.withColumnsRenamed({"id": "a", "shingles": "sa"}), "a").join(sets.withColumnsRenamed({"id": "b", "shingles": "sb"}), "b")
+    sure = stage(both.select("a", "b", "sa", "sb").mapInArrow(_verify_batches(threshold), "a long, b long, linked boolean").filter("linked").select("a", "b"), "links")
+    comp = components(sure)
+
+    def blocks(keyed: DataFrame, *more: DataFrame) -> DataFrame:
+        """Block pairs of (key, cls), with components so far and registers (and what ``more`` adds by cls)."""
+        own = keyed.join(comp, keyed.cls == comp.node, "left").selectExpr("key", "cls", "coalesce(comp, cls) AS comp")
+        full = _in_blocks(own).join(reps, "cls")
+        for m in more:
+            full = full.join(m, "cls")
+        return full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select(
+            "key", "i", "j", "cls", "comp", "blk", "n", "regs", *(c for m in more for c in m.columns if c != "cls"))
+
+    forest = blocks(members.selectExpr("bucket AS key", "cls")).mapInArrow(_block_links(lowest, threshold, exact=False), "a long, b long")
+    forest = stage(forest.distinct(), "forest")
+    groups = components(forest.union(comp.selectExpr("node AS a", "comp AS b")))
+    # Groups with a pair of different components: all their members meet with their sets.
+    open_ = forest.join(groups, forest.a == groups.node, "left").selectExpr("coalesce(comp, a) AS key").distinct()
+    grouped = stage(groups.selectExpr("comp AS key", "node AS cls").union(groups.selectExpr("comp AS key", "comp AS cls").distinct()).join(open_, "key", "left_semi"), "groups")
+    fresh = grouped.selectExpr("cls AS id").distinct().join(sets.select("id"), "id", "left_anti")
+    more_sets = sets.union(sets_for(fresh)).withColumnRenamed("id", "cls")
+    late = stage(blocks(grouped, more_sets).mapInArrow(_block_links(lowest, threshold, exact=True), "a long, b long").distinct(), "links")
+    comp = components(sure.union(late))
+
+    linked = classes.join(comp, classes.cls == comp.node, "left").selectExpr("k1", "k2", "coalesce(comp, cls) AS comp")
     out = base.select("id", "n", "k1", "k2").join(linked, ["k1", "k2"], "left").selectExpr(
         f"id AS {id_col}", "n AS n_shingles", "CASE WHEN n = 0 OR id IS NULL THEN id ELSE comp END AS component_id")
     return out.withColumn("kept", F.expr(f"{id_col} <=> component_id"))
