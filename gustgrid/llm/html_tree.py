@@ -2,8 +2,9 @@
 
 A page becomes a tree of elements (unclosed paragraphs and list items are closed as browsers do).
 Each paragraph-like element gives points for its length and its commas to its parent and half of
-them to its grandparent; an element's sum is discounted by its link density. The best container,
-widened to the article around it, is kept with those siblings that score near it. Menus, headers,
+them to its grandparent; an element's sum is discounted by its link density. The best container is
+widened to the outermost element in which other parts hold paragraphs like its own, then to the
+article around it, and kept with those siblings that score near it. Menus, headers,
 footers, sidebars, notices, adverts, forms, reader comments, scripts and styles are left out by tag,
 role or class. Work is per page, in the tasks that read it.
 """
@@ -44,13 +45,15 @@ SIBLING_SHARE = 0.2
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "hinted", "length", "links", "commas", "score")
+    __slots__ = ("tag", "parent", "children", "hinted", "length", "links", "commas", "score", "points", "paragraphs")
 
     def __init__(self, tag: str, parent: "Node | None", hinted: bool = False):
         self.tag, self.parent, self.hinted = tag, parent, hinted
         self.children: list["Node | str"] = []
         self.length = self.links = self.commas = 0
         self.score = 0.0
+        # Of the paragraphs in the whole element.
+        self.points, self.paragraphs = 0.0, 0
 
 
 def _hinted(attributes: str) -> bool:
@@ -148,7 +151,7 @@ def main_text(page: str | None) -> str:
             dropped.add(id(node))
     alive = [n for n in nodes if id(n) not in dropped]
 
-    for node in alive:
+    for node in reversed(alive):
         own = any(isinstance(c, str) and c.strip() for c in node.children)
         blocks = any(isinstance(c, Node) and c.tag in BLOCK for c in node.children)
         if node.tag in PARAGRAPH and not blocks or node.tag in ("div", "section", "article", "main", "body") and own or node.tag in PARAGRAPH and own:
@@ -159,6 +162,12 @@ def main_text(page: str | None) -> str:
                 if above is not None:
                     above.score += points * share
                     above = above.parent
+            if points > node.points:
+                # A text with blocks in it counts once.
+                node.points, node.paragraphs = points, 1
+        if node.parent is not None:
+            node.parent.points += node.points
+            node.parent.paragraphs += node.paragraphs
     best, top = None, 0.0
     for node in alive:
         if node.score > 0 and node.tag not in ("#root", "html"):
@@ -168,12 +177,13 @@ def main_text(page: str | None) -> str:
                 best, top = node, final
     if best is None:
         best = next((n for n in alive if n.tag in ("article", "main", "body")), root)
-    up = best
-    while up is not None:
-        if up.tag in ("article", "main"):
-            best = up
-            break
-        up = up.parent
+    article = best
+    while article is not None and article.tag not in ("article", "main"):
+        article = article.parent
+    path = [] if article is not None else _widened(best, dropped)
+    if path:
+        dropped |= _link_lists(path, dropped)
+    best = article or (path or [best])[-1]
 
     kept = [best]
     if best.parent is not None and best.tag not in ("article", "main", "body", "#root"):
@@ -183,7 +193,7 @@ def main_text(page: str | None) -> str:
                 kept.append(sibling)
             elif isinstance(sibling, Node) and id(sibling) not in dropped and sibling.length:
                 density = sibling.links / sibling.length
-                if sibling.score >= SIBLING_SHARE * best.score and density < 0.5 or sibling.tag in PARAGRAPH | HEADING and density < 0.25:
+                if not path and sibling.score >= SIBLING_SHARE * best.score and density < 0.5 or sibling.tag in PARAGRAPH | HEADING and density < 0.25:
                     kept.append(sibling)
     elif best.tag == "article" and best.parent is not None:
         # Parts of one text in several articles.
@@ -191,6 +201,34 @@ def main_text(page: str | None) -> str:
     return "\n".join(_blocks(kept, dropped))
 
 
+def _widened(best: Node, dropped: set[int]) -> list[Node]:
+    """The elements from the best one to the outermost in which another part, no list of links, holds paragraphs like its own."""
+    like = SIBLING_SHARE * best.points / max(best.paragraphs, 1)
+    path, node, size = [best], best, 1
+    while node.parent is not None:
+        up = node.parent
+        path.append(up)
+        if any(isinstance(c, Node) and c is not node and id(c) not in dropped and c.points > 0 and 2 * c.links < c.length and c.points >= like for c in up.children):
+            size = len(path)
+        node = up
+    return path[:size] if size > 1 else []
+
+
+def _link_lists(path: list[Node], dropped: set[int]) -> set[int]:
+    """Containers of mostly links beside the path of a widened element."""
+    lists = set()
+    todo = [c for node, inner in zip(path[1:], path) for c in node.children if c is not inner]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, str) or id(node) in dropped:
+            continue
+        if node.tag in BLOCK and node.tag not in PARAGRAPH | HEADING and node.length and 2 * node.links >= node.length:
+            lists.add(id(node))
+        else:
+            todo.extend(node.children)
+    return lists
+
+
 def _blocks(kept: list[Node], dropped: set[int]) -> list[str]:
     blocks, line = [], []
 

@@ -39,6 +39,16 @@ def test_long_link_menu_is_left_out():
     assert main_text(f"<body><div><ul>{menu}</ul></div><div><p>{LONG}</p><p>{LONG}</p></div></body>") == f"{LONG}\n{LONG}"
 
 
+@pytest.mark.parametrize("sizes", [[1, 1, 1], [5, 1, 1, 9, 2], [1, 12]])
+def test_nested_sections_without_an_article(sizes):
+    texts = [[f"Row {r}, part {k}: {LONG}" for k in range(n)] for r, n in enumerate(sizes)]
+    rows = "".join(f"<div class=row><div class=col>{'<h2>Head</h2>' + ''.join(f'<p>{t}</p>' for t in own)}</div></div>" for own in texts)
+    menu = "".join(f"<li><a href=/{i}>Entry, number {i}, of the list</a></li>" for i in range(9))
+    page = (f"<body><div><ul>{menu}</ul></div><div class=page><div class=content>{rows}<div class=row><ul>{menu}</ul></div></div>"
+            f"<div class=sidebar><p>{LONG}</p></div></div><footer>{LONG}</footer></body>")
+    assert main_text(page) == "\n".join("\n".join(["Head", *own]) for own in texts)
+
+
 def test_odd_rows(spark):
     rows = [(1, "u", None), (1, None, ""), (None, "u", f"<p>{LONG}</p>"), (2, "u", "<article>" + f"<p>{LONG}</p>" * 3000 + "</article>")]
     got = extract_main_text(spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")).collect()
