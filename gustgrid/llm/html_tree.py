@@ -11,6 +11,7 @@ role or class. Work is per page, in the tasks that read it.
 
 from __future__ import annotations
 
+import heapq
 import html
 import re
 import sys
@@ -41,6 +42,10 @@ HINTS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice alert disclaimer menu nav navbar navigation "
     "breadcrumb breadcrumbs sidebar footer header masthead comment comments commentlist respond disqus discussion replies share sharing social related recommended subscribe "
     "newsletter popup modal overlay login signin signup search toolbar pagination pager widget complementary contentinfo skip topbar".split())
+# "with-sidebar" and "no-comments" name the element around such parts.
+AROUND = re.compile(r"(?<![^\s])(?:with|without|has|no)[-_]\S*")
+# Besides paragraphs, these may hold text directly.
+OWN_TEXT = frozenset("div section article main body".split())
 SIBLING_SHARE = 0.2
 
 
@@ -62,7 +67,7 @@ def _hinted(attributes: str) -> bool:
         name = name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id", "role") and not HINTS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
+        if name in ("class", "id", "role") and not HINTS.isdisjoint(re.split(r"[^a-z0-9]+", AROUND.sub(" ", value))):
             return True
     return False
 
@@ -129,6 +134,47 @@ def _order(root: Node) -> list[Node]:
     return out
 
 
+def _alive(nodes: list[Node]) -> list[Node]:
+    """The elements not left out by tag or hint, each after its parent.
+
+    A hint holds whatever the length of its element. Only while nothing outside hinted elements has text of
+    its own, the longest of them that lies in no other is taken for a container with a misleading name.
+    """
+    alive: list[Node] = []
+    waiting: list[tuple[int, int, Node]] = []
+    seen = 0
+    # What holds <main> is no part beside the text.
+    around: set[int] = set()
+    for node in nodes:
+        up = node.parent if node.tag == "main" else None
+        while up is not None and id(up) not in around:
+            around.add(id(up))
+            up = up.parent
+    node, text = nodes[0], False
+    while True:
+        # Elements of this part with whether their text is one of paragraphs.
+        todo = [(node, True)]
+        while todo:
+            node, own = todo.pop()
+            if node.tag in BLOCK:
+                own = node.tag in PARAGRAPH or node.tag in OWN_TEXT
+            own = own and node.tag != "a"
+            alive.append(node)
+            text = text or own and any(isinstance(c, str) and c.strip() for c in node.children)
+            for child in reversed(node.children):
+                if isinstance(child, str) or child.tag in DROPPED:
+                    continue
+                if child.hinted and child.tag not in ("html", "body", "main") and id(child) not in around:
+                    seen += 1
+                    heapq.heappush(waiting, (-child.length, seen, child))
+                else:
+                    todo.append((child, own))
+        if text or not waiting or not waiting[0][0]:
+            break
+        node = heapq.heappop(waiting)[-1]
+    return alive
+
+
 def main_text(page: str | None) -> str:
     """The blocks of the main text joined by newlines; empty if there is none."""
     if not page:
@@ -143,18 +189,14 @@ def main_text(page: str | None) -> str:
             else:
                 node.length, node.commas = node.length + child.length, node.commas + child.commas
                 node.links += child.length if child.tag == "a" else child.links
-    # An element that holds most of the page's text is no notice, whatever its class says.
-    dropped: set[int] = set()
-    for node in nodes:
-        lost = node.tag in DROPPED or node.hinted and node.tag not in ("html", "body") and 2 * node.length <= root.length
-        if lost or node.parent is not None and id(node.parent) in dropped:
-            dropped.add(id(node))
-    alive = [n for n in nodes if id(n) not in dropped]
+    alive = _alive(nodes)
+    live = {id(n) for n in alive}
+    dropped = {id(n) for n in nodes if id(n) not in live}
 
     for node in reversed(alive):
         own = any(isinstance(c, str) and c.strip() for c in node.children)
         blocks = any(isinstance(c, Node) and c.tag in BLOCK for c in node.children)
-        if node.tag in PARAGRAPH and not blocks or node.tag in ("div", "section", "article", "main", "body") and own or node.tag in PARAGRAPH and own:
+        if node.tag in PARAGRAPH and not blocks or node.tag in OWN_TEXT and own or node.tag in PARAGRAPH and own:
             density = node.links / node.length if node.length else 0.0
             points = (min(node.length / 25.0, 1.0) + node.commas + min(node.length / 100.0, 3.0)) * (1.0 - density)
             above = node.parent if node.tag in PARAGRAPH else node

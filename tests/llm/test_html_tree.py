@@ -49,6 +49,22 @@ def test_nested_sections_without_an_article(sizes):
     assert main_text(page) == "\n".join("\n".join(["Head", *own]) for own in texts)
 
 
+THREAD = f"<p>{LONG}</p>" * 40
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<article><p>{LONG}</p></article><section id='comments'>{THREAD}</section>", LONG),
+    (f"<body><div><p>Short, but the article.</p></div><div class='comment'>{LONG * 40}</div></body>", "Short, but the article."),
+    (f"<body><div class='cookie notice'>{THREAD}</div><article><p>Short, but the article.</p></article></body>", "Short, but the article."),
+    (f"<body><div class='page banner'><div class=content><p>{LONG}</p></div><div class=comments>{THREAD}</div></div></body>", LONG),
+    (f"<body><div class='content with-sidebar'><p>{LONG}</p></div><div><span>x</span></div></body>", LONG),
+    (f"<body><div class=search><main><p>{LONG}</p></main></div><div><p>{LONG}</p></div></body>", LONG),
+    (f"<h1>Title</h1><div id=comments>{THREAD}</div>", "\n".join(["Title"] + [LONG] * 40)),
+])
+def test_hints_hold_whatever_the_length(page, text):
+    assert main_text(page) == text
+
+
 def test_odd_rows(spark):
     rows = [(1, "u", None), (1, None, ""), (None, "u", f"<p>{LONG}</p>"), (2, "u", "<article>" + f"<p>{LONG}</p>" * 3000 + "</article>")]
     got = extract_main_text(spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")).collect()
