@@ -31,8 +31,9 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 VECTOR = {"x0": "word_chars / n_words", "x1": "ln(1 + 100D * n_symbols / n_words)", "x2": "sqrt(n_dup_lines / greatest(n_lines, 1))",
           "x3": "sqrt(n_repeat_words / n_words)"}
 P = len(VECTOR)
-# Smallest standard deviation of each coordinate that is told apart.
-FLOOR = [0.4, 0.5, 0.2, 0.2]
+# Smallest standard deviation of each coordinate that is told apart. Roots of shares end at 1, so theirs are small:
+# CUTOFF * 0.08 ** 2 = 0.21 is the share of repeated lines or words that alone is too far from none.
+FLOOR = [0.4, 0.5, 0.08, 0.08]
 LEAST, STEPS, KEPT_SHARE, OUTLIER_P = 50, 5, 0.5, 1e-6
 
 

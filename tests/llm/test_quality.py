@@ -82,6 +82,25 @@ def test_rules_on_odd_rows_and_planted_noise(spark):
     assert quality_rules(spark.createDataFrame([], "doc_id long, text string, lang string, source string")).collect() == []
 
 
+def test_repeats_alone_are_rejected(spark):
+    def words(i, n):
+        return [f"{'some' if k % 2 else 'word'}{(i * 7 + k * 3) % 97}x{k}" for k in range(n)]
+
+    def lines(i, n, repeated):
+        own = [" ".join(words(i, 240)[k * 12 : k * 12 + 12]) for k in range(n)]
+        return "\n".join([*own, *own[:1] * repeated])
+
+    clean = [lines(i, 20, i % 8 == 0) for i in range(80)]
+    # A third and two thirds of the lines repeat one; two fifths of the words stand in repeated windows.
+    repeated = [lines(i, 12, 6) for i in range(6)] + [" ".join(w := words(i, 80)) + " " + " ".join(w[:20]) for i in range(6)]
+    short = ["\n".join([" ".join(words(i, 200)), *["ok"] * 9]) for i in range(6)]
+    docs = clean + repeated + short
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(docs)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality_rules(df).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert all(got[i].kept for i in range(80)) and not any(got[i].kept for i in range(80, len(docs)))
+
+
 def test_isotonic_blocks():
     x, v = pool_adjacent(np.array([0.0, 1, 2, 3, 4]), np.array([1.0, 0, 2, 1, 3]), np.array([2.0, 2, 2, 2, 3]))
     assert np.allclose(v, [0.25, 0.75, 1.0]) and (np.diff(x) > 0).all()
