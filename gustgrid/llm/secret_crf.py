@@ -5,8 +5,10 @@ token has a few discrete features: shape (length, digits, case, hex, changes bet
 digits), identity (key words, separators), its neighbours' identities, and features of its text. The
 field scores the tags secret begin, inside and outside and is decoded by Viterbi.
 
-The spans of the fixed patterns are the labels it learns from, on a bounded sample of documents
-(``SAMPLE`` expected, drawn by a hash of the id). Decoding is exact: a token whose margin for
+The spans of the fixed patterns are the labels it learns from, on two bounded samples over all
+documents: of those that hold a fixed pattern and of the others (``SAMPLE`` expected in each, drawn by
+a hash). All key words are one value of a feature, so those outside the patterns weigh as much, and
+training windows stop short of values that follow a key word but fit no pattern. Decoding is exact: a token whose margin for
 "outside" exceeds anything that transitions could win is outside in the best path, so only the runs
 between such tokens need the recursion, and all runs of a batch step together.
 """
@@ -33,13 +35,18 @@ ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-# Expected documents in the training sample, tokens of a training window, share of documents with a window without a secret.
+# Documents with one of them, in Java's syntax; a few more may fit.
+HOLDS = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{6}|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
+
+# Expected documents in each training sample, tokens of a training window, share of documents with a window without a secret.
 SAMPLE, WINDOW, PLAIN_SHARE = 20_000, 40, 8
 ROUNDS, RATE, DECAY = 80, 0.3, 1e-4
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
 
 KEY_WORDS = ["password", "passwd", "secret", "token", "apikey", "api_key", "api-key", "key", "pwd", "pass", "auth", "authorization", "bearer",
              "credential", "credentials", "private", "access", "access_key", "secret_key", "client_secret", "login"]
+# The value of any key word, and those of assignment signs.
+KEY, SIGNS = 1, (25, 26)
 # Number of values of each feature.
 SIZES = [8, 4, 5, 2, 5, 30, 30, 30, 30, 3, 3, 3]
 _TOGETHER = [(0, 1, 2, 3, 4), (5, 6), (7, 8), (9, 10, 11)]
@@ -69,12 +76,10 @@ def _sum(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return total[ends] - total[starts]
 
 
-def _word_codes() -> tuple[np.ndarray, np.ndarray]:
+def _word_codes() -> np.ndarray:
     data = np.frombuffer("".join(KEY_WORDS).encode(), np.uint8)
     ends = np.cumsum([len(w) for w in KEY_WORDS])
-    h = word_hashes(data, ends - [len(w) for w in KEY_WORDS], ends, lower=True)
-    order = np.argsort(h)
-    return h[order], order
+    return np.sort(word_hashes(data, ends - [len(w) for w in KEY_WORDS], ends, lower=True))
 
 
 @dataclass
@@ -112,12 +117,12 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> Tokens:
     turns[starts] = False
     turns = np.add.reduceat(turns, starts, dtype=np.int64)
 
-    codes, which = _word_codes()
+    codes = _word_codes()
     name = np.zeros(n, np.int64)
     maybe = np.flatnonzero(body & (length <= 13) & (length >= 3) & _INITIALS[data[starts]])
     h = word_hashes(data, starts[maybe], ends[maybe], lower=True)
     at = np.minimum(np.searchsorted(codes, h), len(codes) - 1)
-    name[maybe] = np.where(codes[at] == h, which[at] + 1, 0)
+    name[maybe] = np.where(codes[at] == h, KEY, 0)
     first = data[starts]
     mark = np.select([first == ord("="), first == ord(":"), (first == 34) | (first == 39)], [25, 26, 27], 28)
     # An assignment sign behind a quote is still an assignment.
@@ -257,6 +262,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     own.append((head, head + len(text[a:b].encode())))
                 spans.append(own)
             tags = _gold(tokens, spans)
+            # Perhaps secrets that no pattern finds: values with digits, of 8 characters or more, behind a key word and a sign.
+            x = tokens.features
+            doubt = (tags == OUTSIDE) & (x[:, 0] >= 2) & (x[:, 1] > 0) & ((x[:, 6] == KEY) | (x[:, 7] == KEY) & np.isin(x[:, 6], SIGNS))
+            doubt = np.flatnonzero(doubt)
             bounds = np.searchsorted(tokens.rows, np.arange(len(texts) + 1))
             out_x, out_y = [], []
             for r in range(len(texts)):
@@ -266,6 +275,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     picks.append(lo + (hi - lo) // 2)
                 for p in picks:
                     a, b = max(lo, p - WINDOW // 2), min(hi, p + WINDOW // 2)
+                    k = int(np.searchsorted(doubt, p))
+                    a, b = max(a, int(doubt[k - 1]) + 1) if k else a, min(b, int(doubt[k])) if k < len(doubt) else b
+                    if a >= b:
+                        continue
                     out_x.append(tokens.features[a:b].tobytes())
                     out_y.append(tags[a:b].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out_x, pa.binary()), pa.array(out_y, pa.binary())], ["x", "y"])
@@ -340,13 +353,15 @@ def _scan(field: Field):
 
 
 def fit_field(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Field:
-    """The field of a sample of ``sample`` expected documents (all, if there are fewer)."""
-    rows = docs.count()
+    """The field of ``sample`` expected documents with a fixed pattern and as many without (all, if there are fewer)."""
+    texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("holds", F.coalesce(F.col("text").rlike(HOLDS), F.lit(False)))
+    rows, holding = texts.agg(F.count(F.lit(1)), F.count_if("holds")).first()
     if not rows:
         return train([])
-    share = min(1.0, sample / rows)
-    drawn = docs.filter(F.expr(f"pmod(xxhash64(coalesce(CAST(`{id_col}` AS STRING), '')), 1000000) < {share * 1e6:.0f}"))
-    got = drawn.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_windows, "x binary, y binary").collect()
+    with_, without = (int(min(1.0, sample / max(n, 1)) * 10**12) for n in (holding, rows - holding))
+    # Ids may be null or repeat, so texts count too.
+    drawn = texts.filter(f"pmod(xxhash64(id, text), 1000000000000L) < CASE WHEN holds THEN {with_}L ELSE {without}L END")
+    got = drawn.select("text").mapInArrow(_windows, "x binary, y binary").collect()
     return train([(np.frombuffer(r.x, np.int16).reshape(-1, len(SIZES)), np.frombuffer(r.y, np.int8)) for r in got])
 
 

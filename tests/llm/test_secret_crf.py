@@ -92,3 +92,20 @@ def test_scan(spark):
             found += any("b7db7aa4a5" in x for x in tagged)
     assert found >= 95
     assert secret_scan(df.limit(0)).collect() == []
+
+
+def test_rare_secrets_train_and_other_key_words_are_found(spark):
+    prose = "plain words stand here and there in lines of prose without anything to hide"
+    rows = [(i, f"{prose} {i}\n{prose}") for i in range(3000)]
+    rows += [(5000 + i, f"{prose}\n{prose} {k}{sep}{(i * 7919) % 16**6:06x}b7db7aa4a5 and {prose}") for i, (k, sep) in enumerate([("password", "="), ("token", ": "), ("secret", " = ")] * 10)]
+    keys = ["pwd", "credential", "auth", "private", "login"]
+    rows += [(9000 + i, f"{prose}\n{prose} {k}{sep}{i}3f9ab7db7aa4a5 and {prose}") for i, (k, sep) in enumerate([(k, sep) for k in keys for sep in ("=", ": ", " = ")])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # A tenth of the plain rows; a uniform draw of so many would hold three secrets.
+    got = {r.doc_id: r for r in secret_scan(df, field=fit_field(df, sample=300)).collect()}
+    for i, text in rows:
+        if i >= 9000:
+            assert got[i].base == "" and got[i].spans.startswith("crf:"), text
+            assert "b7db7aa4a5" in text[int(got[i].spans.split(":")[1]) : int(got[i].spans.split(":")[2])]
+        elif i < 3000:
+            assert got[i].spans == ""
