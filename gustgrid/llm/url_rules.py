@@ -71,7 +71,9 @@ def mine_rules(labelled: DataFrame) -> DataFrame:
     shorter = rules.selectExpr("antecedent AS part", "confidence AS known")
     beaten = rules.filter("size(antecedent) > 1").selectExpr("antecedent", "confidence", "explode(antecedent) AS x").selectExpr(
         "antecedent", "confidence", "array_remove(antecedent, x) AS part").join(shorter, "part").filter("known >= confidence").select("antecedent").distinct()
-    least = max(MIN_CONFIDENCE, MIN_LIFT * blocked / total)
+    # Where most rows are blocked, halfway from their share to 1, so that a rule of full confidence always passes.
+    share = blocked / total
+    least = max(MIN_CONFIDENCE, min(MIN_LIFT * share, (1 + share) / 2))
     kept = rules.filter(f"support >= {MIN_ROWS} AND confidence >= {least!r}D").join(beaten, "antecedent", "left_anti")
     rare = plain.filter("size(antecedent) = 1").selectExpr("antecedent[0] AS token", "rows")
     filed = kept.selectExpr("*", "explode(antecedent) AS token").join(rare, "token").groupBy("antecedent", "support", "confidence").agg(

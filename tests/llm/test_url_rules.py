@@ -44,6 +44,14 @@ def test_rules_equal_all_subsets(spark):
     assert got[900].verdict == "allow"
 
 
+def test_rules_where_most_pages_are_blocked(spark):
+    rows = [(["h:bad"], True)] * 90 + [(["h:good"], False)] * 5 + [(["h:good"], True)] * 5
+    mined = mine_rules(spark.createDataFrame(rows, "tokens array<string>, blocked boolean")).collect()
+    assert [(r.antecedent, r.confidence) for r in mined] == [(["h:bad"], 1.0)]
+    every = mine_rules(spark.createDataFrame(rows[:90], "tokens array<string>, blocked boolean")).collect()
+    assert [(r.antecedent, r.confidence) for r in every] == [(["h:bad"], 1.0)]
+
+
 def test_no_python_in_the_plan(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     plan = judge_urls(url_parts(pages), mine_rules(spark.createDataFrame([(["a"], True)] * 9, "tokens array<string>, blocked boolean")))
