@@ -119,4 +119,31 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_ba
 FROM d LEFT JOIN r USING (doc_id)""").replace("{rows}", rows).replace("{low}", _LOWERED).replace("{near}", str(NEAR)).replace("{cover}", str(COVER))
 
 
-ORACLES: dict[str, str] = {"op1_association_url_filter": _op1(), "op6_diagonal_license_scan": _op6(), "op3_aho_corasick_decontamination": OP3, "op4_setsketch_near_dedup": OP4, "op10_water_fill_mix": OP10}
+def _op13(k: int = 40, rounds: int = 5) -> str:
+    """Exact integer clustering, a materialised step for each round."""
+    near = """SELECT vec_id, v, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
+      SELECT vec_id, n, v, cluster, CAST(list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS BIGINT) AS d FROM x, {cents}) GROUP BY vec_id, n, v"""
+    steps = ""
+    for r in range(rounds):
+        steps += f""",
+a{r} AS MATERIALIZED ({near.replace("{cents}", f"c{r}")}),
+c{r + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(m, c) AS c FROM c{r} LEFT JOIN (
+    SELECT cluster, list(m ORDER BY i) AS m FROM (
+      SELECT cluster, i, CAST((sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+      FROM a{r}, range(1, 65) t(i) GROUP BY cluster, i) GROUP BY cluster) USING (cluster))"""
+    return f"""
+WITH x AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY key, v) - 1 AS INTEGER) AS cluster, v AS c
+  FROM (SELECT v, sha256(concat('2:', coalesce(CAST(vec_id AS VARCHAR), ''))) AS key FROM x ORDER BY key, v LIMIT {k})){steps},
+f AS MATERIALIZED ({near.replace("{cents}", f"c{rounds}")})
+SELECT vec_id, f.cluster, distance, CAST(sum(distance) OVER (PARTITION BY f.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM f JOIN c{rounds} USING (cluster)"""
+
+
+ORACLES: dict[str, str] = {"op1_association_url_filter": _op1(), "op6_diagonal_license_scan": _op6(), "op3_aho_corasick_decontamination": OP3, "op4_setsketch_near_dedup": OP4, "op10_water_fill_mix": OP10,
+                          "op13_centroid_clusters": _op13()}

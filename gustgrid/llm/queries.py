@@ -8,11 +8,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gustgrid.llm.centroids import centroid_digests, cluster_vectors
 from gustgrid.llm.common import table
 from gustgrid.llm.decontam import CONTAMINATED, contamination
 from gustgrid.llm.html_tree import extract_main_text
 from gustgrid.llm.license_diag import license_scan
 from gustgrid.llm.mcd_rules import BASE, quality_rules
+from gustgrid.llm.prefix_bpe import bpe_decode, bpe_encode
 from gustgrid.llm.rff_quality import quality_scores
 from gustgrid.llm.secret_crf import secret_scan
 from gustgrid.llm.setsketch import near_duplicates
@@ -86,6 +88,20 @@ def op10_water_fill_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "_size AS size", "_source_size AS source_size", "_target AS target", "_size * _copies AS taken")
 
 
+def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text they decode to (:mod:`prefix_bpe`)."""
+    ids = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER).select("doc_id", "ids")
+    return bpe_decode(ids, TOKENIZER).selectExpr(
+        "doc_id", "CAST(length(ids) div 4 AS BIGINT) AS n_tokens", "sha2(ids, 256) AS ids_sha256", "sha2(decoded, 256) AS decoded_sha256")
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all embeddings after five rounds from forty seeded vectors (:mod:`centroids`)."""
+    rows, centroids = cluster_vectors(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2, size=64, scale=256)
+    digest = F.get(F.lit(centroid_digests(centroids) or [""]), F.col("cluster"))
+    return rows.select("*", digest.alias("centroid_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_association_url_filter": op1_association_url_filter,
     "op2_crf_secret_scan": op2_crf_secret_scan,
@@ -97,4 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_random_fourier_quality": op8_random_fourier_quality,
     "op9_directly_addressable_tokens": op9_directly_addressable_tokens,
     "op10_water_fill_mix": op10_water_fill_mix,
+    "op12_prefix_bpe": op12_prefix_bpe,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
