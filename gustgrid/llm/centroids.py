@@ -7,7 +7,7 @@ smaller number. A round is one scan: assignment and column sums are combined map
 leave each task and ``k`` rows reach the driver, whatever the size of the table or of a cluster.
 
 Defined cases: a vector with another number of components, a null or a non-finite one is left out;
-a component beyond ``LIMIT`` after scaling counts as ``LIMIT`` (so a distance fits 64 bits); equal
+a vector longer than ``LONGEST`` after scaling is cut (so that a distance fits 64 bits); equal
 vectors are equal rows; fewer vectors than ``k`` give as many centroids; none give no rows. Inertias
 beyond 64 bits read as the largest. A null id hashes as an empty one; rows that repeat an id are
 ranked by their components.
@@ -16,24 +16,28 @@ ranked by their components.
 from __future__ import annotations
 
 import hashlib
+import math
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from gustgrid.session import stage
 
-# Largest magnitude of a scaled component: 64 squared differences of it stay below 2^63.
-LIMIT = 1 << 27
+# Vectors up to this length (Euclidean, after scaling) are as they are: squared distances of them and of their
+# means stay below 2^63. In a longer one each component is cut to this magnitude over the root of their number.
+LONGEST = 1 << 30
 LONG_MAX = (1 << 63) - 1
 
 
 def integer_vectors(vectors: DataFrame, vec_col: str, id_col: str, size: int, scale: int) -> DataFrame:
-    """(_id, _v): the rows with ``size`` finite components, each as floor(scale * x) within ``LIMIT``."""
+    """(_id, _v): the rows with ``size`` finite components, each as floor(scale * x), cut beyond ``LONGEST``."""
     x = F.col(vec_col)
     whole = F.size(x).eqNullSafe(size) & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
-    bound = float(LIMIT - 1)
-    ints = F.transform(x, lambda c: F.greatest(F.lit(-bound), F.least(F.lit(bound), F.floor(c.cast("double") * F.lit(float(scale))).cast("double"))).cast("long"))
-    return vectors.filter(F.coalesce(whole, F.lit(False))).select(F.col(id_col).alias("_id"), ints.alias("_v"))
+    scaled = F.transform(x, lambda c: F.floor(c.cast("double") * F.lit(float(scale))).cast("double"))
+    limit = float(int(LONGEST / math.sqrt(size)))
+    square = F.aggregate("_s", F.lit(0.0), lambda s, c: s + c * c)
+    cut = F.transform("_s", lambda c: F.greatest(F.lit(-limit), F.least(F.lit(limit), c)))
+    return vectors.filter(F.coalesce(whole, F.lit(False))).select(F.col(id_col).alias("_id"), scaled.alias("_s")).select(
+        "_id", F.when(square <= float(LONGEST) ** 2, F.col("_s")).otherwise(cut).cast("array<bigint>").alias("_v"))
 
 
 def first_centroids(ints: DataFrame, k: int, seed: int) -> list[list[int]]:
@@ -44,12 +48,12 @@ def first_centroids(ints: DataFrame, k: int, seed: int) -> list[list[int]]:
 
 def nearest(centroids: list[list[int]]) -> Column:
     """Struct (distance, cluster) of the nearest of the literal centroids."""
-    def far(number: int, centroid: list[int]) -> Column:
-        literal = F.lit(centroid).cast(ArrayType(LongType(), False))
-        squares = F.zip_with(F.col("_v"), literal, lambda a, b: (a - b) * (a - b))
-        return F.struct(F.aggregate(squares, F.lit(0).cast("long"), lambda s, d: s + d).alias("distance"), F.lit(number).alias("cluster"))
+    def far(number: int, centroid: list[int]) -> str:
+        literal = f"CAST(split('{','.join(map(str, centroid))}', ',') AS ARRAY<BIGINT>)"
+        squares = f"zip_with(_v, {literal}, (a, b) -> (a - b) * (a - b))"
+        return f"named_struct('distance', aggregate({squares}, 0L, (s, d) -> s + d), 'cluster', {number})"
 
-    return F.array_min(F.array(*(far(j, c) for j, c in enumerate(centroids))))
+    return F.expr(f"array_min(array({', '.join(far(j, c) for j, c in enumerate(centroids))}))")
 
 
 def update(ints: DataFrame, centroids: list[list[int]]) -> list[list[int]]:
