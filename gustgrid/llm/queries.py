@@ -19,6 +19,7 @@ from gustgrid.llm.rff_quality import quality_scores
 from gustgrid.llm.secret_crf import secret_scan
 from gustgrid.llm.setsketch import near_duplicates
 from gustgrid.llm.token_dac import read_documents, write_tokens
+from gustgrid.llm.trie_variants import count_words, lowered_runs, slipped, spelling_variants
 from gustgrid.llm.url_rules import judge_urls, mine_rules, url_parts
 from gustgrid.llm.water_fill import mix
 from gustgrid.session import shared_dir
@@ -88,6 +89,12 @@ def op10_water_fill_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "_size AS size", "_source_size AS source_size", "_target AS target", "_size * _copies AS taken")
 
 
+def op11_trie_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, forms and roots of all words of seven letters or more (:mod:`trie_variants`)."""
+    runs = lowered_runs(table(spark, sf_dir, "documents"), "doc_id", "text", "A-Za-z\\u00C0-\\u00FF", least=7)
+    return spelling_variants(count_words(slipped(runs, every=31), least_length=7, least_count=2), ratio=10)
+
+
 def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text they decode to (:mod:`prefix_bpe`)."""
     ids = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER).select("doc_id", "ids")
@@ -113,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_random_fourier_quality": op8_random_fourier_quality,
     "op9_directly_addressable_tokens": op9_directly_addressable_tokens,
     "op10_water_fill_mix": op10_water_fill_mix,
+    "op11_trie_spelling_variants": op11_trie_spelling_variants,
     "op12_prefix_bpe": op12_prefix_bpe,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
