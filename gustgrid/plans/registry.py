@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gustgrid.plans import registry_columns, registry_fields, registry_kriging  # noqa: F401 (each fills the registry)
+from gustgrid.plans import registry_columns, registry_fields, registry_files, registry_kriging  # noqa: F401 (each fills the registry)
 from gustgrid.plans.registry_columns import ORACLES, QUERIES
 from gustgrid.plans.views import Tables
 from gustgrid.session import configure

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gustgrid.functions.text import sidecar_root
+from gustgrid.session import stage
 
 HOUR_KEYS = ("year", "month", "day", "hour")
 # Fields of a sidecar document.
@@ -78,6 +79,24 @@ def write_hourly(df: DataFrame, root: str, files_per_hour: int = 1) -> None:
     )
 
 
+def write_clustered(df: DataFrame, root: str, order: Sequence[str] = (), keys: Sequence[str] = HOUR_KEYS, rows_per_file: int = 1_000_000, mode: str = "overwrite") -> None:
+    """Write partitions in files of at most ``rows_per_file`` rows, each a narrow range of ``order`` (say, lon and lat).
+
+    The rows are counted first, so the number of tasks follows the data, and dealt by ranges of the keys and ``order``:
+    a key with a third of all rows is cut over a third of the tasks, light keys share one. Files of narrow ranges let
+    readers skip most of them by their footers. Only the partitions present in ``df`` are replaced.
+    """
+    known = stage(df, "clustered")
+    tasks = max(1, -(-known.count() // rows_per_file))
+    by = [*(F.col(k) for k in keys), *(F.col(c) for c in order)]
+    # A hash of the row breaks ties, so equal positions can be cut too.
+    tie = F.xxhash64(*(F.col(f"`{f.name}`") for f in known.schema if not isinstance(f.dataType, T.MapType)))
+    (
+        known.repartitionByRange(tasks, *by, tie).sortWithinPartitions(*by).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy").option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).parquet(root)
+    )
+
+
 def read_sidecars(spark: SparkSession, dataset_root: str) -> DataFrame:
     """Sidecar documents of a dataset with their hour; no documents give an empty frame.
 
