@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gustgrid.operators.blocks import blocked_join
 from gustgrid.session import stage
 
 # Cells are halved until none holds more than CROWD * k rows, however dense a spot is: the depths
@@ -237,7 +238,10 @@ def range_join(
     y: str = "y",
     train_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """Every training row within ``maxdist`` of each query row: keys, query, training columns, ``d2``."""
+    """Every training row within ``maxdist`` of each query row: keys, query, training columns, ``d2``.
+
+    Crowded cells are cut into blocks, so points that all lie within one ``maxdist`` are many tasks' work.
+    """
     keys, c = list(keys), float(maxdist)
 
     def celled(df, side, *more):
@@ -248,7 +252,7 @@ def range_join(
 
     q, t = celled(query, "q", f"{query_id} AS q_id"), celled(train, "t", *train_cols)
     return (
-        q.join(_into_block(t, 1), [*keys, "_cx", "_cy"])
+        blocked_join(q, _into_block(t, 1), [*keys, "_cx", "_cy"])
         .selectExpr("*", "(q_x - t_x) * (q_x - t_x) + (q_y - t_y) * (q_y - t_y) AS d2")
         .filter(f"d2 <= {c * c!r}D")
         .drop("_cx", "_cy")

@@ -12,6 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gustgrid.operators.blocks import blocked_join, blocked_pairs
+from gustgrid.session import stage
+
 # Candidate models in order of preference, and the name used without any.
 MODELS = ("Exp", "Gau", "Sph")
 NO_MODEL = "IDW"
@@ -28,27 +31,31 @@ def empirical_variogram(
 
     Rows at one location are reduced to count, mean and spread first, so copies never form pairs;
     all variables share one pass over the pairs. Cells have side ``cutoff`` and every pair of cells
-    is met once (own cell and half of its neighbours).
+    is met once (own cell and half of its neighbours); crowded cells are cut into blocks. The places
+    are written to the shared folder, because they are counted and joined.
     """
     keys, c = list(keys), float(cutoff)
     stats = []
     for v in values:
         stats += [F.count(v).alias(f"n_{v}"), F.avg(v).alias(f"m_{v}"), (F.var_pop(v) * F.count(v)).alias(f"s_{v}")]
     places = df.groupBy(*keys, F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py")).agg(*stats)
-    places = places.selectExpr("*", f"floor(px / {c!r}D) AS _cx", f"floor(py / {c!r}D) AS _cy")
+    places = stage(places.selectExpr("*", f"floor(px / {c!r}D) AS _cx", f"floor(py / {c!r}D) AS _cy"), "places")
     names = [f"{k}_{v}" for v in values for k in ("n", "m", "s")]
-    left = places.selectExpr(*keys, "_cx", "_cy", "px AS ax", "py AS ay", *(f"{n} AS a{n}" for n in names))
-    # Offsets (dx, dy) of the five cells met, numbered 0..4: (0,0) (1,0) (-1,1) (0,1) (1,1).
-    right = places.selectExpr("*", "explode(sequence(0, 4)) AS _o").selectExpr(
+    a, b = ({f"{s}x": "px", f"{s}y": "py", **{f"{s}{n}": n for n in names}} for s in "ab")
+    cell = [*keys, "_cx", "_cy"]
+    own = blocked_pairs(places, cell, a, b).filter("_ordered OR ay < by OR (ay = by AND ax < bx)")
+    # Offsets (dx, dy) of the four other cells met: (1,0) (-1,1) (0,1) (1,1).
+    right = places.selectExpr("*", "explode(sequence(1, 4)) AS _o").selectExpr(
         *keys,
         "_cx - CASE WHEN _o IN (1, 4) THEN 1 WHEN _o = 2 THEN -1 ELSE 0 END AS _cx",
         "_cy - CASE WHEN _o >= 2 THEN 1 ELSE 0 END AS _cy",
-        "_o", "px AS bx", "py AS by", *(f"{n} AS b{n}" for n in names),
+        *(f"{v} AS {n}" for n, v in b.items()),
     )
+    others = blocked_join(places.selectExpr(*cell, *(f"{v} AS {n}" for n, v in a.items())), right, cell)
     pairs = (
-        left.join(right, [*keys, "_cx", "_cy"])
+        own.select(*cell, *a, *b).unionByName(others.select(*cell, *a, *b))
         .selectExpr("*", "(ax - bx) * (ax - bx) + (ay - by) * (ay - by) AS d2")
-        .filter(f"d2 > 0 AND d2 <= {c * c!r}D AND (_o > 0 OR ay < by OR (ay = by AND ax < bx))")
+        .filter(f"d2 > 0 AND d2 <= {c * c!r}D")
         .selectExpr("*", "sqrt(d2) AS d", f"CAST(ceil(sqrt(d2) / {float(width)!r}D) AS INT) AS bin")
     )
     sums = []

@@ -201,6 +201,14 @@ fits AS (SELECT pk, var, model, arg_min(c0, (sse, j)) AS nugget, arg_min(c1, (ss
  {_profile_sql(f"(SELECT bins.*, model, i, j, c.a * pow({_STEP!r}, j / 20e0) AS a FROM bins JOIN coarse c USING (pk, var), generate_series(-20, 20) g(j))", "pk, var, model, i, j, a")} GROUP BY ALL)"""
 
 
+@query("empirical_variogram_one_cell", """WITH pr AS (SELECT sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS d, a.u - b.u AS u, a.v - b.v AS v FROM grid a JOIN grid b ON a.id < b.id
+ WHERE (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 1e6 AND (a.x <> b.x OR a.y <> b.y))
+ SELECT var, CAST(ceil(d / 50) AS INT) AS bin, count(*) AS np, round(avg(d), 6) + 0e0 AS dist, round(sum(z * z) / (2 * count(*)), 6) + 0e0 AS gamma FROM (UNPIVOT pr ON u, v INTO NAME var VALUE z) GROUP BY ALL""", "grid")
+def _(t):
+    """All points of one key lie within one cutoff, in a few cells."""
+    return rounded(variogram.empirical_variogram(t.grid, [], ["u", "v"], 1e3, 50.0))
+
+
 @query("fit_variogram", f"WITH {FITS} SELECT pk, var, model, {_r('nugget', 'psill')}, round(range, 4) + 0e0 AS range FROM fits", "tiles")
 def _(t):
     fits = variogram.fit_variogram(_bins(t), ["pk"], CUTOFF, WIDTH)
@@ -290,6 +298,14 @@ def _(t):
     return rounded(neighbors.range_join(_targets(t), t.tiles.withColumn("t_id", F.col("id")), 9.0, ["pk"], train_cols=["t_id"]).select("pk", "q_id", "t_id", "d2"))
 
 
+@query("range_join_one_cell", """SELECT a.id AS q_id, count(*) AS n, sum((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS d2, min(b.id) AS low_id
+ FROM grid a JOIN grid b ON (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 1e6 GROUP BY a.id""", "grid")
+def _(t):
+    """All points of one key lie in four cells."""
+    near = neighbors.range_join(t.grid, t.grid.withColumn("t_id", F.col("id")), 1e3, [], train_cols=["t_id"])
+    return near.groupBy("q_id").agg(F.count(F.lit(1)).alias("n"), F.sum("d2").alias("d2"), F.min("t_id").alias("low_id"))
+
+
 @query("idw", f"WITH {RANGE} SELECT pk, q_id, round(sum(u / d2) / sum(1 / d2), 6) + 0e0 AS u, round(sum(v / d2) / sum(1 / d2), 6) + 0e0 AS v FROM near GROUP BY pk, q_id", "tiles")
 def _(t):
     return rounded(neighbors.idw_within(_targets(t), t.tiles, 9.0, ["pk"], ["u", "v"]))

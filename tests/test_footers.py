@@ -89,7 +89,7 @@ def test_pruned_read_opens_few_files(spark, tmp_path):
     rows = hourly_rows(Tables(spark, SF))
     write_clustered(rows, root, ["lon", "lat"], rows_per_file=20)
     zones = footers.footer_files(spark, root).cache()
-    box = (-8.8, 42.0, -8.75, 42.05)
+    box = (-9.0, 42.0, -8.95, 42.02)
     near = F.expr(f"lon BETWEEN {box[0]} AND {box[2]} AND lat BETWEEN {box[1]} AND {box[3]}")
     some = footers.read_pruned(spark, root, zones, box=box)
     assert sorted(r.event_id for r in some.filter(near).collect()) == sorted(r.event_id for r in rows.filter(near).collect())
