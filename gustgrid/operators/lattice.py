@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gustgrid.operators.numbering import row_numbers
 from gustgrid.operators.projection import project
 
 # Relative tolerance when a coordinate is matched to a lattice line.
@@ -150,8 +151,7 @@ def append_points(grid: DataFrame, points: DataFrame, lattice: DataFrame, keys:
     """
     keys = list(keys)
     given = points.select("name", "lon", "lat")
-    number = F.row_number().over(Window.orderBy("lon", "lat"))
-    unnamed = given.filter("name IS NULL").select(F.concat(F.lit("test_point_"), number).alias("name"), "lon", "lat")
+    unnamed = row_numbers(given.filter("name IS NULL"), ["lon", "lat"]).select(F.concat(F.lit("test_point_"), "number").alias("name"), "lon", "lat")
     listed = given.filter("name IS NOT NULL").union(unnamed).withColumn("_part", F.expr(f"pmod(xxhash64(name, lon, lat), {POINT_PARTS})"))
     origins = lattice.select(*keys, "min_x", "min_y", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(POINT_PARTS - 1).cast("bigint"))).alias("_part"))
     named = origins.join(listed, "_part").drop("_part")

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, functions as F
 
 from gustgrid.operators import catalog
 from gustgrid.plans.registry_columns import query
 from gustgrid.plans.registry_fields import BOX, ITEMS, SUBSET, _texts
-from gustgrid.session import shared_dir
+from gustgrid.session import stage_path
 from gustgrid.sources import footers
 from gustgrid.sources.hours import write_clustered, write_hourly
 
@@ -17,7 +15,7 @@ COLUMNS = "event_id:integer,lat:number,lon:number,source_model:string,timestamp:
 
 
 def new_root(t) -> str:
-    return f"{shared_dir(t.spark)}/gustgrid-{t.spark.sparkContext.applicationId}/hours-{uuid.uuid4().hex}/winds"
+    return f"{stage_path(t.spark, 'hours')}/winds"
 
 
 def hourly_rows(t) -> DataFrame:

@@ -45,6 +45,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def stage_path(spark: SparkSession, label: str) -> str:
+    """A new place in this application's part of the shared folder, which :func:`release_stages` deletes."""
+    return f"{shared_dir(spark)}/gustgrid-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -52,8 +57,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     size of the table: it is broadcast later only if it is under the broadcast threshold.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/gustgrid-{app}/{label}-{uuid.uuid4().hex}"
+    path = stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

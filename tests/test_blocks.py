@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gustgrid.operators.blocks import blocked_join, blocked_pairs
 from gustgrid.operators.neighbors import range_join
+from gustgrid.operators.numbering import row_numbers
 from gustgrid.operators.variogram import empirical_variogram
 
 
@@ -60,3 +61,12 @@ def test_variogram_of_one_cell(spark):
                 want[k, bin_] = n + 1, s + (v - v2) ** 2
     assert set(got) == set(want)
     assert all(got[b][0] == n and abs(got[b][1] - s / n / 2) < 1e-9 for b, (n, s) in want.items())
+
+
+def test_row_numbers(spark):
+    rng = random.Random(8)
+    rows = [(rng.randrange(5), rng.choice(["x", "y", None])) for _ in range(300)]
+    got = [tuple(r) for r in row_numbers(spark.createDataFrame(rows, "a int, b string").repartition(7), ["a", "b"]).orderBy("number").collect()]
+    assert [n for *_, n in got] == list(range(1, 301))
+    assert [(a, b) for a, b, _ in got] == sorted(rows, key=lambda r: (r[0], r[1] or ""))
+    assert row_numbers(spark.createDataFrame([], "a int"), ["a"]).count() == 0
