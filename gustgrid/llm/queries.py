@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -22,7 +21,7 @@ from gustgrid.llm.token_dac import read_documents, write_tokens
 from gustgrid.llm.trie_variants import count_words, lowered_runs, slipped, spelling_variants
 from gustgrid.llm.url_rules import judge_urls, mine_rules, url_parts
 from gustgrid.llm.water_fill import mix
-from gustgrid.session import shared_dir
+from gustgrid.session import stage_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -78,7 +77,7 @@ def op8_random_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_directly_addressable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents as token files and reads them back (:mod:`token_dac`)."""
-    out = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    out = stage_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), out, TOKENIZER)
     return read_documents(spark, out)
 

@@ -61,6 +61,26 @@ def test_repeated_rows_and_ids(spark):
     rows = [(1, text, "a"), (1, text, "a"), (2, text, "a"), (3, "zz yy xx ww vv uu", "b"), (3, "other words of the third id", "b"), (None, text, "c"), (None, None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     kept = drop_near_duplicates(spark, df, SF).collect()
-    assert sorted(map(str, (r.doc_id for r in kept))) == ["1", "3", "None", "None"]
+    # Both texts of id 3 stay, as they differ; the text without an id is a copy of id 1.
+    assert sorted(map(str, (r.doc_id for r in kept))) == ["1", "3", "3", "None"]
     mixed_rows = mix_sources(spark, df, SF)
     assert mixed_rows.columns == df.columns and set(map(str, mixed_rows.distinct().collect())) <= set(map(str, df.collect()))
+
+
+def test_rows_of_one_id_are_judged_by_their_text(spark):
+    a, b = "alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight nine"
+    df = spark.createDataFrame([(5, a, "x"), (5, b, "x"), (2, b, "y"), (None, a, "z"), (None, "only here, and nowhere else at all", "z")], "doc_id long, text string, source string")
+    kept = sorted(((r.doc_id, r.text) for r in drop_near_duplicates(spark, df, SF).collect()), key=str)
+    assert kept == sorted([(2, b), (5, a), (None, "only here, and nowhere else at all")], key=str)
+
+
+def test_columns_with_the_names_of_helpers(spark):
+    """Every name that a stage uses inside may be a column of the documents, and keeps its values."""
+    names = ["_rows", "_score", "_s", "_key", "_bucket", "_before", "_run", "_copy", "_copies", "_size", "_items", "_spans", "_n_hit", "_row", "_text", "_first", "_extra", "kept", "id", "n", "a.b"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    wide = docs.selectExpr("*", *(f"concat('{n}-', doc_id) AS `{n}`" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, SF)
+        assert out.columns == wide.columns, name
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}-{r.doc_id}" for r in rows for n in names), name
