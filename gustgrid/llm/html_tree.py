@@ -1,12 +1,15 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a tree of elements (unclosed paragraphs and list items are closed as browsers do).
-Each paragraph-like element gives points for its length and its commas to its parent and half of
-them to its grandparent; an element's sum is discounted by its link density. The best container is
-widened to the outermost element in which other parts hold paragraphs like its own, then to the
-article around it, and kept with those siblings that score near it. Menus, headers,
-footers, sidebars, notices, adverts, forms, reader comments, scripts and styles are left out by tag,
-role or class. Work is per page, in the tasks that read it.
+Each paragraph-like element gives points for its length and its commas to its parent, half of them to
+the next ancestor, a quarter to the next, and so on to the root; an element's sum is discounted by its
+link density. The best container is widened to the outermost element in which other parts hold
+paragraphs like its own, then to the article around it and the main element around that, and kept with
+those siblings that score near it. Menus, headers, footers, sidebars, notices, adverts, forms, reader
+comments, scripts and styles are left out by tag, role, class or id. A class, role or id counts if all
+of one of its words say so ("comment-list", not "related-work"); headings never count, nor ids of
+sections in an article; words that articles use themselves (discussion, notice, related) count there
+only for elements of mostly links. Work is per page, in the tasks that read it.
 """
 
 from __future__ import annotations
@@ -38,22 +41,33 @@ HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dd dt", {"dl"}), "dd": ("dd dt", {"dl"}), "tr": ("tr td th", {"table"}), "td": ("td th", {"tr", "table"}),
           "th": ("td th", {"tr", "table"}), "option": ("option", {"select"})}
 CONTAINER_BONUS = {"article": 10.0, "main": 6.0, "section": 1.0, "div": 1.0}
-HINTS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice alert disclaimer menu nav navbar navigation "
-    "breadcrumb breadcrumbs sidebar footer header masthead comment comments commentlist respond disqus discussion replies share sharing social related recommended subscribe "
-    "newsletter popup modal overlay login signin signup search toolbar pagination pager widget complementary contentinfo skip topbar".split())
+# Words of parts beside the text, wherever they stand.
+STRONG = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr menu nav navbar navigation breadcrumb breadcrumbs sidebar footer masthead "
+    "comment comments commentlist respond disqus share sharing social recommended subscribe newsletter popup modal pagination complementary contentinfo topbar".split())
+# Words that an article may use for its own parts.
+WEAK = frozenset(
+    "promotion banner notice alert disclaimer header discussion replies related overlay login signin signup search toolbar pager widget skip".split())
+# Words that may stand beside these in one name.
+NEUTRAL = frozenset(
+    "site page main global top bottom left right inner outer box container wrapper wrap holder area block section bar bars panel list items item links link buttons icons slot unit "
+    "content body text form thread author meta count title row col column primary secondary wp js is fixed sticky big small".split())
 # "with-sidebar" and "no-comments" name the element around such parts.
 AROUND = re.compile(r"(?<![^\s])(?:with|without|has|no)[-_]\S*")
 # Besides paragraphs, these may hold text directly.
 OWN_TEXT = frozenset("div section article main body".split())
 SIBLING_SHARE = 0.2
+# A main heading names the container of the text, however short the text is.
+TITLE_BONUS = 5.0
+# Shares below this are lost in rounding.
+LEAST_SHARE = 1e-9
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "hinted", "length", "links", "commas", "score", "points", "paragraphs")
+    __slots__ = ("tag", "parent", "children", "hint", "id_hint", "length", "links", "commas", "score", "points", "paragraphs")
 
-    def __init__(self, tag: str, parent: "Node | None", hinted: bool = False):
-        self.tag, self.parent, self.hinted = tag, parent, hinted
+    def __init__(self, tag: str, parent: "Node | None", hint: int = 0, id_hint: int = 0):
+        self.tag, self.parent, self.hint, self.id_hint = tag, parent, hint, id_hint
         self.children: list["Node | str"] = []
         self.length = self.links = self.commas = 0
         self.score = 0.0
@@ -61,15 +75,37 @@ class Node:
         self.points, self.paragraphs = 0.0, 0
 
 
-def _hinted(attributes: str) -> bool:
+def _level(value: str) -> int:
+    """0: no name of the value is of a part beside the text, 1: by a weak word, 2: by a strong one."""
+    level = 0
+    for name in AROUND.sub(" ", value).split():
+        words = [w for w in re.split(r"[^a-z]+", name) if w]
+        if words and all(w in STRONG or w in WEAK or w in NEUTRAL for w in words):
+            level = max(level, 2 if not STRONG.isdisjoint(words) else 1 if not WEAK.isdisjoint(words) else 0)
+    return level
+
+
+def _hints(attributes: str) -> tuple[int, int]:
+    """Levels of the class or role, and of the id; 3 if the element is hidden."""
+    level, id_level = 0, 0
     for name, *values in ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
         name = name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if name in ("class", "id", "role") and not HINTS.isdisjoint(re.split(r"[^a-z0-9]+", AROUND.sub(" ", value))):
-            return True
-    return False
+            return 3, 0
+        if name in ("class", "role"):
+            level = max(level, _level(value))
+        elif name == "id":
+            id_level = max(id_level, _level(value))
+    return level, id_level
+
+
+def _beside(node: Node, inside: bool) -> bool:
+    """Whether an element's names say that it is no part of the text; ``inside`` an article or main element weak words need links."""
+    if node.hint == 3 or node.tag in ("html", "body", "main", "article") or node.tag in HEADING:
+        return node.hint == 3
+    level = max(node.hint, 0 if inside and node.tag == "section" else node.id_hint)
+    return level == 2 or level == 1 and (not inside or 2 * node.links >= node.length > 0)
 
 
 def parse(page: str) -> Node:
@@ -115,7 +151,7 @@ def parse(page: str) -> Node:
                 if up.tag in ends.split():
                     here = up.parent
                 up = up.parent
-        node = Node(tag, here, _hinted(found[3]) if found[3] else False)
+        node = Node(tag, here, *(_hints(found[3]) if found[3] else ()))
         here.children.append(node)
         if tag not in VOID and not found[3].endswith("/"):
             here = node
@@ -134,6 +170,13 @@ def _order(root: Node) -> list[Node]:
     return out
 
 
+def _in_article(node: Node) -> bool:
+    up = node.parent
+    while up is not None and up.tag not in ("article", "main"):
+        up = up.parent
+    return up is not None
+
+
 def _alive(nodes: list[Node]) -> list[Node]:
     """The elements not left out by tag or hint, each after its parent.
 
@@ -153,9 +196,10 @@ def _alive(nodes: list[Node]) -> list[Node]:
     node, text = nodes[0], False
     while True:
         # Elements of this part with whether their text is one of paragraphs.
-        todo = [(node, True)]
+        todo = [(node, True, _in_article(node))]
         while todo:
-            node, own = todo.pop()
+            node, own, inside = todo.pop()
+            inside = inside or node.tag in ("article", "main")
             if node.tag in BLOCK:
                 own = node.tag in PARAGRAPH or node.tag in OWN_TEXT
             own = own and node.tag != "a"
@@ -164,11 +208,11 @@ def _alive(nodes: list[Node]) -> list[Node]:
             for child in reversed(node.children):
                 if isinstance(child, str) or child.tag in DROPPED:
                     continue
-                if child.hinted and child.tag not in ("html", "body", "main") and id(child) not in around:
+                if _beside(child, inside) and id(child) not in around:
                     seen += 1
                     heapq.heappush(waiting, (-child.length, seen, child))
                 else:
-                    todo.append((child, own))
+                    todo.append((child, own, inside))
         if text or not waiting or not waiting[0][0]:
             break
         node = heapq.heappop(waiting)[-1]
@@ -200,13 +244,15 @@ def main_text(page: str | None) -> str:
             density = node.links / node.length if node.length else 0.0
             points = (min(node.length / 25.0, 1.0) + node.commas + min(node.length / 100.0, 3.0)) * (1.0 - density)
             above = node.parent if node.tag in PARAGRAPH else node
-            for share in (1.0, 0.5):
-                if above is not None:
-                    above.score += points * share
-                    above = above.parent
+            share = 1.0
+            while above is not None and share > LEAST_SHARE:
+                above.score += points * share
+                above, share = above.parent, share / 2
             if points > node.points:
                 # A text with blocks in it counts once.
                 node.points, node.paragraphs = points, 1
+        if node.tag == "h1" and node.parent is not None:
+            node.parent.score += TITLE_BONUS
         if node.parent is not None:
             node.parent.points += node.points
             node.parent.paragraphs += node.paragraphs
@@ -225,7 +271,10 @@ def main_text(page: str | None) -> str:
     path = [] if article is not None else _widened(best, dropped)
     if path:
         dropped |= _link_lists(path, dropped)
-    best = article or (path or [best])[-1]
+    main = article
+    while main is not None and main.tag != "main":
+        main = main.parent
+    best = main or article or (path or [best])[-1]
 
     kept = [best]
     if best.parent is not None and best.tag not in ("article", "main", "body", "#root"):

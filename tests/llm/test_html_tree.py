@@ -65,6 +65,26 @@ def test_hints_hold_whatever_the_length(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    # Names of an article's own parts.
+    (f"<article><h2 id=discussion>Discussion</h2><p>{LONG}</p><h2 id='search-and-sharing'>Search</h2><section id='related-work'><p>R.</p></section>"
+     f"<section id=discussion><p>D.</p></section><div class='alert alert-info'>Note.</div><div id='comment-on-method'><p>M.</p></div></article>",
+     f"Discussion\n{LONG}\nSearch\nR.\nD.\nNote.\nM."),
+    # Parts that do not belong to it.
+    (f"<article><p>{LONG}</p><div class='share-buttons'>Share this</div><div class=related><a href=/1>One more</a></div><div id=comments><p>{LONG}</p></div>"
+     f"<div class='comment-list'><p>{LONG}</p></div><div class='ad-slot-300'>Buy</div><p hidden>x</p></article>", LONG),
+    ("<html><body><div><h1>Title</h1><p>Hello.</p><p>World.</p></div><div>Copyright 2024 by a company, all rights reserved, do not copy this page.</div></body></html>",
+     "Title\nHello.\nWorld.\nCopyright 2024 by a company, all rights reserved, do not copy this page."),
+    ("<h1>Title</h1><p>Hello.</p><p>World.</p><div>A sentence of some length, which stands at the end of the page.</div>",
+     "Title\nHello.\nWorld.\nA sentence of some length, which stands at the end of the page."),
+    (f"<main><article><p>{LONG}</p></article><section><p>P.</p></section><nav>x</nav></main><div><p>{LONG}</p></div>", f"{LONG}\nP."),
+    # Points reach all ancestors: four columns, each paragraph three levels below the container.
+    ("<body><div class=widget-area><p>Aside, short.</p></div><div class=text>" + f"<div><div><div><p>{LONG}</p></div></div></div>" * 4 + "</div></body>", "\n".join([LONG] * 4)),
+])
+def test_names_and_short_pages(page, text):
+    assert main_text(page) == text
+
+
 def test_odd_rows(spark):
     rows = [(1, "u", None), (1, None, ""), (None, "u", f"<p>{LONG}</p>"), (2, "u", "<article>" + f"<p>{LONG}</p>" * 3000 + "</article>")]
     got = extract_main_text(spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")).collect()
