@@ -5,18 +5,23 @@ token has a few discrete features: shape (length, digits, case, hex, changes bet
 digits), identity (key words, separators), its neighbours' identities, and features of its text. The
 field scores the tags secret begin, inside and outside and is decoded by Viterbi.
 
-The spans of the fixed patterns are the labels it learns from, on two bounded samples over all
-documents: of those that hold a fixed pattern and of the others (``SAMPLE`` expected in each, drawn by
-a hash). All key words are one value of a feature, so those outside the patterns weigh as much, and
-training windows stop short of values that follow a key word but fit no pattern. Decoding is exact: a token whose margin for
+It learns from two bounded samples over all documents: of those that hold a fixed pattern and of the
+others (``SAMPLE`` expected in each, drawn by a hash). The spans of the fixed patterns are its first
+labels. They all have a few shapes, so each place is also rewritten: other key words and signs, values
+drawn from other alphabets and lengths (secret), and the same key words before plain words or none (no
+secret). Thus key word and shape weigh together, and neither alone. All key words are one value of a
+feature; plain words that a pattern takes for a value teach nothing, and training windows stop short of
+values that follow a key word but fit no pattern. Decoding is exact: a token whose margin for
 "outside" exceeds anything that transitions could win is outside in the best path, so only the runs
 between such tokens need the recursion, and all runs of a batch step together.
 """
 
 from __future__ import annotations
 
+import random
 import re
 import sys
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +30,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from gustgrid.llm.common import flat, mix, steps, word_hashes
+from gustgrid.llm.common import flat, steps, word_hashes
+from gustgrid.session import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -38,13 +44,22 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 # Documents with one of them, in Java's syntax; a few more may fit.
 HOLDS = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{6}|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
 
-# Expected documents in each training sample, tokens of a training window, share of documents with a window without a secret.
-SAMPLE, WINDOW, PLAIN_SHARE = 20_000, 40, 8
+# Bounds of the training set: expected documents in each sample, places used in a document (the first by a hash),
+# rewritten copies of a place with and without a secret. Tokens of a training window.
+SAMPLE, PLACES, SECRETS, PLAIN, WINDOW = 5_000, 4, 2, 2, 40
 ROUNDS, RATE, DECAY = 80, 0.3, 1e-4
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
 
-KEY_WORDS = ["password", "passwd", "secret", "token", "apikey", "api_key", "api-key", "key", "pwd", "pass", "auth", "authorization", "bearer",
-             "credential", "credentials", "private", "access", "access_key", "secret_key", "client_secret", "login"]
+KEY_WORDS = ["password", "passwd", "secret", "token", "apikey", "api_key", "api-key", "key", "pwd", "pass", "auth", "authorization", "bearer", "passphrase",
+             "credential", "credentials", "private", "private_key", "access", "access_key", "access_token", "secret_key", "client_secret", "auth_token", "api_token",
+             "db_password", "refresh_token", "signing_key", "login"]
+# What stands between a rewritten key word and its value.
+BETWEEN = ["=", " = ", ": ", ":", "=\"", ": '", "\": \"", " is ", " "]
+_LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+# Alphabets of rewritten values with their least and greatest length.
+ALPHABETS = [("abcdef" + _DIGITS, 12, 64), (_LOWER + _UPPER + _DIGITS, 10, 48), (_LOWER + _UPPER + _DIGITS + "+/", 16, 64), (_LOWER + _DIGITS, 8, 32),
+             (_UPPER + _DIGITS, 10, 32), (_LOWER + _UPPER + _DIGITS + "_-", 12, 48), (_LOWER + _UPPER + _DIGITS + "_.", 24, 120)]
+LONGEST_KEY = max(map(len, KEY_WORDS))
 # The value of any key word, and those of assignment signs.
 KEY, SIGNS = 1, (25, 26)
 # Number of values of each feature.
@@ -119,7 +134,7 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> Tokens:
 
     codes = _word_codes()
     name = np.zeros(n, np.int64)
-    maybe = np.flatnonzero(body & (length <= 13) & (length >= 3) & _INITIALS[data[starts]])
+    maybe = np.flatnonzero(body & (length <= LONGEST_KEY) & (length >= 3) & _INITIALS[data[starts]])
     h = word_hashes(data, starts[maybe], ends[maybe], lower=True)
     at = np.minimum(np.searchsorted(codes, h), len(codes) - 1)
     name[maybe] = np.where(codes[at] == h, KEY, 0)
@@ -245,42 +260,104 @@ def _gold(tokens: Tokens, spans: list[list[tuple[int, int]]]) -> np.ndarray:
     return tags
 
 
+def _value(rng: random.Random) -> str:
+    """A made-up secret: letters and digits of one alphabet, at least one of each."""
+    alphabet, least, most = rng.choice(ALPHABETS)
+    body = [rng.choice(alphabet) for _ in range(rng.randint(least, most) - 2)]
+    for part in (rng.choice(_DIGITS), rng.choice([c for c in alphabet if c.isalpha()])):
+        body.insert(rng.randint(0, len(body)), part)
+    return "".join(body)
+
+
+def _rewritten(text: str, a: int, b: int, seed: int) -> list[tuple[str, int, int]]:
+    """Copies of the place around ``text[a:b]`` with other key words: (snippet, start and end of the secret; equal without one)."""
+    rng = random.Random(seed)
+    left, right = text[max(0, a - 160) : a], text[b : b + 160]
+    if left and not left[-1].isspace():
+        left += " "
+    words = [w for w in re.findall(r"[A-Za-z\u00C0-\u024F]{2,14}", left + right) if w.lower() not in KEY_WORDS] or ["value"]
+    out = []
+    for k in range(SECRETS + PLAIN):
+        key, sign = rng.choice(KEY_WORDS), rng.choice(BETWEEN)
+        key = rng.choice([key, key.upper(), key.capitalize()])
+        head = f"{left}{key}{sign}"
+        if k < SECRETS:
+            value = _value(rng)
+            close = sign[-1] if sign[-1] in "\"'" else ""
+            out.append((f"{head}{value}{close} {right.lstrip()}", len(head), len(head) + len(value)))
+        else:
+            out.append((f"{head}{' '.join(rng.choice(words) for _ in range(rng.randint(1, 4)))}{right}", 0, 0))
+    return out
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training windows: around each secret value, and one elsewhere for every eighth document."""
+    """Training windows: around secret values, in rewritten places, and one elsewhere in every document."""
     for batch in batches:
         for part in steps(batch, "text"):
             data, offsets = flat(part.column(0))
             tokens = tokens_of(data, offsets)
-            texts = part.column(0).to_pylist()
-            spans = []
+            texts = [t or "" for t in part.column(0).to_pylist()]
+            spans, snippets, origin = [], [], []
+            bounds = np.searchsorted(tokens.rows, np.arange(len(texts) + 1))
+            seeds = [zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts]
+            skip: set[tuple[int, int]] = set()
             for r, text in enumerate(texts):
-                own = []
-                for a, k, b in base_spans(text or ""):
+                own, places = [], []
+                for a, k, b in base_spans(text):
+                    places.append((a, b))
                     if k == 0:
-                        a = a + len(ASSIGN.match(text, a)[0]) - len(ASSIGN.match(text, a)[2])
+                        a = b - len(ASSIGN.match(text, a)[2])
                     head = int(offsets[r]) + len(text[:a].encode())
                     own.append((head, head + len(text[a:b].encode())))
+                    if text[a:b].isalpha():
+                        # Perhaps a plain word behind a key word.
+                        skip.add((r, head))
                 spans.append(own)
+                places = sorted(places, key=lambda p: zlib.crc32(f"{seeds[r]}:{p[0]}".encode()))[:PLACES]
+                for n, (a, b) in enumerate(places):
+                    made = _rewritten(text, a, b, seeds[r] + n)
+                    snippets += made
+                    origin += [r] * len(made)
             tags = _gold(tokens, spans)
             # Perhaps secrets that no pattern finds: values with digits, of 8 characters or more, behind a key word and a sign.
             x = tokens.features
             doubt = (tags == OUTSIDE) & (x[:, 0] >= 2) & (x[:, 1] > 0) & ((x[:, 6] == KEY) | (x[:, 7] == KEY) & np.isin(x[:, 6], SIGNS))
-            doubt = np.flatnonzero(doubt)
-            bounds = np.searchsorted(tokens.rows, np.arange(len(texts) + 1))
+            unsure = np.array([(int(r), int(a)) in skip for r, a in zip(tokens.rows, tokens.starts)], bool) if skip else np.zeros(len(tags), bool)
+            doubt = np.flatnonzero(doubt | unsure)
             out_x, out_y = [], []
+
+            def add(features: np.ndarray, own: np.ndarray, p: int, lo: int, hi: int, stops: np.ndarray) -> None:
+                a, b = max(lo, p - WINDOW // 2), min(hi, p + WINDOW // 2)
+                k = int(np.searchsorted(stops, p))
+                a, b = max(a, int(stops[k - 1]) + 1) if k else a, min(b, int(stops[k])) if k < len(stops) else b
+                if a < b:
+                    out_x.append(features[a:b].tobytes())
+                    out_y.append(own[a:b].tobytes())
+
             for r in range(len(texts)):
                 lo, hi = int(bounds[r]), int(bounds[r + 1])
-                picks = [lo + int(p) for p in np.flatnonzero(tags[lo:hi] == BEGIN)[:4]]
-                if hi > lo and int(mix(np.array([offsets[r + 1] - offsets[r]], np.uint64))[0]) % PLAIN_SHARE == 0:
-                    picks.append(lo + (hi - lo) // 2)
+                picks = (lo + np.flatnonzero(tags[lo:hi] == BEGIN)).tolist()
+                picks = sorted(picks, key=lambda p: zlib.crc32(f"{seeds[r]}:{p - lo}".encode()))[:PLACES]
+                if hi > lo:
+                    picks.append(lo + seeds[r] % (hi - lo))
                 for p in picks:
-                    a, b = max(lo, p - WINDOW // 2), min(hi, p + WINDOW // 2)
-                    k = int(np.searchsorted(doubt, p))
-                    a, b = max(a, int(doubt[k - 1]) + 1) if k else a, min(b, int(doubt[k])) if k < len(doubt) else b
-                    if a >= b:
-                        continue
-                    out_x.append(tokens.features[a:b].tobytes())
-                    out_y.append(tags[a:b].tobytes())
+                    add(x, tags, p, lo, hi, doubt)
+            if snippets:
+                data, offsets = flat(pa.array([s for s, _, _ in snippets]))
+                made = tokens_of(data, offsets)
+                found = []
+                for k, (s, a, b) in enumerate(snippets):
+                    head = int(offsets[k])
+                    found.append([(head + len(s[:a].encode()), head + len(s[:b].encode()))] if b > a else [])
+                own = _gold(made, found)
+                # Features of the text are those of the whole document.
+                first = bounds[:-1][np.array(origin)]
+                made.features[:, 9:] = x[first[made.rows], 9:]
+                cuts, none = np.searchsorted(made.rows, np.arange(len(snippets) + 1)), np.empty(0, np.int64)
+                for k, (s, a, b) in enumerate(snippets):
+                    lo, hi = int(cuts[k]), int(cuts[k + 1])
+                    at = np.flatnonzero(own[lo:hi] == BEGIN)
+                    add(made.features, own, lo + int(at[0]) if len(at) else (lo + hi) // 2, lo, hi, none)
             yield pa.RecordBatch.from_arrays([pa.array(out_x, pa.binary()), pa.array(out_y, pa.binary())], ["x", "y"])
 
 
@@ -354,14 +431,16 @@ def _scan(field: Field):
 
 def fit_field(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Field:
     """The field of ``sample`` expected documents with a fixed pattern and as many without (all, if there are fewer)."""
-    texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("holds", F.coalesce(F.col("text").rlike(HOLDS), F.lit(False)))
-    rows, holding = texts.agg(F.count(F.lit(1)), F.count_if("holds")).first()
-    if not rows:
-        return train([])
-    with_, without = (int(min(1.0, sample / max(n, 1)) * 10**12) for n in (holding, rows - holding))
+    texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
     # Ids may be null or repeat, so texts count too.
-    drawn = texts.filter(f"pmod(xxhash64(id, text), 1000000000000L) < CASE WHEN holds THEN {with_}L ELSE {without}L END")
-    got = drawn.select("text").mapInArrow(_windows, "x binary, y binary").collect()
+    drawn = texts.withColumn("draw", F.expr("pmod(xxhash64(id, length(text), left(text, 200)), 1000000000000L)"))
+    holding = stage(drawn.filter(F.col("text").rlike(HOLDS)), "secrets")
+    sizes = [docs.count(), holding.count()]
+    if not sizes[1]:
+        return train([])
+    limits = [int(min(1.0, sample / max(n, 1)) * 10**12) for n in (sizes[0] - sizes[1], sizes[1])]
+    picked = drawn.filter(f"draw < {limits[0]}L").filter(~F.coalesce(F.col("text").rlike(HOLDS), F.lit(False))).unionByName(holding.filter(f"draw < {limits[1]}L"))
+    got = picked.select("text").mapInArrow(_windows, "x binary, y binary").collect()
     return train([(np.frombuffer(r.x, np.int16).reshape(-1, len(SIZES)), np.frombuffer(r.y, np.int8)) for r in got])
 
 

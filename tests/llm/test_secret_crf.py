@@ -1,6 +1,7 @@
 """Fixed patterns by brute force; Viterbi and gradients against full recursion; the field finds secrets on its own."""
 
 import itertools
+import random
 import re
 
 import numpy as np
@@ -109,3 +110,28 @@ def test_rare_secrets_train_and_other_key_words_are_found(spark):
             assert "b7db7aa4a5" in text[int(got[i].spans.split(":")[1]) : int(got[i].spans.split(":")[2])]
         elif i < 3000:
             assert got[i].spans == ""
+
+
+def test_varied_values_behind_other_key_words(spark):
+    """Values of other alphabets and lengths than those it learns from, behind key words no pattern knows; plain texts stay clean."""
+    rng = random.Random(77)
+    words = "harbour lantern meadow quarter silver window garden letter winter market bridge copper river mountain story evening".split()
+
+    def prose():
+        return " ".join(rng.choice(words) for _ in range(rng.randint(8, 60))).capitalize() + rng.choice([".", ", and so on.", ": the password is required here.", " (token 7)."])
+
+    def value():
+        kind = rng.randrange(3)
+        pools = ["abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"]
+        return "".join(rng.choice(pools[kind]) for _ in range(rng.randint(12, 40))) + str(rng.randrange(10, 99))
+
+    rows = [(i, f"{prose()}\n{prose()}") for i in range(3000)]
+    rows += [(5000 + i, f"{prose()}\n{prose()} {k}{rng.randrange(16**12):012x} {prose()}") for i, k in enumerate(["password=", "token: ", "secret = "] * 20)]
+    starts = ["pwd: ", "pwd = ", "Bearer ", "auth=", "private_key = ", "credential: ", "access_key=", "password is ", "login: ", "passphrase = "]
+    planted = {9000 + i: (start, value()) for i, start in enumerate(starts * 12)}
+    rows += [(i, f"{prose()}\n{prose()} {start}{v} {prose()}") for i, (start, v) in planted.items()]
+    got = {r.doc_id: r for r in secret_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    found = {i: any(v in texts[i][int(s.split(":")[1]) : int(s.split(":")[2])] for s in got[i].spans.split(",") if s) for i, (_, v) in planted.items()}
+    assert sum(found.values()) >= 0.9 * len(planted)
+    assert [i for i in range(3000) if got[i].spans] == []
