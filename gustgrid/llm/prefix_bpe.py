@@ -49,6 +49,31 @@ def _byte_chars() -> dict[str, int]:
     return {**{chr(b): b for b in visible}, **{chr(256 + i): b for i, b in enumerate(hidden)}}
 
 
+def latin_pieces() -> re.Pattern:
+    """The same pieces for texts of Latin-1 characters, whose classes are short: several times as fast."""
+    letters, digits, space = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+    return re.compile(rf" ?[{letters}]+|'(?:[sdmt]|ll|ve|re)| ?[{digits}]+| ?[^{space}{letters}{digits}]+|[{space}]+(?![^{space}])|[{space}]+")
+
+
+def piece_splitter():
+    """A function from a text to its pieces."""
+    latin, whole = latin_pieces().findall, piece_pattern().findall
+
+    def split(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return whole(text)
+        return latin(text)
+
+    return split
+
+
+def piece_pattern() -> regex.Pattern:
+    """The pieces of the byte-level split: letters, contractions, digits, other marks, white space."""
+    return regex.compile(rf" ?\p{{L}}+|'(?:[sdmt]|ll|ve|re)| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+
+
 class PrefixBpe:
     """Encoder and decoder of one byte-level vocabulary file (the JSON format of the tokenizers library)."""
 
@@ -98,7 +123,7 @@ class PrefixBpe:
         self.added = {content: t["id"] for content, t in added.items()}
         self.bytes_of.update({i: c.encode() for c, i in self.added.items()})
         self.cut = re.compile("(" + "|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
-        self.pieces = regex.compile(rf" ?\p{{L}}+|'(?:[sdmt]|ll|ve|re)| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+").findall
+        self.pieces = piece_splitter()
         self.table = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}

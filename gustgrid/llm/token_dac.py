@@ -14,7 +14,6 @@ ascending id order without one task seeing them all.
 from __future__ import annotations
 
 import os
-import re
 import sys
 import zlib
 from array import array
@@ -26,16 +25,14 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gustgrid.llm.decontam import worker_cache
+from gustgrid.llm.prefix_bpe import piece_splitter
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEGMENT = 1 << 20
 RANK_BITS = 512
-# Words whose ids a worker remembers.
-REMEMBERED = 800_000
-_OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-# A word that ends with a letter, and ASCII punctuation behind it.
-_TAIL = re.compile(r"(.*[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])([!-/:-@\[-`{-~]+)", re.S)
+# Bytes of remembered pieces and ids, about, in one generation of a worker.
+REMEMBERED_BYTES = 64_000_000
 _POPCOUNT = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 SEGMENT_SCHEMA = ("part long, segment long, n_docs long, n_tokens long, doc_ids array<long>, doc_ends array<long>, "
@@ -84,12 +81,11 @@ def dac_get(levels: list[bytes], bitmaps: list[bytes], ranks: list[bytes], i: in
 
 
 class Encoder:
-    """Ids of texts as the tokenizers library gives them, each distinct word encoded once.
+    """Ids of texts as the tokenizers library gives them, each distinct piece encoded once.
 
-    Byte-level BPE works inside pieces that never reach over a single white-space character between
-    two others, nor from a letter to a punctuation mark behind it. So a text is cut at its white space,
-    the ids of words are remembered, and the library gets all new words of a batch as lines of one
-    text. Texts with runs of white space or with a special token's string go through the library whole.
+    A byte-level vocabulary is applied to pieces of the text (letters, digits, marks, white space). A text
+    is cut into them here, the library encodes all new pieces of a batch, and their ids are remembered in two
+    generations of about ``REMEMBERED_BYTES`` each. Texts with a special token's string go through it whole.
     """
 
     def __init__(self, path: str):
@@ -97,65 +93,49 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Texts that hold one of these are encoded whole: runs of white space, special tokens, other white space.
-        self.runs = ["  ", "\n\n", " \n", "\n ", *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
-        self.newline = self._ids("\n")
-        # Keys: a word behind a space as it is, behind a newline with the newline, at the start of a text with a space.
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
-
-    def _lines(self, words: list[str], lead: str) -> dict[str, bytes]:
-        """Ids of each word behind ``lead``, from one text with a word on each line."""
-        if not words:
-            return {}
-        ids = np.frombuffer(self._ids("".join(f"{lead}{w}\n" for w in words)), "<u4")
-        ends = np.flatnonzero(ids == np.frombuffer(self.newline, "<u4")[0])
-        data = ids.tobytes()
-        return {w: data[4 * a : 4 * b] for w, a, b in zip(words, [0, *(ends[:-1] + 1).tolist()], ends.tolist())}
-
-    def _learn(self, keys: set[str]) -> None:
-        """Adds the ids of new keys; a word is taken apart from the punctuation that ends it."""
-        cut = {k: (m[1], m[2]) if (m := _TAIL.fullmatch(k)) else (k, "") for k in keys}
-        spaced, plain = set(), {tail for _, tail in cut.values() if tail}
-        for stem, _ in cut.values():
-            if stem[:1] in (" ", "\n"):
-                plain.add(stem[1:])
-            elif stem not in self.known:
-                spaced.add(stem)
-        plain.discard("")
-        bare = self._lines(sorted(plain), "")
-        bare[""] = b""
-        self.known.update(self._lines(sorted(spaced), " "))
-        for key, (stem, tail) in cut.items():
-            if stem[:1] == " ":
-                self.known[key] = bare[stem[1:]] + bare[tail]
-            elif stem[:1] == "\n":
-                self.known[key] = self.newline + bare[stem[1:]] + bare[tail]
-            elif tail:
-                self.known[key] = self.known[stem] + bare[tail]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces = piece_splitter()
+        self.newline = int(np.frombuffer(self._library(["\n"])[0], "<u4")[0])
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Ids of pieces that the young generation lacks: from the old one, the others from the library."""
+        old = self.old
+        self.young.update((p, old[p]) for p in pieces if p in old)
+        new = [p for p in pieces if p not in old]
+        # A line each, since the library encodes one text faster than many; white space goes by itself.
+        lines = [p for p in new if not p.isspace()]
+        if lines:
+            ids = self._library(["\n".join(lines) + "\n"])[0]
+            ends = np.flatnonzero(np.frombuffer(ids, "<u4") == self.newline).tolist()
+            self.young.update((p, ids[4 * a + 4 : 4 * b]) for p, a, b in zip(lines, [-1, *ends[:-1]], ends, strict=True))
+        spaces = [p for p in new if p.isspace()]
+        self.young.update(zip(spaces, self._library(spaces)))
+        self.held += sum(map(len, pieces)) + 220 * len(pieces)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text; a null text is empty."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        cut, new, get = [], set(), self.known.get
+        if self.held > REMEMBERED_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
+        known, cut, new = self.young.get, [], set()
         for text in texts:
-            text = text or ""
-            if text[:1] == " " or text[-1:] in (" ", "\n") or any(run in text for run in self.runs) or _OTHER_SPACE.search(text):
+            if not text or any(s in text for s in self.special):
                 cut.append((text, None))
                 continue
-            words = text.replace("\n", " \n").split(" ")
-            words[0] = f" {words[0]}"
-            ids = list(map(get, words))
+            pieces = self.pieces(text)
+            ids = list(map(known, pieces))
             if None in ids:
-                new.update(w for w, i in zip(words, ids) if i is None)
+                new.update(p for p, i in zip(pieces, ids) if i is None)
                 ids = None
-            cut.append((words, ids))
+            cut.append((pieces, ids))
         if new:
             self._learn(new)
-        return [self._ids(words) if isinstance(words, str) else b"".join(ids or map(get, words)) for words, ids in cut]
+        return [b"".join(ids or map(known, pieces)) if isinstance(pieces, list) else self._library([pieces])[0] if pieces else b"" for pieces, ids in cut]
 
 
 def _write_segments(path: str, end_id: int):
