@@ -8,13 +8,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gustgrid.operators.numbering import row_numbers
 from gustgrid.operators.projection import project
+from gustgrid.session import stage
 
 # Relative tolerance when a coordinate is matched to a lattice line.
 ON_LINE = 1e-6
 # Coordinates nearer than this share of the extent are one lattice line (noise of float arithmetic).
 SAME_LINE = 1e-7
-# Points whose extent would hold this many times the lines they lie on are scattered, not a lattice.
-SCATTERED = 16
+# Candidates for the step of a lattice: the commonest gaps of its lines, and the smallest.
+CANDIDATES = 16
+# Share of the gaps of each axis that must be whole multiples of the step; relative room for one step.
+VOTES, STEP_ROOM = 0.9, 1e-3
+# Column with the projection of a key's lattice, where keys have their own.
+PROJECTION = "_projection"
 # Parts that a point list is cut into when it meets the hours.
 POINT_PARTS = 32
 
@@ -46,34 +51,58 @@ def local_coords(df: DataFrame, keys: Sequence[str], x="x", y="y") -> DataFrame:
 
 
 def infer_lattice(df: DataFrame, keys: Sequence[str], x="x", y="y") -> DataFrame:
-    """One row per key: origin, extents, smallest gap between lattice lines, number of lines.
+    """One row per key: origin, extents, step between lattice lines, number of lines.
 
-    Coordinates that differ by noise are one line. ``base_res`` is NULL without two lines, and for
-    scattered points, so that one bad hour has no lattice instead of a boundless grid. Only the
-    distinct coordinates of one axis (the lattice width) meet in a window.
+    The step is the largest gap of which nine tenths of the gaps of each axis are whole multiples, so a node beside
+    the lines or patches far apart do not change it. The lines are those of the commonest remainder; extents are from
+    the first to the last of them, and :func:`off_lattice` lists the rows that lie on none. Coordinates that differ by
+    noise are one line. ``base_res`` is NULL without two lines, and for scattered points, of which no gap wins.
+    Only the distinct coordinates of one axis (the lattice width) meet in a window.
     """
     keys = list(keys)
     axes = df.select(*keys, F.explode(F.array(
-        F.struct(F.lit("x").alias("axis"), F.col(x).alias("c")),
-        F.struct(F.lit("y").alias("axis"), F.col(y).alias("c")),
+        F.struct(F.lit("x").alias("axis"), F.col(x).cast("double").alias("c")),
+        F.struct(F.lit("y").alias("axis"), F.col(y).cast("double").alias("c")),
     )).alias("_e")).select(*keys, "_e.axis", "_e.c").distinct()
     per_axis = Window.partitionBy(*keys, "axis")
     gap = F.col("c") - F.lag("c").over(per_axis.orderBy("c"))
-    extent = F.max("c").over(per_axis) - F.min("c").over(per_axis)
-    axes = axes.withColumns({"gap": gap, "extent": extent}).withColumn("fresh", F.coalesce(F.col("gap") > SAME_LINE * F.col("extent"), F.lit(True)))
-
-    def of(axis, agg, column="c", where=None):
-        return agg(F.when((F.col("axis") == axis) if where is None else (F.col("axis") == axis) & where, F.col(column)))
-
-    found = axes.groupBy(*keys).agg(
-        F.min(F.when(F.col("fresh"), F.col("gap"))).alias("base_res"),
-        of("x", F.min).alias("min_x"), of("y", F.min).alias("min_y"),
-        (of("x", F.max) - of("x", F.min)).alias("max_x_local"),
-        (of("y", F.max) - of("y", F.min)).alias("max_y_local"),
-        of("x", F.count, where=F.col("fresh")).alias("n_x"), of("y", F.count, where=F.col("fresh")).alias("n_y"),
+    lowest, highest = F.min("c").over(per_axis), F.max("c").over(per_axis)
+    axes = axes.withColumns({"gap": gap, "low": lowest, "extent": highest - lowest}).withColumn(
+        "fresh", F.coalesce(F.col("gap") > SAME_LINE * F.col("extent"), F.lit(True)))
+    axes = stage(axes, "lines")
+
+    gaps = axes.filter("fresh AND gap IS NOT NULL").groupBy(*keys, "axis", F.expr("CAST(round(ln(gap) * 10000) AS BIGINT)").alias("size")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("gap").alias("gap"))
+    of_key = Window.partitionBy(*keys)
+    ranked = gaps.withColumns({"place": F.row_number().over(of_key.orderBy(F.desc("n"), "gap")), "least": F.min("gap").over(of_key)})
+    tried = ranked.filter((F.col("place") <= CANDIDATES) | (F.col("gap") == F.col("least"))).select(*keys, F.col("gap").alias("step")).distinct()
+    times = "gap / step"
+    fits = f"abs({times} - round({times})) <= {STEP_ROOM} * greatest(1D, {times} * {STEP_ROOM}) AND round({times}) >= 1"
+    votes = tried.join(gaps, keys).groupBy(*keys, "step", "axis").agg((F.sum(F.expr(f"CASE WHEN {fits} THEN n ELSE 0 END")) / F.sum("n")).alias("share"))
+    steps = votes.groupBy(*keys, "step").agg(F.min("share").alias("share")).filter(F.col("share") >= VOTES).groupBy(*keys).agg(F.max("step").alias("base_res"))
+
+    # Lines by their remainder, a thousandth of a step wide, and the two beside it; without a step every line counts.
+    turn = round(1 / STEP_ROOM)
+    known = axes.join(steps, keys, "left").withColumn("rest", F.expr(f"coalesce(CAST(pmod(round((c - low) / base_res * {turn}), {turn}) AS BIGINT), 0L)"))
+    common = known.groupBy(*keys, "axis", "rest").agg(F.count_if("fresh").alias("n")).groupBy(*keys, "axis").agg(
+        F.max_by("rest", F.struct("n", -F.col("rest"))).alias("common"))
+    on_line = known.join(common, [*keys, "axis"]).filter(f"pmod(rest - common + 1, {turn}) <= 2")
+    best = on_line.groupBy(*keys, "axis").agg(F.struct(
+        F.min("c").alias("first"), F.max("c").alias("last"), F.count_if("fresh").alias("n"), F.max("base_res").alias("base_res")).alias("b"))
+
+    def of(axis, column):
+        return F.max(F.when(F.col("axis") == axis, F.col(f"b.{column}")))
+
+    return best.groupBy(*keys).agg(
+        F.max("b.base_res").alias("base_res"), of("x", "first").alias("min_x"), of("y", "first").alias("min_y"),
+        (of("x", "last") - of("x", "first")).alias("max_x_local"), (of("y", "last") - of("y", "first")).alias("max_y_local"),
+        of("x", "n").alias("n_x"), of("y", "n").alias("n_y"),
     )
-    regular = F.greatest(*(F.col(f"max_{a}_local") / F.col("base_res") / F.col(f"n_{a}") for a in "xy")) <= SCATTERED
-    return found.withColumn("base_res", F.when(regular, F.col("base_res")))
+
+
+def off_lattice(df: DataFrame, lattice: DataFrame, keys: Sequence[str], x="x", y="y") -> DataFrame:
+    """Rows that lie on no node of their key's native lattice."""
+    return assign_node_id(df, lattice, keys, 1, x, y).filter("node IS NULL").drop("node")
 
 
 def _lines(extent: Column, spacing: Column) -> Column:
@@ -147,14 +176,24 @@ def append_points(grid: DataFrame, points: DataFrame, lattice: DataFrame, keys:
 
     Every key needs every point, so the result has that many rows; they are made by an equi-join on
     the part of the point list, with one copy of a key's lattice row for each part. Points without a
-    name are numbered by longitude and latitude.
+    name are numbered by longitude and latitude. Points with key columns go to their own keys only.
+    A lattice with a ``PROJECTION`` column gives each key its projection.
     """
     keys = list(keys)
+    more = [PROJECTION] if PROJECTION in lattice.columns else []
+    if keys and set(keys) <= set(points.columns):
+        own = points.select(*keys, "name", "lon", "lat")
+        rank = F.row_number().over(Window.partitionBy(*keys, F.col("name").isNull()).orderBy("lon", "lat"))
+        own = own.withColumn("name", F.coalesce("name", F.concat(F.lit("test_point_"), rank)))
+        return _appended(grid, lattice.select(*keys, "min_x", "min_y", *more).join(own, keys), keys, projection)
     given = points.select("name", "lon", "lat")
     unnamed = row_numbers(given.filter("name IS NULL"), ["lon", "lat"]).select(F.concat(F.lit("test_point_"), "number").alias("name"), "lon", "lat")
     listed = given.filter("name IS NOT NULL").union(unnamed).withColumn("_part", F.expr(f"pmod(xxhash64(name, lon, lat), {POINT_PARTS})"))
-    origins = lattice.select(*keys, "min_x", "min_y", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(POINT_PARTS - 1).cast("bigint"))).alias("_part"))
-    named = origins.join(listed, "_part").drop("_part")
+    origins = lattice.select(*keys, "min_x", "min_y", *more, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(POINT_PARTS - 1).cast("bigint"))).alias("_part"))
+    return _appended(grid, origins.join(listed, "_part").drop("_part"), keys, projection)
+
+
+def _appended(grid: DataFrame, named: DataFrame, keys: list[str], projection) -> DataFrame:
     named = project(named, projection).select(
         *keys, F.col("name").alias("node_id"),
         (F.col("x") - F.col("min_x")).alias("x_local"), (F.col("y") - F.col("min_y")).alias("y_local"),

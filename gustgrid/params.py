@@ -10,7 +10,8 @@ class InterpolationParams:
     """Parameters of one interpolation run.
 
     ``cutoff`` and ``width`` are in the units of the projected coordinates; ``buffer_m`` is the
-    distance in metres by which the region is widened when input nodes are selected.
+    distance in metres by which the region is widened when input nodes are selected. A key whose refined
+    grid would have more than ``max_nodes`` nodes is not interpolated and says so in ``status``.
     """
 
     res_factor: int = 8
@@ -22,6 +23,7 @@ class InterpolationParams:
     test_pct: float = 10.0
     seed: int = 123
     buffer_m: float | None = None
+    max_nodes: int = 1_000_000_000
 
     def __post_init__(self):
         if int(self.res_factor) != self.res_factor or self.res_factor < 1:
@@ -38,3 +40,5 @@ class InterpolationParams:
             raise ValueError("cutoff and width must be positive, width at most cutoff")
         if self.buffer_m is not None and self.buffer_m < 0:
             raise ValueError("buffer_m must not be negative")
+        if self.max_nodes < 1:
+            raise ValueError("max_nodes must be positive")

@@ -17,15 +17,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gustgrid.functions.crs import LonLat, Utm
+from gustgrid.functions.crs import ByRow, LonLat, Utm
 from gustgrid.functions.geometry import in_box, in_ring, python_bounds
 from gustgrid.functions.times import parse_timestamp
 from gustgrid.functions.wind import dir_from_uv, speed_from_uv, uv_from_speed_dir
 from gustgrid.operators.kriging import Task, gather_neighbors, krige
-from gustgrid.operators.lattice import append_points, assign_node_id, infer_lattice, output_counts, refine_grid, source_tag
+from gustgrid.operators.lattice import PROJECTION, append_points, assign_node_id, infer_lattice, output_counts, refine_grid, source_tag
 from gustgrid.operators.metrics import cv_score
 from gustgrid.operators.neighbors import idw_aggregate, idw_within, knn_join, neighbor_aggregates
 from gustgrid.operators.projection import project, unproject
+from gustgrid.operators.region_join import points_in_regions
 from gustgrid.operators.regions import points_near_polygon
 from gustgrid.operators.sampling import hash_rank, sample_size
 from gustgrid.operators.trend import add_residuals, ols_topo, ols_xy
@@ -183,16 +184,13 @@ def predict_grid(
     tasks += [Task(f"e_{v}", f"r_{v}", v, "const", trend=True) for v in VARS]
     out = krige(rows, tasks, keep, p.cutoff)
 
+    # Only hours without a usable model need all rows within the cutoff; for the others these tables are empty.
     fallback = chosen.filter(F.col("model") == NO_MODEL).select(*keys).distinct()
-    if not fallback.isEmpty():
-        # Only hours without a usable model need all rows within the cutoff.
-        near = idw_within(
-            grid.filter("NOT is_orig").join(fallback, keys, "left_semi"), nodes.join(fallback, keys, "left_semi"),
-            p.cutoff, keys, VARS, "node_id", "x_local", "y_local",
-        ).withColumnsRenamed({v: f"w_{v}" for v in VARS})
-        out = out.join(near, [*keys, "q_id"], "left")
-    else:
-        out = out.withColumns({f"w_{v}": F.lit(None).cast("double") for v in VARS})
+    near = idw_within(
+        grid.filter("NOT is_orig").join(fallback, keys, "left_semi"), nodes.join(fallback, keys, "left_semi"),
+        p.cutoff, keys, VARS, "node_id", "x_local", "y_local",
+    ).withColumnsRenamed({v: f"w_{v}" for v in VARS})
+    out = out.join(near, [*keys, "q_id"], "left")
 
     def value(v):
         made = F.when(F.col(f"model_{v}") == NO_MODEL, F.col(f"w_{v}")).otherwise(F.col(f"k_{v}"))
@@ -212,18 +210,25 @@ def predict_grid(
 
 def interpolate(
     nodes: DataFrame, keys: Sequence[str], params: InterpolationParams, projection=LonLat(),
-    points: DataFrame | None = None, ring: Sequence | None = None,
+    points: DataFrame | None = None, ring: Sequence | None = None, settings: DataFrame | None = None,
 ) -> Interpolation:
     """Interpolate all keys of ``nodes`` (keys, x, y, topo, u, v; x and y in projection units).
 
-    ``points`` (name, lon, lat) are predicted too; ``ring`` clips the output. Keys that cannot be
-    interpolated yield no rows and are explained in ``status``.
+    ``points`` (name, lon, lat) are predicted too, for all keys or, with key columns, for their own; ``ring`` clips
+    the output. ``settings`` (keys, projection, ring) gives each key its own projection constants and ring (NULL: no
+    clip) instead. Keys that cannot be interpolated yield no rows and are explained in ``status``.
     """
     keys, p = list(keys), params
+    if settings is not None:
+        projection = ByRow(F.col(PROJECTION))
     data = nodes.select(*keys, *(F.col(c).cast("double").alias(c) for c in ("x", "y", "topo", *VARS)))
     data = data.dropna(subset=list(VARS))
     lattice = stage(infer_lattice(data, keys), "lattice")
-    usable = lattice.filter("base_res > 0")
+    lattice = lattice.withColumn("_nodes", F.expr(f"(max_x_local * {p.res_factor} / base_res + 1) * (max_y_local * {p.res_factor} / base_res + 1)"))
+    lattice = lattice.withColumn("_fits", F.col("_nodes") <= p.max_nodes).drop("_nodes")
+    usable = lattice.filter("base_res > 0 AND _fits").drop("_fits")
+    if settings is not None:
+        usable = usable.join(settings.select(*keys, F.col("projection").alias(PROJECTION)), keys)
     data = (
         assign_node_id(data, usable, keys, p.res_factor)
         .join(usable.select(*keys, "min_x", "min_y"), keys)
@@ -259,7 +264,11 @@ def interpolate(
         grid = append_points(grid, points, usable, keys, projection)
     else:
         grid = grid.withColumns({"node_id": F.col("node").cast("string"), "is_test_point": F.lit(False)})
-    grid = unproject(grid, projection)
+    if settings is not None:
+        grid = unproject(grid.drop(PROJECTION).join(usable.select(*keys, PROJECTION), keys), projection).drop(PROJECTION)
+        grid = _clipped(grid, settings, keys)
+    else:
+        grid = unproject(grid, projection)
     if ring is not None:
         grid = grid.filter(in_ring(F.col("lon"), F.col("lat"), ring))
     spacing = usable.select(*keys, (F.col("base_res") / float(p.res_factor)).alias("spacing"))
@@ -273,6 +282,14 @@ def interpolate(
     )
 
 
+def _clipped(grid: DataFrame, settings: DataFrame, keys: list[str]) -> DataFrame:
+    """Grid nodes inside the ring of their key; keys without a ring keep all nodes."""
+    rings = settings.filter("ring IS NOT NULL").select(*keys, "ring", F.lit("ring").alias("region"))
+    inside = points_in_regions(grid, rings, keys, ["node_id"], "region", "lon", "lat").withColumn("_inside", F.lit(True)).drop("region")
+    bounded = rings.select(*keys, F.lit(True).alias("_bounded"))
+    return grid.join(bounded, keys, "left").join(inside, [*keys, "node_id"], "left").filter("_inside OR _bounded IS NULL").drop("_inside", "_bounded")
+
+
 def _diagnostics(counts, chosen, held, keys) -> DataFrame:
     """Per key: counts, chosen models with scores and parameters, hold-out scores."""
     models = chosen.join(held.withColumnsRenamed({"rsr": "test_rsr", "bias": "test_bias"}), [*keys, "var"], "left")
@@ -294,12 +311,13 @@ def _status(lattice, diagnostics, rk_models, keys) -> DataFrame:
     """One row per key: ``ok`` or why (part of) its output is missing."""
     fitted = rk_models.groupBy(*keys).agg(F.count(F.lit(1)).alias("rk"))
     return (
-        lattice.select(*keys, "base_res")
+        lattice.select(*keys, "base_res", "_fits")
         .join(diagnostics.select(*keys, "interpolated_count"), keys, "left")
         .join(fitted, keys, "left")
         .select(
             *keys,
             F.when(F.coalesce(F.col("base_res") <= 0, F.lit(True)), "no lattice")
+            .when(~F.col("_fits"), "lattice too large")
             .when(F.col("interpolated_count") == 0, "no target in region")
             .when(F.coalesce("rk", F.lit(0)) < len(VARS), "no regression variogram")
             .otherwise("ok").alias("status"),

@@ -1,46 +1,39 @@
 """From ingested hours to interpolation inputs, with projection, region and test points of each hour.
 
-The sidecar of an hour names its projection, region and points. Hours that share projection and
-region form one group, which is loaded and interpolated as a whole; the number of groups is the
-number of distinct settings in the dataset, not of hours. Hours that cannot be loaded are explained
-in ``status`` and take no part.
+The sidecar of an hour names its projection, region and points. They are columns of a small table keyed
+by the hour: projections as their constants, regions as rings whose edges meet the nodes in a join. So all
+hours are loaded and interpolated by one plan, however many settings a dataset has. Hours that cannot be
+loaded are explained in ``status`` and take no part.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
-from dataclasses import dataclass, field
-from functools import reduce
+import math
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gustgrid.functions.crs import normalize_crs, projection_from_text, resolve_crs
-from gustgrid.functions.geometry import wkb_to_lonlat
+from gustgrid.functions.crs import CONSTANTS, ByRow, normalize_crs, projection_constants, resolve_crs
+from gustgrid.functions.geometry import in_box, ring_bounds, ring_from_pairs, wkb_to_lonlat
 from gustgrid.operators.lattice import anchor_offset
 from gustgrid.operators.projection import project
+from gustgrid.operators.region_join import points_in_regions
 from gustgrid.operators.regions import region_label
 from gustgrid.params import InterpolationParams
 from gustgrid.plans.interpolate import Interpolation, interpolate, prepare_nodes
 from gustgrid.session import stage
 from gustgrid.sources.hours import HOUR_KEYS, read_sidecars, scan_partitions
 
-NO_CRS, NO_REGION = "projection metadata missing", "region missing"
+NO_CRS, BAD_CRS, NO_REGION = "projection metadata missing", "projection not supported", "region missing"
 
 
 @dataclass(frozen=True)
-class Group:
-    """Hours of one projection and region: nodes with anchored grid coordinates, ring and points."""
+class Hours:
+    """Nodes of all usable hours with anchored grid coordinates; (keys, crs, projection, ring) and (keys, name, lon, lat) of each."""
 
-    projection_text: str
-    ring: list[tuple[float, float]] | None
     nodes: DataFrame
-    points: DataFrame | None
-
-
-@dataclass(frozen=True)
-class Hours:
-    groups: list[Group]
+    settings: DataFrame
+    points: DataFrame
     status: DataFrame
     keys: list[str] = field(default_factory=lambda: list(HOUR_KEYS))
 
@@ -64,58 +57,72 @@ def hour_settings(docs: DataFrame, file_crs: Column | None = None) -> DataFrame:
 def load_hours(
     spark: SparkSession, root: str, date: str | None = None, hour: str | None = None, region: str | None = None, buffer_m: float = 0.0
 ) -> Hours:
-    """Nodes of the hours under ``root``, grouped by projection and region.
+    """Nodes of the hours under ``root`` with their settings.
 
     ``region`` names the sidecar region to keep (``None`` keeps all nodes); nodes up to ``buffer_m``
     metres outside stay. Grid coordinates are shifted by the projected position of the hour's first node.
     """
     keys = list(HOUR_KEYS)
     rows = scan_partitions(spark, root, date, hour)
-    settings = hour_settings(read_sidecars(spark, root))
-    picked = F.try_element_at(F.filter("regions", lambda r: region_label(r) == region), F.lit(1)) if region is not None else F.lit(None)
-    settings = settings.withColumn("ring", F.to_json(picked["polygon"]) if region is not None else F.lit(None).cast("string"))
-    present = rows.select(*keys).distinct()
-    known = present.join(settings, keys, "left")
-    missing = F.when(F.col("crs").isNull(), NO_CRS)
+    known = settings_of(rows.select(*keys).distinct(), hour_settings(read_sidecars(spark, root)), keys, region)
+    missing = F.when(F.col("crs").isNull(), NO_CRS).when(F.col("projection.kind").isNull(), BAD_CRS)
     if region is not None:
         missing = missing.when(F.col("ring").isNull(), NO_REGION)
-    status = known.select(*keys, missing.otherwise("ok").alias("status"))
+    known = stage(known.withColumn("status", missing.otherwise("ok")), "settings")
+    usable = known.filter("status = 'ok'").drop("status")
+    # Geometry is decoded and projected once; what follows reads plain columns.
+    nodes = with_lonlat(rows.join(usable.select(*keys, "projection"), keys))
+    nodes = anchor_offset(project(nodes, ByRow(F.col("projection")), x="proj_x", y="proj_y"), keys).drop("proj_x", "proj_y", "projection")
+    nodes = prepare_nodes(nodes)
+    if region is not None:
+        nodes = clip_to_rings(nodes, usable, keys, buffer_m)
+    points = usable.select(*keys, F.inline("test_points")).distinct()
+    return Hours(stage(nodes, "loaded"), usable.drop("regions", "test_points"), points, known.select(*keys, "status"))
 
-    usable = known.filter("crs IS NOT NULL" + (" AND ring IS NOT NULL" if region is not None else ""))
-    groups = []
-    for crs, text in usable.select("crs", "ring").distinct().orderBy("crs", "ring").collect():
-        own = usable.filter((F.col("crs") == crs) & F.col("ring").eqNullSafe(F.lit(text)))
-        projection, ring = projection_from_text(crs), _ring(text)
-        # Geometry is decoded once; what follows reads plain columns.
-        nodes = stage(with_lonlat(rows.join(own.select(*keys), keys, "left_semi")), "loaded")
-        nodes = anchor_offset(project(nodes, projection, x="proj_x", y="proj_y"), keys).drop("proj_x", "proj_y")
-        zone = getattr(projection, "zone", None) or (_zone(ring) if ring else 29)
-        points = own.select(F.inline("test_points")).distinct()
-        groups.append(Group(crs, ring, stage(prepare_nodes(nodes, ring, buffer_m, zone), "loaded"), points))
-    return Hours(groups, status)
 
+def settings_of(hours: DataFrame, settings: DataFrame, keys: list[str], region: str | None) -> DataFrame:
+    """Hours with their settings, the constants of their projection and the ring of the named region (NULL without)."""
+    texts = settings.select("crs").distinct().select("crs", projection_constants("crs").alias("projection"))
+    picked = F.try_element_at(F.filter("regions", lambda r: region_label(r) == region), F.lit(1))["polygon"] if region is not None else F.lit(None).cast("array<array<double>>")
+    return hours.join(settings, keys, "left").join(texts, "crs", "left").withColumn("ring", ring_from_pairs(picked))
 
-def _ring(text: str | None) -> list[tuple[float, float]] | None:
-    return None if text is None else [(float(a), float(b)) for a, b in json.loads(text)]
 
+def clip_to_rings(nodes: DataFrame, settings: DataFrame, keys: list[str], buffer_m: float) -> DataFrame:
+    """Rows within ``buffer_m`` metres of their hour's ring, measured in the UTM zone of the ring's middle.
 
-def _zone(ring: Sequence[tuple[float, float]]) -> int:
-    """The UTM zone of a ring's middle, in which its buffer is measured."""
-    middle = sum(a for a, _ in ring) / len(ring)
-    return int((middle + 180.0) // 6) % 60 + 1
+    A degree box around all rings reaches the scan first.
+    """
+    ring = F.col("ring")
+    middle = F.aggregate(ring, F.lit(0.0), lambda s, p: s + p["lon"]) / F.size(ring)
+    zone = F.pmod(F.floor((middle + 180.0) / 6.0), F.lit(60)) + 1
+    utm = F.struct(F.lit("utm").alias("kind"), *((zone * 6.0 - 183.0 if c == "lon_0" else F.lit(0.0)).alias(c) for c in CONSTANTS), F.lit(None).cast("string").alias("error"))
+    zoned = settings.select(*keys, "ring", utm.alias("utm"))
+    lows = [agg(c) for agg, c in zip((F.min, F.min, F.max, F.max), ring_bounds(ring))]
+    x0, y0, x1, y1 = settings.agg(*lows).first()
+    if x0 is None:
+        return nodes.filter("false")
+    # One degree of latitude is at least 110 km; longitudes shrink with the cosine.
+    room = buffer_m / 110000.0 + 0.01
+    wide = room / max(0.01, math.cos(math.radians(min(89.0, max(abs(y0), abs(y1)) + room))))
+    near = nodes.filter(in_box(F.col("lon"), F.col("lat"), x0 - wide, y0 - room, x1 + wide, y1 + room))
+    near = project(near.join(zoned.select(*keys, "utm"), keys), ByRow(F.col("utm")), x="_ux", y="_uy").drop("utm")
+
+    def metres(p):
+        x, y = ByRow(F.col("utm")).forward(p["lon"], p["lat"])
+        return F.struct(x.alias("lon"), y.alias("lat"))
+
+    rings = zoned.select(*keys, F.transform(ring, metres).alias("ring"), F.lit("ring").alias("region"))
+    inside = points_in_regions(near, rings, keys, ["_ux", "_uy"], "region", "_ux", "_uy", distance=f"{float(buffer_m)!r}D")
+    return near.join(inside.drop("region"), [*keys, "_ux", "_uy"], "left_semi").drop("_ux", "_uy")
 
 
 def interpolate_hours(hours: Hours, params: InterpolationParams) -> Interpolation:
-    """Interpolates every group and unites the results; hours that could not be loaded appear in ``status``."""
-    parts = [interpolate(g.nodes, hours.keys, params, projection_from_text(g.projection_text), g.points, g.ring) for g in hours.groups]
+    """Interpolates all hours by one plan; hours that could not be loaded appear in ``status``."""
     failed = hours.status.filter("status <> 'ok'")
-    if not parts:
+    if hours.settings.isEmpty():
         raise ValueError("no hour could be loaded: " + "; ".join(r.status for r in failed.select("status").distinct().collect()))
-
-    def united(name: str) -> DataFrame:
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (getattr(p, name) for p in parts))
-
-    return Interpolation(united("grid"), united("diagnostics"), united("status").unionByName(failed), united("variograms"), united("fits"))
+    out = interpolate(hours.nodes, hours.keys, params, points=hours.points, settings=hours.settings)
+    return replace(out, status=out.status.unionByName(failed))
 
 
 def build_sidecars(hours: DataFrame, settings: DataFrame, script: str, source_model: Column | None = None) -> DataFrame:

@@ -49,6 +49,27 @@ def _(t):
     return lattice.infer_lattice(t.tiles, ["pk"])
 
 
+# Every tile twice, the copy far away; and every tile with one node beside its lines: the step stays.
+@query("infer_lattice_patches", f"""WITH {LATTICE_SQL} SELECT pk, base_res, min_x, min_y, max_x_local + 40000e0 AS max_x_local, max_y_local + 80000e0 AS max_y_local, 2 * n_x AS n_x, 2 * n_y AS n_y FROM lattice""", "tiles")
+def _(t):
+    both = t.tiles.select("pk", "x", "y").union(t.tiles.selectExpr("pk", "x + 40000", "y + 80000"))
+    return lattice.infer_lattice(both, ["pk"])
+
+
+@query("infer_lattice_stray", f"WITH {LATTICE_SQL} SELECT * FROM lattice", "tiles")
+def _(t):
+    stray = t.tiles.groupBy("pk").agg(F.min("x").alias("x"), F.min("y").alias("y")).selectExpr("pk", "x + 9.375 AS x", "y - 0.0625 AS y")
+    return lattice.infer_lattice(t.tiles.select("pk", "x", "y").union(stray), ["pk"])
+
+
+@query("off_lattice", "SELECT pk, CAST(1 AS BIGINT) AS n, min(x) + 9.375 AS x, min(y) - 0.0625 AS y FROM tiles GROUP BY pk", "tiles")
+def _(t):
+    low = t.tiles.groupBy("pk").agg(F.min("x").alias("x"), F.min("y").alias("y")).selectExpr("pk", "x + 9.375 AS x", "y - 0.0625 AS y")
+    rows = t.tiles.select("pk", "x", "y").union(low)
+    beside = lattice.off_lattice(rows, lattice.infer_lattice(rows, ["pk"]), ["pk"])
+    return beside.groupBy("pk").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x"), F.min("y").alias("y"))
+
+
 def _refined(t, f=2):
     return lattice.refine_grid(lattice.infer_lattice(t.tiles, ["pk"]), ["pk"], f)
 

@@ -109,3 +109,23 @@ def test_stages_are_read_back_and_released(spark):
     session.release_stages(spark)
     with pytest.raises(Exception):
         df.count()
+
+
+def test_lattice_steps_by_votes(spark):
+    """A stray node at either end, patches far apart, holes, unequal axes, an offset that falls between two remainders."""
+    from gustgrid.operators.lattice import infer_lattice, off_lattice
+
+    square = [(float(i), float(j)) for i in range(30) for j in range(30)]
+    cases = {
+        "stray": square + [(5.01, 7.0)], "first": [(x + 0.0105, y) for x, y in square] + [(0.0, 3.0)],
+        "patches": [(x, y) for x, y in square if x < 20 and y < 20] + [(x + 5000, y + 5000) for x, y in square if x < 20 and y < 20],
+        "holes": [(3.0 * i, 3.0 * j) for i in (0, 1, 3, 4, 8, 11, 12) for j in (0, 2, 3, 5, 6)],
+        "axes": [(2.0 * i, 7.0 + j) for i in range(40) for j in range(3)], "noise": [(x + 1e-9 * (x * 7 % 3), y) for x, y in square],
+    }
+    df = spark.createDataFrame([(k, x, y) for k, pts in cases.items() for x, y in pts], "k string, x double, y double")
+    found = infer_lattice(df, ["k"])
+    lat = {r.k: r for r in found.collect()}
+    assert {k: round(r.base_res, 6) for k, r in lat.items()} == {"stray": 1, "first": 1, "patches": 1, "holes": 3, "axes": 1, "noise": 1}
+    assert (lat["stray"].n_x, lat["stray"].max_x_local) == (30, 29) and abs(lat["first"].min_x - 0.0105) < 1e-9
+    assert (lat["patches"].n_x, lat["patches"].max_x_local) == (40, 5019) and lat["axes"].min_y == 7
+    assert sorted((r.k, r.x, r.y) for r in off_lattice(df, found, ["k"]).collect()) == [("first", 0.0, 3.0), ("stray", 5.01, 7.0)]
