@@ -8,6 +8,7 @@ range ends on the edge of the searched interval is kept and flagged.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -18,8 +19,10 @@ from gustgrid.session import stage
 # Candidate models in order of preference, and the name used without any.
 MODELS = ("Exp", "Gau", "Sph")
 NO_MODEL = "IDW"
-# Ranges tried: a log grid from half a lag to ten times the cutoff, then a refinement.
-COARSE, FINE, RANGE_TOP = 60, 20, 10.0
+# Ranges tried: a log grid from half a lag to ten times the cutoff, then a refinement. Where the best range is the last
+# one, the grid goes on by ``MORE`` ranges at a time while the error falls by more than ``FALLS`` of the weighted squares;
+# at a million cutoffs every model is a straight line.
+COARSE, FINE, RANGE_TOP, MORE, FALLS, RANGE_END = 60, 20, 10.0, 30, 1e-9, 1e6
 MIN_BINS = 3
 ZERO_VARIANCE = 1e-18
 
@@ -106,35 +109,60 @@ def _profile(candidates: DataFrame, by: list[str]) -> DataFrame:
         .selectExpr(*by, "W", "WG", "WGG", "WY", "WGY", "WYY",
                     "CASE WHEN c0f < 0 THEN 0D ELSE c0f END AS c0", "CASE WHEN c0f < 0 THEN WGY / WGG ELSE c1f END AS c1")
         .filter("c1 > 0")
-        .selectExpr(*by, "c0", "c1",
+        .selectExpr(*by, "c0", "c1", "WYY AS total",
                     "WYY - 2 * (c0 * WY + c1 * WGY) + c0 * c0 * W + 2 * c0 * c1 * WG + c1 * c1 * WGG AS sse")
     )
 
 
+def last_range(cutoff: float, width: float) -> int:
+    """Number of the last range of the search, for which a fit counts as a straight line."""
+    low, high = float(width) / 2, RANGE_TOP * float(cutoff)
+    step = (high / low) ** (1.0 / (COARSE - 1))
+    return COARSE - 1 + math.ceil(math.log(RANGE_END / RANGE_TOP) / math.log(step))
+
+
 def fit_variogram(bins: DataFrame, keys: Sequence[str], cutoff: float, width: float) -> DataFrame:
     """Fit every model to every variogram: keys, var, model, nugget, psill, sill, range, sse, range_at_edge.
 
-    A model that cannot be fitted (fewer than three bins, no variance, no positive sill) has no row.
+    The search for the range goes on, for all variograms at once, where the best range is the last one tried; each
+    stops by itself. A model that cannot be fitted (fewer than three bins, no variance, no positive sill) has no row.
     """
     group = [*keys, "var"]
     low, high = float(width) / 2, RANGE_TOP * float(cutoff)
-    step = (high / low) ** (1.0 / (COARSE - 1))
+    step, last = (high / low) ** (1.0 / (COARSE - 1)), last_range(cutoff, width)
     # One small shuffle brings a variogram's bins together; both searches stay in that partition.
     bins = bins.select(*group, "bin", "np", "dist", "gamma").repartition(*group)
     models = ", ".join(f"'{m}'" for m in MODELS)
-    coarse = bins.selectExpr("*", f"explode(array({models})) AS model").selectExpr("*", f"explode(sequence(0, {COARSE - 1})) AS i")
-    coarse = _profile(coarse.selectExpr("*", f"{low!r}D * pow({step!r}D, i) AS a"), [*group, "model", "i", "a"])
-    best = coarse.groupBy(*group, "model").agg(F.expr("min_by(struct(i, a), struct(sse, i))").alias("b"))
+
+    def search(some: DataFrame, first: int, end: int) -> DataFrame:
+        """Best of the ranges numbered ``first`` to ``end`` for every variogram and model."""
+        tried = some.selectExpr("*", f"explode(sequence({first}, {end})) AS i").selectExpr("*", f"{low!r}D * pow({step!r}D, i) AS a")
+        return _profile(tried, [*group, "model", "i", "a"]).groupBy(*group, "model").agg(F.expr("min(struct(sse, i, a, total))").alias("b"))
+
+    top = COARSE - 1
+    best = search(bins.selectExpr("*", f"explode(array({models})) AS model"), 0, top)
+    best = stage(best.selectExpr("*", f"b.i = {top} AS open", "b.i = 0 AS edge"), "ranges")
+    while top < last:
+        rising = best.filter("open").select(*group, "model")
+        if rising.isEmpty():
+            break
+        first, top = top + 1, min(top + MORE, last)
+        further = search(bins.join(rising, group), first, top).withColumnRenamed("b", "f")
+        # Better by enough: go on from there. Better by less: the range is a bound. Not better: it was the best.
+        better = f"open AND f IS NOT NULL AND b.sse - f.sse > {FALLS!r}D * b.total"
+        best = stage(best.join(further, [*group, "model"], "left").selectExpr(
+            *group, "model", f"CASE WHEN {better} THEN f ELSE b END AS b", f"{better} AND f.i = {top} AS open",
+            f"CASE WHEN {better} THEN f.i = {last} WHEN open THEN coalesce(f.sse < b.sse, true) ELSE edge END AS edge"), "ranges")
     fine = bins.join(best, group).selectExpr("*", f"explode(sequence({-FINE}, {FINE})) AS j")
     fine = _profile(
-        fine.selectExpr("*", "b.i AS i", f"b.a * pow({step!r}D, j / {FINE}D) AS a"), [*group, "model", "i", "j", "a"]
+        fine.selectExpr("*", "b.i AS i", f"b.a * pow({step!r}D, j / {FINE}D) AS a"), [*group, "model", "i", "edge", "j", "a"]
     )
     return (
         fine.groupBy(*group, "model")
-        .agg(F.expr("min_by(struct(i, j, a, c0, c1, sse), struct(sse, j))").alias("b"))
+        .agg(F.expr("min_by(struct(i, edge, j, a, c0, c1, sse), struct(sse, j))").alias("b"))
         .selectExpr(
             *group, "model", "b.c0 AS nugget", "b.c1 AS psill", "b.c0 + b.c1 AS sill", "b.a AS range", "b.sse AS sse",
-            f"(b.i = 0 AND b.j <= 0) OR (b.i = {COARSE - 1} AND b.j >= 0) AS range_at_edge",
+            "b.edge AND IF(b.i = 0, b.j <= 0, b.j >= 0) AS range_at_edge",
         )
     )
 
@@ -155,7 +183,7 @@ def select_model(all_vars: DataFrame, fits: DataFrame, scores: DataFrame, keys:
 
     ``all_vars`` lists every (keys, var); ``scores`` has (keys, var, model, rsr, bias).
     """
-    group, cols = [*keys, "var"], ["model", "nugget", "psill", "sill", "range", "rsr", "bias"]
+    group, cols = [*keys, "var"], ["model", "nugget", "psill", "sill", "range", "rsr", "bias", "range_at_edge"]
     usable = scores.filter(F.col("rsr").isNotNull() & ~F.isnan("rsr") & (F.abs("rsr") != float("inf")))
     best = (
         fits.join(usable, [*group, "model"])

@@ -302,6 +302,7 @@ def _diagnostics(counts, chosen, held, keys) -> DataFrame:
             pick("model").alias(f"vgm_model_{v}"), pick("range").alias(f"vgm_range_{v}"),
             pick("sill").alias(f"vgm_sill_{v}"), pick("nugget").alias(f"vgm_nugget_{v}"),
             pick("model").alias(f"cv_model_{v}"), pick("rsr").alias(f"cv_rsr_{v}"), pick("bias").alias(f"cv_bias_{v}"),
+            pick("range_at_edge").alias(f"vgm_at_edge_{v}"),
             pick("model").alias(f"test_model_{v}"), pick("test_rsr").alias(f"test_rsr_{v}"), pick("test_bias").alias(f"test_bias_{v}"),
         ]
     return counts.join(models.groupBy(*keys).agg(*wide), keys, "left")
@@ -312,7 +313,7 @@ def _status(lattice, diagnostics, rk_models, keys) -> DataFrame:
     fitted = rk_models.groupBy(*keys).agg(F.count(F.lit(1)).alias("rk"))
     return (
         lattice.select(*keys, "base_res", "_fits")
-        .join(diagnostics.select(*keys, "interpolated_count"), keys, "left")
+        .join(diagnostics.select(*keys, "interpolated_count", *(f"vgm_at_edge_{v}" for v in VARS)), keys, "left")
         .join(fitted, keys, "left")
         .select(
             *keys,
@@ -321,6 +322,8 @@ def _status(lattice, diagnostics, rk_models, keys) -> DataFrame:
             .when(F.col("interpolated_count") == 0, "no target in region")
             .when(F.coalesce("rk", F.lit(0)) < len(VARS), "no regression variogram")
             .otherwise("ok").alias("status"),
+            # A variogram that still rises, or is flat, over all ranges tried: its range is only a bound.
+            F.coalesce(F.greatest(*(f"vgm_at_edge_{v}" for v in VARS)), F.lit(False)).alias("range_at_edge"),
         )
     )
 

@@ -122,7 +122,7 @@ def interpolate_hours(hours: Hours, params: InterpolationParams) -> Interpolatio
     if hours.settings.isEmpty():
         raise ValueError("no hour could be loaded: " + "; ".join(r.status for r in failed.select("status").distinct().collect()))
     out = interpolate(hours.nodes, hours.keys, params, points=hours.points, settings=hours.settings)
-    return replace(out, status=out.status.unionByName(failed))
+    return replace(out, status=out.status.unionByName(failed, allowMissingColumns=True))
 
 
 def build_sidecars(hours: DataFrame, settings: DataFrame, script: str, source_model: Column | None = None) -> DataFrame:

@@ -207,7 +207,7 @@ def _(t):
 
 def _profile_sql(source, by):
     corr = "CASE model WHEN 'Exp' THEN exp(-dist / a) WHEN 'Gau' THEN exp(-(dist / a) * (dist / a)) ELSE CASE WHEN dist < a THEN 1 - 1.5e0 * (dist / a) + 0.5e0 * (dist / a) * (dist / a) * (dist / a) ELSE 0e0 END END"
-    return f"""(SELECT {by}, c0, c1, WYY - 2 * (c0 * WY + c1 * WGY) + c0 * c0 * W + 2 * c0 * c1 * WG + c1 * c1 * WGG AS sse FROM
+    return f"""(SELECT {by}, c0, c1, WYY AS total, WYY - 2 * (c0 * WY + c1 * WGY) + c0 * c0 * W + 2 * c0 * c1 * WG + c1 * c1 * WGG AS sse FROM
  (SELECT *, CASE WHEN c0f < 0 THEN 0e0 ELSE c0f END AS c0, CASE WHEN c0f < 0 THEN WGY / WGG ELSE c1f END AS c1 FROM
  (SELECT *, (WY - c1f * WG) / W AS c0f FROM (SELECT *, (W * WGY - WG * WY) / (W * WGG - WG * WG) AS c1f FROM
  (SELECT {by}, count(*) AS bins, max(gamma) AS top, sum(w) AS W, sum(w*g) AS WG, sum(w*g*g) AS WGG, sum(w*gamma) AS WY, sum(w*g*gamma) AS WGY, sum(w*gamma*gamma) AS WYY FROM
@@ -216,8 +216,23 @@ def _profile_sql(source, by):
 
 
 _LOW, _STEP = WIDTH / 2, (10 * CUTOFF / (WIDTH / 2)) ** (1 / 59)
-FITS = f"""{BINS}, coarse AS (SELECT pk, var, model, arg_min(i, (sse, i)) AS i, arg_min(a, (sse, i)) AS a FROM
- {_profile_sql(f"(SELECT bins.*, model, CAST(i AS BIGINT) AS i, {_LOW!r} * pow({_STEP!r}, i) AS a FROM bins, (VALUES ('Exp'), ('Gau'), ('Sph')) m(model), generate_series(0, 59) g(i))", "pk, var, model, i, a")} GROUP BY ALL),
+_LAST, _MORE = variogram.last_range(CUTOFF, WIDTH), variogram.MORE
+
+
+def _coarse_sql() -> str:
+    """The best range of the grid, which goes on by blocks while the best is its last one and the error falls enough."""
+    out = f"""tried AS MATERIALIZED {_profile_sql(f"(SELECT bins.*, model, CAST(i AS BIGINT) AS i, {_LOW!r} * pow({_STEP!r}, i) AS a FROM bins, (VALUES ('Exp'), ('Gau'), ('Sph')) m(model), generate_series(0, {_LAST}) g(i))", "pk, var, model, i, a")},
+ r0 AS MATERIALIZED (SELECT pk, var, model, arg_min(i, (sse, i)) AS i, arg_min(a, (sse, i)) AS a, min(sse) AS sse, any_value(total) AS total, arg_min(i, (sse, i)) = 59 AS open FROM tried WHERE i < 60 GROUP BY ALL)"""
+    top, k = 59, 0
+    while top < _LAST:
+        first, top, k = top + 1, min(top + _MORE, _LAST), k + 1
+        better = f"open AND f.sse IS NOT NULL AND r.sse - f.sse > {variogram.FALLS!r} * r.total"
+        out += f""", r{k} AS MATERIALIZED (SELECT r.pk, r.var, r.model, CASE WHEN {better} THEN f.i ELSE r.i END AS i, CASE WHEN {better} THEN f.a ELSE r.a END AS a, CASE WHEN {better} THEN f.sse ELSE r.sse END AS sse, r.total,
+ {better} AND f.i = {top} AS open FROM r{k - 1} r LEFT JOIN (SELECT pk, var, model, arg_min(i, (sse, i)) AS i, arg_min(a, (sse, i)) AS a, min(sse) AS sse FROM tried WHERE i BETWEEN {first} AND {top} GROUP BY ALL) f USING (pk, var, model))"""
+    return f"{out}, coarse AS (SELECT pk, var, model, i, a FROM r{k})"
+
+
+FITS = f"""{BINS}, {_coarse_sql()},
 fits AS (SELECT pk, var, model, arg_min(c0, (sse, j)) AS nugget, arg_min(c1, (sse, j)) AS psill, arg_min(a, (sse, j)) AS range FROM
  {_profile_sql(f"(SELECT bins.*, model, i, j, c.a * pow({_STEP!r}, j / 20e0) AS a FROM bins JOIN coarse c USING (pk, var), generate_series(-20, 20) g(j))", "pk, var, model, i, j, a")} GROUP BY ALL)"""
 
@@ -236,6 +251,20 @@ def _(t):
     return rounded(fits.select("pk", "var", "model", "nugget", "psill", "range"), range=4)
 
 
+# Variograms that still rise at the cutoff: exponential with ranges of 10 to 60 cutoffs, and a straight line.
+@query("fit_variogram_rising", f"""WITH {BINS}
+ SELECT DISTINCT pk, var, true AS range_found, false AS at_edge, 0.25e0 AS nugget FROM bins WHERE var = 'u_res' UNION ALL
+ SELECT DISTINCT pk, 'line', true, true, 0.5e0 FROM bins WHERE var = 'v_res'""", "tiles")
+def _(t):
+    bins = _bins(t)
+    curve, line = bins.filter("var = 'u_res'"), bins.filter("var = 'v_res'")
+    rising = curve.withColumn("gamma", F.expr("0.25D + (2 + pk) * (1 - exp(-dist / (200D * (1 + pk % 6))))")).unionByName(
+        line.withColumns({"var": F.lit("line"), "gamma": F.expr("0.5D + dist")}))
+    fits = variogram.fit_variogram(rising, ["pk"], CUTOFF, WIDTH).filter("model = 'Exp'")
+    return fits.selectExpr("pk", "var", f"CASE WHEN var = 'line' THEN range >= 100 * {CUTOFF} ELSE abs(range / (200D * (1 + pk % 6)) - 1) < 0.05 END AS range_found",
+                           "range_at_edge AS at_edge", "round(nugget, 2) + 0D AS nugget")
+
+
 @query("first_valid_model", f"WITH {FITS} SELECT pk, var, arg_min(model, model) AS model, round(arg_min(psill, model), 6) + 0e0 AS psill FROM fits GROUP BY pk, var", "tiles")
 def _(t):
     first = variogram.first_valid_model(variogram.fit_variogram(_bins(t), ["pk"], CUTOFF, WIDTH), ["pk"])
@@ -435,7 +464,7 @@ def _(t):
 
 @query("interpolation_status", "SELECT DISTINCT pk, 'ok' AS status FROM tiles", "tiles")
 def _(t):
-    return _interpolated(t).status
+    return _interpolated(t).status.select("pk", "status")
 
 
 @query("holdout_metrics")
