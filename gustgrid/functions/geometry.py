@@ -6,6 +6,7 @@ A ring is ``array<struct<lon:double,lat:double>>``; its edges are
 
 from __future__ import annotations
 
+import re
 import struct
 import sys
 from functools import reduce
@@ -151,6 +152,67 @@ def in_box(px: Column, py: Column, min_x, min_y, max_x, max_y) -> Column:
     return (px >= min_x) & (px <= max_x) & (py >= min_y) & (py <= max_y)
 
 
+def in_region(px: Column, py: Column, rings) -> Column:
+    """Point inside or on the boundary of a region of several rings (Python lists): parts add up, holes are left out."""
+    edges = F.concat(*(ring_edges(ring_column(r)) for r in rings))
+    bounds = [python_bounds(r) for r in rings]
+    box = [f(b[i] for b in bounds) for i, f in enumerate((min, min, max, max))]
+    return in_box(px, py, *box) & in_edges(px, py, edges)
+
+
+NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
+
+
+def rings_from_wkt(text: str) -> list[list[tuple[float, float]]]:
+    """The rings of a POLYGON or MULTIPOLYGON text, holes among them; further coordinates of a point are ignored."""
+    head = re.match(r"\s*(?:SRID=\d+;)?\s*(MULTI)?POLYGON\b\s*(?:ZM|Z|M)?\s*\(", text, re.I)
+    if not head or text.count("(") != text.count(")"):
+        raise ValueError("a region must be a POLYGON or MULTIPOLYGON")
+    rings = []
+    for body in re.findall(r"\(([^()]+)\)", text):
+        points = [tuple(float(v) for v in re.findall(NUMBER, p)[:2]) for p in body.split(",")]
+        if len(points) < 3 or any(len(p) < 2 for p in points):
+            raise ValueError("a ring needs three points of two coordinates")
+        rings.append(points)
+    if not rings:
+        raise ValueError("a region needs a ring")
+    return rings
+
+
+def wkt_point(text: Column) -> tuple[Column, Column]:
+    """Coordinates of POINT texts (2D, Z, M; with or without SRID); NULL for anything else."""
+    pattern = rf"(?i)^\s*(?:SRID=\d+;)?\s*POINT\s*(?:ZM|Z|M)?\s*\(\s*({NUMBER})\s+({NUMBER})(?:\s+{NUMBER})*\s*\)\s*$"
+    return tuple(F.nullif(F.regexp_extract(text, pattern, i), F.lit("")).try_cast("double") for i in (1, 2))
+
+
+def wkb_point(wkb: Column) -> tuple[Column, Column]:
+    """Coordinates of WKB and EWKB points of either byte order, by column expressions alone; NULL for anything else.
+
+    A double is put together from its bits: sign, exponent and fraction, each exact.
+    """
+    text = F.hex(wkb)
+    small = text.startswith("01")
+    kind, size = F.substr(text, F.lit(3), F.lit(8)), F.octet_length(wkb)
+    plain = (size == 21) & F.when(small, kind == "01000000").otherwise(text.startswith("00") & (kind == "00000001"))
+    located = (size == 25) & F.when(small, kind == "01000020").otherwise(text.startswith("00") & (kind == "20000001"))
+    start = F.when(plain, 11).when(located, 19)
+
+    def number(at: int) -> Column:
+        def part(n: int) -> Column:
+            return F.substr(text, start + F.lit(at + 2 * n), F.lit(2))
+
+        bits = F.when(small, F.concat(*(part(n) for n in range(7, -1, -1)))).otherwise(F.concat(*(part(n) for n in range(8))))
+        head = F.conv(F.substr(bits, F.lit(1), F.lit(3)), 16, 10).cast("bigint")
+        fraction = F.conv(F.substr(bits, F.lit(4), F.lit(13)), 16, 10).cast("bigint")
+        power = head % 2048
+        # Zero and the smallest numbers have no leading one; the largest exponent is no number.
+        lead = F.when(power == 0, 0.0).otherwise(1.0)
+        value = (lead + fraction / float(1 << 52)) * F.pow(F.lit(2.0), (F.greatest(power, F.lit(1)) - 1023).cast("double"))
+        return F.when(power < 2047, F.when(head >= 2048, -value).otherwise(value))
+
+    return number(0), number(16)
+
+
 # ---------------------------------------------------------------------------
 # WKB points, only at the scan and sink edge
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gustgrid.operators import catalog
+from gustgrid.functions.crs import LonLat
+from gustgrid.functions.geometry import lonlat_to_wkb
+from gustgrid.operators import catalog, lattice
+from gustgrid.operators.region_join import points_in_regions
 from gustgrid.plans.registry_columns import query
 from gustgrid.plans.registry_fields import BOX, ITEMS, SUBSET, _texts
-from gustgrid.session import stage_path
+from gustgrid.session import stage, stage_path
 from gustgrid.sources import footers
 from gustgrid.sources.hours import write_clustered, write_hourly
 
@@ -57,3 +60,47 @@ def _(t):
     files = footers.footer_files(t.spark, clustered_root(t))
     return files.agg(F.lit(1).alias("some"), F.sum("row_count").alias("row_count"), F.min("min_lon").alias("min_lon"), F.max("max_lon").alias("max_lon"),
                      F.min("min_lat").alias("min_lat"), F.max("max_lat").alias("max_lat"))
+
+
+# Two parts, the second with a hole; on multiples of a tenth of the lattice of longitudes and latitudes.
+REGION = ("MULTIPOLYGON (((-9.005 42.0005, -8.8951 42.0005, -8.8951 42.0605, -9.005 42.0605, -9.005 42.0005)), "
+          "((-8.8051 42.0305, -8.6049 42.0305, -8.6049 42.2505, -8.8051 42.2505, -8.8051 42.0305), (-8.7551 42.0705, -8.6549 42.0705, -8.6549 42.1505, -8.7551 42.1505, -8.7551 42.0705)))")
+IN_REGION = """SELECT event_id, user_id FROM files WHERE ((lon BETWEEN -9.005 AND -8.8951 AND lat BETWEEN 42.0005 AND 42.0605)
+ OR (lon BETWEEN -8.8051 AND -8.6049 AND lat BETWEEN 42.0305 AND 42.2505 AND NOT (lon > -8.7551 AND lon < -8.6549 AND lat > 42.0705 AND lat < 42.1505)))"""
+
+
+@query("subset_wkb", IN_REGION, "files")
+def _(t):
+    rows = stage(t.files.select("event_id", "user_id", lonlat_to_wkb("lon", "lat").alias("geometry")), "with-geometry")
+    return catalog.subset_geometry(rows, REGION).select("event_id", "user_id")
+
+
+@query("subset_wkt", IN_REGION + " AND user_id % 2 = 0", "files")
+def _(t):
+    rows = t.files.select("event_id", "user_id", F.col("user_id").cast("string").alias("node_id"), F.format_string("POINT (%s %s)", F.col("lon").cast("string"), F.col("lat").cast("string")).alias("place"))
+    nodes = t.files.filter("user_id % 2 = 0").select(F.col("user_id").cast("string").alias("node_id"))
+    return catalog.subset_geometry(rows, REGION, nodes, "place", "wkt").select("event_id", "user_id")
+
+
+# A star of 90 edges around every nation's place.
+STARS = """SELECT n_nationkey AS region, i, 0.013e0 + 4e0 * n_nationkey + (3 + (i % 3) * 9 + n_regionkey) * cos(2 * pi() * i / 90) AS vx, 0.017e0 + 2e0 * n_nationkey + (3 + (i % 3) * 9 + n_regionkey) * sin(2 * pi() * i / 90) AS vy"""
+
+
+@query("points_in_regions", f"""WITH v AS ({STARS} FROM nation, range(90) r(i)),
+ e AS (SELECT a.region, a.vx AS x1, a.vy AS y1, b.vx AS x2, b.vy AS y2 FROM v a JOIN v b ON a.region = b.region AND b.i = (a.i + 1) % 90)
+ SELECT region, id FROM grid, e WHERE (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 GROUP BY region, id HAVING count(*) % 2 = 1""", "grid")
+def _(t):
+    corners = t.nation.select("*", F.explode(F.sequence(F.lit(0), F.lit(89))).alias("i")).selectExpr(*STARS.removeprefix("SELECT ").split(", ", 3))
+    # At most 90 corners a ring.
+    rings = corners.groupBy("region").agg(F.sort_array(F.collect_list(F.struct("i", "vx", "vy"))).alias("c")).select(
+        "region", F.transform("c", lambda p: F.struct(p["vx"].alias("lon"), p["vy"].alias("lat"))).alias("ring"))
+    return points_in_regions(t.grid, stage(rings, "stars"), [], ["id"], "region")
+
+
+@query("append_unnamed_points", """WITH p AS (SELECT c_nationkey * 2e0 AS lon, c_custkey * 0.5e0 AS lat FROM customer WHERE c_custkey % 3 = 0),
+ k AS (SELECT pk, min(x) AS min_x FROM tiles GROUP BY pk) SELECT pk, concat('test_point_', CAST(row_number() OVER (PARTITION BY pk ORDER BY lon, lat) AS VARCHAR)) AS node_id, lon AS x, lat AS y, lon - min_x AS x_local FROM k, p""", "tiles")
+def _(t):
+    points = t.customer.filter("c_custkey % 3 = 0").selectExpr("CAST(NULL AS STRING) AS name", "c_nationkey * 2e0 AS lon", "c_custkey * 0.5e0 AS lat")
+    found = lattice.infer_lattice(t.tiles, ["pk"])
+    out = lattice.append_points(lattice.refine_grid(found, ["pk"], 1), points, found, ["pk"], LonLat())
+    return out.filter("is_test_point").select("pk", "node_id", "x", "y", "x_local")

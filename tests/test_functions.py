@@ -129,3 +129,35 @@ def test_lattice_steps_by_votes(spark):
     assert (lat["stray"].n_x, lat["stray"].max_x_local) == (30, 29) and abs(lat["first"].min_x - 0.0105) < 1e-9
     assert (lat["patches"].n_x, lat["patches"].max_x_local) == (40, 5019) and lat["axes"].min_y == 7
     assert sorted((r.k, r.x, r.y) for r in off_lattice(df, found, ["k"]).collect()) == [("first", 0.0, 3.0), ("stray", 5.01, 7.0)]
+
+
+def test_geometry_columns_without_python(spark):
+    """WKB of either byte order with and without SRID, extreme numbers, WKT forms; unreadable ones are NULL."""
+    import struct
+
+    from gustgrid.functions.geometry import rings_from_wkt, wkb_point, wkt_point
+    from gustgrid.operators.catalog import subset_geometry
+
+    numbers = [0.0, -0.0, 1.0, -8.75, 42.123456789012345, 1e-310, -5e-324, 1.7976931348623157e308, 2.2250738585072014e-308, 0.1, -180.0]
+    rows = []
+    for i, a in enumerate(numbers):
+        b = numbers[-1 - i]
+        rows += [(struct.pack("<BIdd", 1, 1, a, b), a, b), (struct.pack(">BIdd", 0, 1, a, b), a, b), (struct.pack("<BIIdd", 1, 0x20000001, 4326, a, b), a, b), (struct.pack(">BIIdd", 0, 0x20000001, 4326, a, b), a, b)]
+    rows += [(struct.pack("<BIdd", 1, 2, 1.0, 2.0), None, None), (b"short", None, None), (None, None, None), (struct.pack("<BIdd", 1, 1, float("nan"), float("inf")), None, None)]
+    df = spark.createDataFrame(rows, "w binary, x double, y double")
+    x, y = wkb_point(F.col("w"))
+    plan = df.select(x, y)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    for r in df.select("x", "y", x.alias("gx"), y.alias("gy")).collect():
+        assert (r.gx, r.gy) == (r.x, r.y), r
+    texts = [("POINT (1.5 -2)", 1.5, -2.0), ("point z(1e2 .5 7)", 100.0, 0.5), ("SRID=4326;POINT(3 4)", 3.0, 4.0), ("POINT EMPTY", None, None), ("LINESTRING (1 2, 3 4)", None, None), (None, None, None)]
+    df = spark.createDataFrame(texts, "w string, x double, y double")
+    x, y = wkt_point(F.col("w"))
+    assert all((r.gx, r.gy) == (r.x, r.y) for r in df.select("x", "y", x.alias("gx"), y.alias("gy")).collect())
+    assert rings_from_wkt("POLYGON Z ((0 0 9, 1 0 9, 1 1 9))") == [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)]]
+    for bad in ("POINT (1 2)", "POLYGON ((0 0, 1 1))", "POLYGON ((0 0, 1 0, 1 1)", "POLYGON EMPTY"):
+        with pytest.raises(ValueError):
+            rings_from_wkt(bad)
+    hole = "POLYGON ((0 0, 4 0, 4 4, 0 4), (1 1, 3 1, 3 3, 1 3))"
+    pts = spark.createDataFrame([(k, f"POINT ({a} {b})") for k, (a, b) in enumerate([(0.5, 0.5), (2, 2), (3, 2), (4, 4), (5, 1)])], "k int, g string")
+    assert sorted(r.k for r in subset_geometry(pts, hole, geometry="g", geom_format="wkt").collect()) == [0, 2, 3]
