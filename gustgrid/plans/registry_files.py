@@ -12,7 +12,8 @@ from gustgrid.plans.registry_columns import query
 from gustgrid.plans.registry_fields import BOX, ITEMS, SUBSET, _texts
 from gustgrid.session import stage, stage_path
 from gustgrid.sources import footers
-from gustgrid.sources.hours import write_clustered, write_hourly
+from gustgrid.sources.hours import HOUR_KEYS, read_sidecars, scan_partitions, write_clustered, write_hourly, write_sidecars
+from gustgrid.sources.reports import write_metrics, write_subset
 
 COLUMNS = "event_id:integer,lat:number,lon:number,source_model:string,timestamp:string,user_id:integer"
 
@@ -104,3 +105,47 @@ def _(t):
     found = lattice.infer_lattice(t.tiles, ["pk"])
     out = lattice.append_points(lattice.refine_grid(found, ["pk"], 1), points, found, ["pk"], LonLat())
     return out.filter("is_test_point").select("pk", "node_id", "x", "y", "x_local")
+
+
+@query("write_read_hours", """SELECT event_id, user_id, lon, lat, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour FROM files""", "files")
+def _(t):
+    root, rows = new_root(t), hourly_rows(t)
+    write_hourly(rows, root)
+    return scan_partitions(t.spark, root, schema=rows.schema).select("event_id", "user_id", "lon", "lat", "year", "month", "day", "hour")
+
+
+@query("write_read_one_hour", """SELECT event_id, strftime(ts, '%H') AS hour FROM files WHERE strftime(ts, '%Y-%m-%d') = '2024-01-03' AND hour(ts) = 5""", "files")
+def _(t):
+    root = new_root(t)
+    write_hourly(hourly_rows(t), root)
+    return scan_partitions(t.spark, root, "2024-01-03", "5").select("event_id", "hour")
+
+
+@query("write_read_sidecars", """SELECT strftime(ts, '%Y%m%d%H') AS at, concat('EPSG:326', CAST(min(user_id) % 20 + 20 AS VARCHAR)) AS crs, count(*) AS n, min(lon) AS lon FROM files GROUP BY 1""", "files")
+def _(t):
+    root = new_root(t)
+    docs = hourly_rows(t).groupBy(*HOUR_KEYS).agg(
+        F.concat(F.lit("EPSG:326"), (F.min("user_id") % 20 + 20).cast("string")).alias("crs"), F.count(F.lit(1)).cast("string").alias("source_model"),
+        F.array(F.struct(F.lit("p").alias("name"), F.min("lon").alias("lon"), F.min("lat").alias("lat"))).alias("test_points"))
+    write_sidecars(docs, root)
+    return read_sidecars(t.spark, root).select(
+        F.concat(*HOUR_KEYS).alias("at"), "crs", F.col("source_model").cast("bigint").alias("n"), F.col("test_points")[0]["lon"].alias("lon"))
+
+
+@query("write_read_metrics", """WITH m AS (SELECT rid, obs_speed, CASE WHEN rid % 3 = 0 THEN 7 ELSE station END AS buoy_id FROM pairs)
+ SELECT buoy_id, count(*) AS n, CAST(sum(rid) AS BIGINT) AS rids, round(sum(obs_speed), 4) + 0e0 AS speed, true AS bounded FROM m GROUP BY buoy_id""", "pairs")
+def _(t):
+    """One buoy holds a third of all rows; no file is larger than the target."""
+    root, target = stage_path(t.spark, "reports"), 5000
+    write_metrics({"speeds": t.pairs.selectExpr("rid", "obs_speed", "CASE WHEN rid % 3 = 0 THEN 7 ELSE station END AS buoy_id")}, root, rows_per_file=target)
+    rows = t.spark.read.option("header", True).schema("rid long, obs_speed double, buoy_id int").csv(f"{root}/speeds").withColumn("file", F.expr("_metadata.file_path"))
+    files = rows.groupBy("buoy_id", "file").agg(F.count(F.lit(1)).alias("n"), F.sum("rid").alias("rids"), F.sum("obs_speed").alias("speed"))
+    return files.groupBy("buoy_id").agg(F.sum("n").alias("n"), F.sum("rids").alias("rids"), (F.round(F.sum("speed"), 4) + 0.0).alias("speed"), (F.max("n") <= target).alias("bounded"))
+
+
+@query("write_read_subset", f"WITH {SUBSET} SELECT event_id, user_id, lon, lat FROM sub", "files")
+def _(t):
+    rows = t.files.withColumn("node_id", F.col("user_id").cast("string"))
+    path = stage_path(t.spark, "subset")
+    write_subset(catalog.subset(rows, t.supplier.filter("s_nationkey < 12").select(F.col("s_suppkey").alias("node_id")), BOX), path)
+    return t.spark.read.parquet(path).select("event_id", "user_id", "lon", "lat")

@@ -30,32 +30,46 @@ def _no_files(e: AnalysisException) -> bool:
     return (e.getCondition() or "").startswith(NO_FILES)
 
 
-def _read(spark: SparkSession, root: str, glob: str) -> DataFrame | None:
+def _read(spark: SparkSession, root: str, glob: str, place: str, schema=None) -> DataFrame | None:
+    reader = spark.read.option("pathGlobFilter", glob).option("basePath", root)
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
     try:
-        return spark.read.option("mergeSchema", True).option("pathGlobFilter", glob).parquet(root)
+        return reader.parquet(f"{root.rstrip('/')}/{place}" if place else root)
     except AnalysisException as e:
         if _no_files(e):
             return None
         raise
 
 
-def scan_partitions(spark: SparkSession, root: str, date: str | None = None, hour: str | None = None) -> DataFrame:
-    """Rows of an hourly dataset; ``date`` (YYYY-MM-DD) and ``hour`` prune partitions.
+def scan_partitions(spark: SparkSession, root: str, date: str | None = None, hour: str | None = None, schema=None) -> DataFrame:
+    """Rows of an hourly dataset; only the folders of ``date`` (YYYY-MM-DD) and ``hour`` are listed.
 
     Files with the legacy extension are used for hours that have no ordinary file. The four
-    partition columns stay text.
+    partition columns stay text. Without a ``schema`` the footers of the listed files are merged, which
+    reads each of them; give one for a large dataset. Hours that have no files give no rows.
     """
-    main, legacy = _read(spark, root, "*.parquet"), _read(spark, root, "*.geoparquet")
+    parts = dict(zip(HOUR_KEYS, date.split("-"))) if date is not None else {}
+    if hour is not None:
+        parts["hour"] = f"{int(hour):02d}"
+    deepest = max((i for i, k in enumerate(HOUR_KEYS) if k in parts), default=-1)
+    place = "/".join(f"{k}={parts.get(k, '*')}" for k in HOUR_KEYS[: deepest + 1])
+
+    def both(at: str) -> tuple[DataFrame | None, DataFrame | None]:
+        return _read(spark, root, "*.parquet", at, schema), _read(spark, root, "*.geoparquet", at, schema)
+
+    main, legacy = both(place)
+    if main is None and legacy is None and place:
+        # Nothing there: no rows, if the dataset has files elsewhere.
+        main, legacy = both("")
     if main is None and legacy is None:
         raise FileNotFoundError(f"no Parquet files under {root}")
     if main is not None and legacy is not None:
         only_legacy = legacy.join(main.select(*HOUR_KEYS).distinct(), list(HOUR_KEYS), "left_anti")
         main = main.unionByName(only_legacy, allowMissingColumns=True)
     df = main if main is not None else legacy
-    if date is not None:
-        year, month, day = date.split("-")
-        df = df.filter((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
-    return df if hour is None else df.filter(F.col("hour") == f"{int(hour):02d}")
+    for k, v in parts.items():
+        df = df.filter(F.col(k) == v)
+    return df
 
 
 def nanos_to_timestamp(c):

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gustgrid.session import stage
 
-def write_metrics(tables: dict[str, DataFrame], root: str, by: str = "buoy_id", files_per_key: int = 8) -> None:
-    """Each table as CSV with a header under ``root/<name>``, one folder per buoy.
 
-    A buoy's rows are spread over up to ``files_per_key`` tasks and files, so one long series is not one task.
+def write_metrics(tables: dict[str, DataFrame], root: str, by: str = "buoy_id", rows_per_file: int = 500_000) -> None:
+    """Each table as CSV with a header under ``root/<name>``, one folder per buoy, files of at most ``rows_per_file`` rows.
+
+    Rows are counted first: tasks follow the data, a buoy with a third of all rows is cut by a hash of the row into a
+    third of the tasks, and small buoys share one.
     """
     for name, df in tables.items():
-        part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_key))
-        df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col(by), part).write.mode("overwrite").option("header", True).partitionBy(by).csv(f"{root.rstrip('/')}/{name}")
+        known = stage(df, "metrics")
+        tasks = max(1, -(-known.count() // rows_per_file))
+        dealt = known.repartitionByRange(tasks, F.col(by), F.xxhash64(*known.columns)).sortWithinPartitions(by)
+        dealt.write.mode("overwrite").option("header", True).option("maxRecordsPerFile", rows_per_file).partitionBy(by).csv(f"{root.rstrip('/')}/{name}")
 
 
 def write_subset(df: DataFrame, path: str, single_file: bool = False) -> None:
