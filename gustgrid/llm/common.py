@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +53,21 @@ _IS_WORD[list(SPACES)] = False
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
+def worker_cache(owner: str = "") -> dict:
+    """A dictionary that stays in a Python worker between tasks, until another owner asks for one.
+
+    Workers are shared by all stages of a session, so what one stage holds is freed when the next begins.
+    """
+    kept = sys.modules.setdefault("_gustgrid_worker_cache", types.ModuleType("_gustgrid_worker_cache")).__dict__
+    if kept.get("owner") != owner:
+        kept.clear()
+        kept["owner"] = owner
+    return kept
+
+
 def steps(batch: pa.RecordBatch, text: str):
     """Slices of a batch with at most STEP_BYTES of text each; null texts become empty."""
+    worker_cache()
     col = batch.column(batch.schema.get_field_index(text))
     ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64)) if len(col) else []
     at = 0

@@ -31,7 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from gustgrid.llm.decontam import worker_cache
+from gustgrid.llm.common import worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -203,7 +203,7 @@ def _appended(column: str, name: str, kind: pa.DataType, work, path: str):
 
 def worker_model(path: str) -> PrefixBpe:
     """The model of a file, built once in each Python worker."""
-    kept = worker_cache()
+    kept = worker_cache("bpe")
     return kept.get(f"bpe-{path}") or kept.setdefault(f"bpe-{path}", PrefixBpe(path))
 
 

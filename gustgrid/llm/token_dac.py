@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from gustgrid.llm.decontam import worker_cache
+from gustgrid.llm.common import worker_cache
 from gustgrid.llm.prefix_bpe import piece_splitter
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -142,7 +142,7 @@ def _write_segments(path: str, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = worker_cache()
+        kept = worker_cache("encoder")
         encoder = kept.get(f"encoder-{path}") or kept.setdefault(f"encoder-{path}", Encoder(path))
         part, segment, docs, held, size = TaskContext.get().partitionId(), 0, [], [], 0
 
