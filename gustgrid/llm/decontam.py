@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 import sys
-import types
 import uuid
 from collections.abc import Iterator
 
@@ -25,6 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from gustgrid.llm.common import worker_cache
 from gustgrid.session import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -47,11 +47,6 @@ def normal(text: str | None) -> tuple[str, int]:
     return (" " + b" ".join(words).decode("latin-1") + " " if words else "", len(words))
 
 
-def worker_cache() -> dict:
-    """A dictionary that stays in a Python worker between tasks."""
-    return sys.modules.setdefault("_gustgrid_worker_cache", types.ModuleType("_gustgrid_worker_cache")).__dict__
-
-
 def item_windows(items: DataFrame, item_id: str, item_text: str, window: int) -> DataFrame:
     """(pattern, items): each distinct window with the sorted ids (as text) of the items that have it.
 
@@ -74,7 +69,7 @@ def item_windows(items: DataFrame, item_id: str, item_text: str, window: int) ->
 def _automaton(shared, key: str):
     import ahocorasick
 
-    kept = worker_cache()
+    kept = worker_cache("automaton")
     if key not in kept:
         built = ahocorasick.Automaton()
         for k, (pattern, _) in enumerate(shared.value):
@@ -157,11 +152,18 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     rows = docs.drop("_spans", "_items", "_n_words", "_n_hit")
     text_at = rows.columns.index(text_col)
     rows = rows.withColumns({"_spans": F.expr("CAST(array() AS ARRAY<BIGINT>)"), "_items": F.expr("CAST(array() AS ARRAY<STRING>)")})
-    key = f"automaton-{uuid.uuid4().hex}"
+    key, scans = f"automaton-{uuid.uuid4().hex}", []
     for b in range(blocks):
         block = windows if blocks == 1 else windows.filter(f"pmod(xxhash64(pattern), {blocks}) = {b}")
         # Bounded: about BLOCK_PATTERNS windows at a time.
         shared = spark.sparkContext.broadcast([(r.pattern, r["items"]) for r in block.collect()])
-        rows = rows.mapInArrow(_scan(shared, f"{key}-{b}", text_at), rows.schema)
-    out = StructType([*rows.schema.fields, StructField("_n_words", LongType()), StructField("_n_hit", LongType())])
-    return rows.mapInArrow(_measure(text_at), out)
+        scans.append(_scan(shared, f"{key}-{b}", text_at))
+    measure = _measure(text_at)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One worker for all blocks and the counts, as each worker process costs memory.
+        for scan in scans:
+            batches = scan(batches)
+        yield from measure(batches)
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("_n_words", LongType()), StructField("_n_hit", LongType())]))
