@@ -46,7 +46,7 @@ HOLDS = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A
 
 # Bounds of the training set: expected documents in each sample, places used in a document (the first by a hash),
 # rewritten copies of a place with and without a secret. Tokens of a training window.
-SAMPLE, PLACES, SECRETS, PLAIN, WINDOW = 5_000, 4, 2, 2, 40
+SAMPLE, PLACES, SECRETS, PLAIN, WINDOW = 1_000, 4, 2, 2, 40
 ROUNDS, RATE, DECAY = 80, 0.3, 1e-4
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
 
@@ -370,7 +370,7 @@ def train(windows: list[tuple[np.ndarray, np.ndarray]]) -> Field:
         return field
     windows = sorted(windows, key=lambda w: (len(w[1]), w[0].tobytes()))
     n, t = len(windows), max(len(y) for _, y in windows)
-    x, y, on = np.zeros((n, t, len(SIZES)), np.int64), np.full((n, t), OUTSIDE), np.zeros((n, t), bool)
+    x, y, on = np.zeros((n, t, len(SIZES)), np.int16), np.full((n, t), OUTSIDE), np.zeros((n, t), bool)
     for i, (a, b) in enumerate(windows):
         x[i, : len(b)], y[i, : len(b)], on[i, : len(b)] = a, b, True
     flat_x, flat_on = x.reshape(-1, len(SIZES)), on.reshape(-1)
