@@ -4,9 +4,13 @@ Distances never drive the join: points are bucketed into square cells and cells
 For k nearest neighbours the cell size follows the local density. Row counts of nested cells
 (cell sides ``c0 * 2**level``) give, for every query, the finest level whose 3x3 block around the
 query holds k rows. Those k rows lie within ``2*sqrt(2)`` cell sides, so this bounds the k-th
-distance, and the 7x7 block of the same level (reach: three cell sides) contains every row that can
-be among the k nearest. No row is dropped by a guess, and dense spots get small cells instead of
-large groups.
+distance, and the 3x3 block of the level whose cells are at least as wide as that bound contains every
+row that can be among the k nearest. No row is dropped by a guess, and dense spots get small cells
+instead of large groups.
+
+Rows are copied into cells here, which the planner's estimates do not see (nor the compression of the
+files they come from), so tables of rows are joined by shuffle (:func:`gustgrid.session.by_shuffle`)
+and never collected for a broadcast.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gustgrid.operators.blocks import blocked_join
-from gustgrid.session import stage
+from gustgrid.session import by_shuffle, stage
 
 # Cells are halved until none holds more than CROWD * k rows, however dense a spot is: the depths
 # tried below the average-density cell, and the bits a cell number may have (a double has no more).
@@ -85,6 +89,23 @@ class _Grid:
 
         return f"sqrt(pow({axis('_fx')}, 2) + pow({axis('_fy')}, 2))"
 
+    def near_cell(self) -> str:
+        """Whether the cell (``_cx``, ``_cy``) of ``_l`` holds positions within the bound of the query."""
+        def axis(cell: str, q: str, low: float) -> str:
+            # A millionth of a side covers the rounding of the cells' edges.
+            edge = f"({low!r}D + {cell} * pow(2D, _l) * {self.side!r}D)"
+            return f"greatest({edge} - {q}, {q} - {edge} - pow(2D, _l) * {self.side!r}D, 0D) - {1e-6 * self.side!r}D * pow(2D, _l)"
+
+        def square(a: str) -> str:
+            return f"pow(greatest({a}, 0D), 2)"
+
+        return f"(_bound2 IS NULL OR {square(axis('_cx', 'q_x', self.x0))} + {square(axis('_cy', 'q_y', self.y0))} <= _bound2)"
+
+    def inside(self) -> str:
+        """Whether the cell of ``_l`` lies in the extent."""
+        last = [f"floor({high - low!r}D / {self.fine!r}D) / pow(2D, _l + {self.finer})" for low, high in ((self.x0, self.x1), (self.y0, self.y1))]
+        return f"_cx BETWEEN 0 AND {last[0]} AND _cy BETWEEN 0 AND {last[1]}"
+
     @property
     def levels(self) -> str:
         return f"explode(sequence({-self.finer}, {self.top})) AS _l"
@@ -139,7 +160,7 @@ def _query_levels(train: DataFrame, query: DataFrame, grid: _Grid, keys: list[st
     around = _into_block(nested, 1).groupBy(*by).agg(F.sum("n").alias("n")).filter(F.col("n") >= k).drop("n")
     asked = query.select(*keys, "_fx", "_fy").distinct().selectExpr(*keys, "_fx", "_fy", "_fx AS _qx", "_fy AS _qy", grid.levels)
     return (
-        _at_level(asked, grid).join(around, by)
+        by_shuffle(_at_level(asked, grid)).join(around, by)
         .groupBy(*keys, "_qx", "_qy").agg(F.min("_l").alias("_level"))
         .withColumnsRenamed({"_qx": "_fx", "_qy": "_fy"})
     )
@@ -168,15 +189,16 @@ def knn_join(
     column of both sides and only rows of *other* folds are eligible. ``spread`` says which side is
     copied into the cell block: the smaller one.
 
-    A dozen numbers (extent and density of the training rows) reach the driver. The queries with their
-    level, and the levels in use per key, are written to the shared folder once.
+    A dozen numbers (extent and density of the training rows) reach the driver. The training rows without
+    needless copies, the queries with their level, and the levels in use per key, are written to the shared
+    folder once.
     """
     keys = list(keys)
     q_fold, t_fold = ([f"{fold} AS q_fold"], [f"{fold} AS t_fold"]) if fold else ([], [])
     q = query.selectExpr(*keys, f"{query_id} AS q_id", f"CAST({x} AS DOUBLE) AS q_x", f"CAST({y} AS DOUBLE) AS q_y", *q_fold, *query_cols)
     t = train.selectExpr(*keys, f"{train_id} AS t_id", f"CAST({x} AS DOUBLE) AS t_x", f"CAST({y} AS DOUBLE) AS t_y", *t_fold, *train_cols)
     if not unique_locations:
-        t = limit_copies(t, keys, k, fold)
+        t = stage(limit_copies(t, keys, k, fold), "knn-train")
     grid = _grid_of(t, keys, k * FOLD_ROOM if fold else float(k))
     if grid is None:
         grid = _Grid(0.0, 0.0, 0.0, 0.0, 1.0, 0)
@@ -186,11 +208,11 @@ def knn_join(
     if maxdist is not None:
         q = q.filter(f"_off2 <= {limit2}")
 
-    # Bound of the k-th distance, and the level at which the 7x7 block reaches that far from the
+    # Bound of the k-th distance, and the level at which the 3x3 block reaches that far from the
     # moved position (moving into the extent shortens the distance to every training row).
     kept = [c for c in q.columns if c not in ("_fx", "_fy", "_off2")]
     q = (
-        q.join(_query_levels(t, q, grid, keys, k, fold), [*keys, "_fx", "_fy"], "left")
+        by_shuffle(q).join(_query_levels(t, q, grid, keys, k, fold), [*keys, "_fx", "_fy"], "left")
         .selectExpr(
             *kept, "_fx", "_fy", "_off2",
             f"least(pow(sqrt(_off2) + {grid.farthest_in_block()}, 2), {limit2}) * {1 + 1e-9!r}D AS _bound2",
@@ -198,7 +220,7 @@ def knn_join(
         .selectExpr(
             *kept, "_fx", "_fy", "_bound2",
             f"CASE WHEN _bound2 IS NULL THEN {grid.top} ELSE CAST(greatest({-grid.finer}, least({grid.top}, "
-            f"ceil(log2(greatest(1e-30D, sqrt(greatest(_bound2 - _off2, 0D)) / {3.0 * grid.side!r}D))))) AS INT) END AS _l",
+            f"ceil(log2(greatest(1e-30D, sqrt(greatest(_bound2 - _off2, 0D)) / {grid.side!r}D))))) AS INT) END AS _l",
         )
     )
     q = stage(_at_level(q, grid), "knn-queries")
@@ -211,9 +233,9 @@ def knn_join(
     cell = [*keys, "_l", "_cx", "_cy"]
     if spread == "train":
         # The rank window is clustered on a superset of the join key: no further shuffle.
-        pairs, clustered = q.join(_into_block(t, 3), cell), [*cell, "q_id"]
+        pairs, clustered = by_shuffle(q).join(_into_block(t, 1).filter(grid.inside()), cell), [*cell, "q_id"]
     else:
-        pairs, clustered = _into_block(q, 3).join(t, cell), [*keys, "q_id"]
+        pairs, clustered = by_shuffle(_into_block(q, 1).filter(grid.near_cell())).join(t, cell), [*keys, "q_id"]
     columns = [*keys, "q_id", "q_x", "q_y", *query_cols, "t_id", "t_x", "t_y", *train_cols]
     where = "(_bound2 IS NULL OR d2 <= _bound2)"
     if maxdist is not None:
@@ -282,7 +304,7 @@ def idw_within(
         at_place = F.sum(F.when(hit, s)) / F.nullif(F.sum(F.when(hit, n)), F.lit(0))
         aggs.append(F.coalesce(at_place, F.sum(w * s) / F.nullif(F.sum(w * n), F.lit(0.0))).alias(v))
     found = near.groupBy(*keys, "q_id").agg(*aggs)
-    return query.select(*keys, F.col(query_id).alias("q_id")).join(found, [*keys, "q_id"], "left")
+    return by_shuffle(query.select(*keys, F.col(query_id).alias("q_id"))).join(found, [*keys, "q_id"], "left")
 
 
 def idw_aggregate(value: str, maxdist: float | None = None) -> Column:
