@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gustgrid.session import by_shuffle
+
 # Leading hex digits of the hash that form a bucket: 16**3 buckets per key.
 BUCKET_DIGITS = 3
 
@@ -32,7 +34,7 @@ def hash_rank(df: DataFrame, keys: Sequence[str], id_col: str, seed: int, rank:
     )
     in_bucket = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy("_h", id_col))
     return (
-        hashed.join(counts, [*keys, "_b"])
+        by_shuffle(hashed).join(counts, [*keys, "_b"])
         .withColumn(rank, F.col("_before") + in_bucket)
         .drop("_h", "_b", "_n", "_before")
     )

@@ -32,7 +32,7 @@ from gustgrid.operators.sampling import hash_rank, sample_size
 from gustgrid.operators.trend import add_residuals, ols_topo, ols_xy
 from gustgrid.operators.variogram import MODELS, NO_MODEL, empirical_variogram, first_valid_model, fit_variogram, select_model
 from gustgrid.params import InterpolationParams
-from gustgrid.session import stage
+from gustgrid.session import by_shuffle, stage
 
 VARS = ("u", "v")
 
@@ -112,10 +112,12 @@ def cross_validate(sub: DataFrame, fits: DataFrame, keys: Sequence[str], nmax: i
     obs = [f"obs_{v}" for v in VARS]
     nb = knn_join(
         sub.withColumns({f"obs_{v}": F.col(v) for v in VARS}), sub, nmax, keys, "node_key", "node_key", "x_local", "y_local",
-        fold="fold", train_cols=VARS, query_cols=obs, spread="query",
+        fold="fold", train_cols=VARS, query_cols=obs,
     )
     wanted = {f"p_{v}_{m}": (F.col("var") == v) & (F.col("model") == m) for v in VARS for m in MODELS}
-    rows = gather_neighbors(nb, keys, VARS, obs).join(_per_key(fits, keys, wanted, _model_struct()), keys)
+    # A row per key, written so that the planner knows how small it is; the neighbours are not shuffled again.
+    params = stage(_per_key(fits, keys, wanted, _model_struct()), "models")
+    rows = gather_neighbors(nb, keys, VARS, obs).join(params, keys)
     tasks = [Task(f"{v}_{m}", f"p_{v}_{m}", v) for v in VARS for m in MODELS]
     solved = krige(rows, tasks, [*keys, *obs])
     long = F.array(*(
@@ -136,7 +138,7 @@ def holdout_metrics(nodes: DataFrame, chosen: DataFrame, keys: Sequence[str], nm
     )
     idw = [f"idw_{v}" for v in VARS]
     rows = gather_neighbors(nb, keys, VARS, obs, [idw_aggregate(v).alias(f"idw_{v}") for v in VARS])
-    rows = rows.join(_per_key(chosen, keys, {f"p_{v}": F.col("var") == v for v in VARS}, _model_struct()), keys)
+    rows = rows.join(stage(_per_key(chosen, keys, {f"p_{v}": F.col("var") == v for v in VARS}, _model_struct()), "models"), keys)
     rows = rows.withColumns({f"is_idw_{v}": F.col(f"p_{v}.model") == NO_MODEL for v in VARS})
     flags = [f"is_idw_{v}" for v in VARS]
     solved = krige(rows, [Task(v, f"p_{v}", v) for v in VARS], [*keys, *obs, *idw, *flags])
@@ -190,7 +192,7 @@ def predict_grid(
         grid.filter("NOT is_orig").join(fallback, keys, "left_semi"), nodes.join(fallback, keys, "left_semi"),
         p.cutoff, keys, VARS, "node_id", "x_local", "y_local",
     ).withColumnsRenamed({v: f"w_{v}" for v in VARS})
-    out = out.join(near, [*keys, "q_id"], "left")
+    out = by_shuffle(out).join(near, [*keys, "q_id"], "left")
 
     def value(v):
         made = F.when(F.col(f"model_{v}") == NO_MODEL, F.col(f"w_{v}")).otherwise(F.col(f"k_{v}"))
