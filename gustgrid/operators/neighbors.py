@@ -16,19 +16,28 @@ and never collected for a broadcast.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from gustgrid.operators.blocks import blocked_join
 from gustgrid.session import by_shuffle, stage
 
+# The choice of the nearest travels with the job, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Cells are halved until none holds more than CROWD * k rows, however dense a spot is: the depths
 # tried below the average-density cell, and the bits a cell number may have (a double has no more).
 DEPTHS, CELL_BITS, CROWD = (0, 1, 2, 3, 5, 8, 12, 18, 26, 36, 48), 50, 4
 # Extra room when the nearest rows of a query's own fold are not eligible.
 FOLD_ROOM = 1.6
+# Queries of a cell that meet its block in one row, and pairs taken at a time.
+PACK_ROWS, CHUNK = 1000, 1 << 16
 
 
 def _into_block(df: DataFrame, radius: int) -> DataFrame:
@@ -194,6 +203,20 @@ def knn_join(
     folder once.
     """
     keys = list(keys)
+    q, t, grid = _celled(query, train, k, keys, query_id, train_id, x, y, maxdist, fold, train_cols, query_cols, unique_locations)
+    cell = [*keys, "_l", "_cx", "_cy"]
+    if spread == "train":
+        # The rank window is clustered on a superset of the join key: no further shuffle.
+        pairs, clustered = by_shuffle(q).join(_into_block(t, 1).filter(grid.inside()), cell), [*cell, "q_id"]
+    else:
+        pairs, clustered = by_shuffle(_into_block(q, 1).filter(grid.near_cell())).join(t, cell), [*keys, "q_id"]
+    tail = ["_l", "_cx", "_cy"] if spread == "train" else []
+    return _nearest(pairs, k, keys, clustered, maxdist, fold, train_cols, query_cols, tail)
+
+
+def _celled(query, train, k, keys, query_id, train_id, x, y, maxdist, fold, train_cols, query_cols, unique_locations):
+    """Queries in the cell whose block holds all rows that can be among their k nearest, the training rows in the cells
+    of the levels in use, and the grid."""
     q_fold, t_fold = ([f"{fold} AS q_fold"], [f"{fold} AS t_fold"]) if fold else ([], [])
     q = query.selectExpr(*keys, f"{query_id} AS q_id", f"CAST({x} AS DOUBLE) AS q_x", f"CAST({y} AS DOUBLE) AS q_y", *q_fold, *query_cols)
     t = train.selectExpr(*keys, f"{train_id} AS t_id", f"CAST({x} AS DOUBLE) AS t_x", f"CAST({y} AS DOUBLE) AS t_y", *t_fold, *train_cols)
@@ -230,26 +253,165 @@ def knn_join(
         *keys, "t_id", "t_x", "t_y", *(["t_fold"] if fold else []), *train_cols, "_fx", "_fy", "explode(_ls) AS _l",
     ), grid)
 
-    cell = [*keys, "_l", "_cx", "_cy"]
-    if spread == "train":
-        # The rank window is clustered on a superset of the join key: no further shuffle.
-        pairs, clustered = by_shuffle(q).join(_into_block(t, 1).filter(grid.inside()), cell), [*cell, "q_id"]
-    else:
-        pairs, clustered = by_shuffle(_into_block(q, 1).filter(grid.near_cell())).join(t, cell), [*keys, "q_id"]
+    return q, t, grid
+
+
+def _nearest(pairs, k, keys, clustered, maxdist, fold, train_cols, query_cols, tail) -> DataFrame:
+    """The k nearest of the pairs of each query."""
     columns = [*keys, "q_id", "q_x", "q_y", *query_cols, "t_id", "t_x", "t_y", *train_cols]
     where = "(_bound2 IS NULL OR d2 <= _bound2)"
     if maxdist is not None:
-        where += f" AND d2 <= {limit2}"
+        where += f" AND d2 <= {float(maxdist) ** 2!r}D"
     if fold:
         where += " AND q_fold <> t_fold"
     rank = F.row_number().over(Window.partitionBy(*clustered).orderBy("d2", "t_id", *train_cols))
-    tail = ["_l", "_cx", "_cy"] if spread == "train" else []
     return (
         pairs.selectExpr("*", "(q_x - t_x) * (q_x - t_x) + (q_y - t_y) * (q_y - t_y) AS d2").filter(where)
         .select(*columns, "d2", *tail, rank.alias("rank")).filter(F.col("rank") <= k)
     )
 
 
+def _crowd(k: int) -> int:
+    """Training rows from which a block is not an array."""
+    return max(2000, 64 * k)
+
+
+def knn_arrays(
+    query: DataFrame,
+    train: DataFrame,
+    k: int,
+    keys: Sequence[str],
+    query_id: str = "id",
+    train_id: str = "id",
+    x: str = "x",
+    y: str = "y",
+    fold: str | None = None,
+    train_cols: Sequence[str] = (),
+    query_cols: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`knn_join` with one row per query: keys, ``q_id, q_x, q_y``, the ``query_cols``, and ``nb``, the array of its
+    neighbours in rank order (``rank, t_x, t_y, d2`` and the ``train_cols``). ``fold`` is a whole number.
+
+    A query's candidates are never rows: the queries of a cell and the training rows of its block meet as arrays, and
+    numpy picks the nearest. Cells of more than ``PACK_ROWS`` queries are cut by a hash of their id; blocks of
+    more than ``_crowd(k)`` training rows take the way of :func:`knn_join`, which sorts pairs in many tasks.
+    """
+    keys = list(keys)
+    q, t, grid = _celled(query, train, k, keys, query_id, train_id, x, y, None, fold, train_cols, query_cols, False)
+    cell = [*keys, "_l", "_cx", "_cy"]
+    held = _into_block(t.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")), 1).groupBy(*cell).agg(F.sum("n").alias("n"))
+    crowded = stage(held.filter(F.col("n") > _crowd(k)).select(*cell), "crowded")
+    large = q.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / F.lit(PACK_ROWS)).cast("int").alias("_parts")).filter("_parts > 1")
+    large = stage(large, "large-cells")
+    around = _into_block(t, 1).filter(grid.inside())
+
+    t_item = F.struct("t_id", *train_cols, "t_x", "t_y", *(["t_fold"] if fold else []))
+    q_item = F.struct(*(c for c in q.columns if c not in cell))
+    # The order of training rows at one distance: id, then the other columns.
+    blocks = around.join(crowded, cell, "left_anti").groupBy(*cell).agg(F.sort_array(F.collect_list(t_item)).alias("_ts"))
+    dealt = q.join(large, cell, "left").withColumn("_part", F.pmod(F.xxhash64("q_id"), F.coalesce("_parts", F.lit(1))))
+    packed = dealt.groupBy(*cell, "_part").agg(F.collect_list(q_item).alias("_qs"))
+    met = by_shuffle(packed).join(blocks, cell).select(*keys, "_qs", "_ts")
+
+    kept = ["q_id", "q_x", "q_y", *query_cols]
+    q_types, t_types = ({f.name: f for f in df.schema} for df in (q, t))
+    item = [T.StructField("rank", T.IntegerType()), *(T.StructField(c, T.DoubleType()) for c in ("t_x", "t_y", "d2")), *(t_types[c] for c in train_cols)]
+    schema = T.StructType([q_types[c] for c in (*keys, *kept)] + [T.StructField("nb", T.ArrayType(T.StructType(item)))])
+    carried, folded = [*train_cols], fold is not None
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            qs, ts = batch.column("_qs"), batch.column("_ts")
+            asked, known = (dict(zip((f.name for f in c.type.value_type), c.flatten().flatten())) for c in (qs, ts))
+            ends = [c.offsets.to_numpy() - c.offsets[0].as_py() for c in (qs, ts)]
+            counts, places, d2 = _pick_nearest(asked, known, *ends, k, folded)
+            rows = np.flatnonzero(counts)
+            offsets = np.concatenate([[0], np.cumsum(counts[rows])]).astype(np.int32)
+            take = pa.array(places)
+            rank = np.arange(len(places)) - np.repeat(offsets[:-1], counts[rows]) + 1
+            fields = [pa.array(rank.astype(np.int32)), known["t_x"].take(take), known["t_y"].take(take), pa.array(d2), *(known[c].take(take) for c in carried)]
+            nb = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(fields, ["rank", "t_x", "t_y", "d2", *carried]))
+            own = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(ends[0]))[rows])
+            chosen = pa.array(rows)
+            columns = [batch.column(c).take(own) for c in keys] + [asked[c].take(chosen) for c in kept] + [nb]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    usual = met.mapInArrow(pick, schema)
+    # The other blocks, usually none: pairs as rows.
+    hot = by_shuffle(q.join(crowded, cell, "left_semi")).join(around.join(crowded, cell, "left_semi"), cell)
+    hot = _nearest(hot, k, keys, [*cell, "q_id"], None, fold, train_cols, query_cols, ["_l", "_cx", "_cy"])
+    rest = hot.groupBy(*cell, "q_id").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "t_x", "t_y", "d2", *train_cols))).alias("nb"),
+        *(F.first(c).alias(c) for c in ("q_x", "q_y", *query_cols)))
+    return usual.unionByName(rest.select(*schema.names))
+
+
+def _numbers(array: pa.Array) -> np.ndarray:
+    return array.cast(pa.float64()).to_numpy(zero_copy_only=False)
+
+
+def _pick_nearest(asked, known, q_ends, t_ends, k: int, folded: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of neighbours of each query, and their places among the training rows and squared distances, by rank.
+
+    The training rows of a block are in the order that decides between equal distances.
+    """
+    qx, qy, bound = (_numbers(asked[c]) for c in ("q_x", "q_y", "_bound2"))
+    tx, ty = _numbers(known["t_x"]), _numbers(known["t_y"])
+    # Without a bound every row counts. Spark takes NaN as the largest number, so a NaN bound excludes nothing either.
+    free = np.isnan(bound)
+    if folded:
+        qf, tf = _numbers(asked["q_fold"]), _numbers(known["t_fold"])
+    counts, places, d2s = np.zeros(len(qx), np.int64), [np.zeros(0, np.int64)], [np.zeros(0)]
+    for i in range(len(q_ends) - 1):
+        ts = slice(t_ends[i], t_ends[i + 1])
+        n = ts.stop - ts.start
+        step = max(1, CHUNK // max(1, n))
+        for start in range(q_ends[i], q_ends[i + 1], step):
+            rows = slice(start, min(start + step, q_ends[i + 1]))
+            dx, dy = qx[rows, None] - tx[ts], qy[rows, None] - ty[ts]
+            d2 = dx * dx + dy * dy
+            ok = (d2 <= bound[rows, None]) | free[rows, None]
+            if folded:
+                a, b = qf[rows, None], tf[ts]
+                ok &= (a != b) & ~np.isnan(a) & ~np.isnan(b)
+            if np.isfinite(d2).all():
+                order = np.argsort(np.where(ok, d2, np.inf), axis=1, kind="stable")[:, :k]
+            else:
+                order = np.lexsort((d2, ~ok), axis=1)[:, :k]
+            found = np.minimum(ok.sum(axis=1), k)
+            counts[rows] = found
+            near = np.arange(order.shape[1]) < found[:, None]
+            places.append(order[near] + ts.start)
+            d2s.append(np.take_along_axis(d2, order, axis=1)[near])
+    places, d2s = np.concatenate(places), np.concatenate(d2s)
+    return _one_row_an_id(asked["q_id"], q_ends, counts, places, d2s, k)
+
+
+def _one_row_an_id(ids: pa.Array, q_ends: np.ndarray, counts, places, d2s, k: int):
+    """Queries of one cell that share an id (or have none) are one query: the first takes the k nearest of all."""
+    codes = ids.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    cells = np.repeat(np.arange(len(q_ends) - 1), np.diff(q_ends))
+    if not len(codes):
+        return counts, places, d2s
+    of = cells * (codes.max() + 2) + codes + 1
+    order = np.argsort(of, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(of[order]) != 0]))
+    if len(first) == len(of):
+        return counts, places, d2s
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    spots = [np.arange(a, b) for a, b in zip(ends[:-1], ends[1:])]
+    for a, b in zip(first, [*first[1:], len(order)]):
+        if b - a > 1:
+            group = order[a:b]
+            every = np.concatenate([spots[g] for g in group])
+            every = every[np.lexsort((places[every], d2s[every]))][:k]
+            for g in group:
+                spots[g] = every[:0]
+            spots[group[0]] = every
+    chosen = np.concatenate(spots)
+    return np.array([len(s) for s in spots]), places[chosen], d2s[chosen]
+
+
 def range_join(
     query: DataFrame,
     train: DataFrame,
@@ -334,6 +496,24 @@ def neighbor_stats(neighbors: DataFrame, keys: Sequence[str], cutoff: float | No
     )
 
 
+def idw_of(nb: str, value: str) -> Column:
+    """:func:`idw_aggregate` over an array of neighbours."""
+    hit = f"filter({nb}, e -> e.d2 = 0 AND e.{value} IS NOT NULL)"
+    far = f"filter({nb}, e -> e.d2 > 0 AND e.{value} IS NOT NULL)"
+
+    def total(rows, term):
+        return f"aggregate({rows}, 0D, (s, e) -> s + {term})"
+
+    mean = f"{total(hit, f'e.{value}')} / nullif(size({hit}), 0)"
+    return F.expr(f"coalesce({mean}, {total(far, f'1D / e.d2 * e.{value}')} / nullif({total(far, '1D / e.d2')}, 0D))")
+
+
+def neighbor_counts(nb: str, cutoff: float | None = None) -> list[Column]:
+    """:func:`neighbor_aggregates` over an array of neighbours in rank order."""
+    inside = nb if not cutoff or cutoff <= 0 else f"filter({nb}, e -> e.d2 <= {float(cutoff) ** 2!r}D)"
+    return [F.expr(f"sqrt({nb}[0].d2)").alias("nearest_distance"), F.expr(f"size({inside})").alias("neighbors_used")]
+
+
 def neighbor_group(neighbors: DataFrame, keys: Sequence[str]) -> list[str]:
     """Grouping columns of a query's neighbours; the cell columns keep the join's partitioning."""
     cell = [c for c in ("_l", "_cx", "_cy") if c in neighbors.columns]

@@ -24,7 +24,7 @@ from gustgrid.functions.wind import dir_from_uv, speed_from_uv, uv_from_speed_di
 from gustgrid.operators.kriging import Task, gather_neighbors, krige
 from gustgrid.operators.lattice import PROJECTION, append_points, assign_node_id, infer_lattice, output_counts, refine_grid, source_tag
 from gustgrid.operators.metrics import cv_score
-from gustgrid.operators.neighbors import idw_aggregate, idw_within, knn_join, neighbor_aggregates
+from gustgrid.operators.neighbors import idw_aggregate, idw_of, idw_within, knn_arrays, knn_join, neighbor_counts
 from gustgrid.operators.projection import project, unproject
 from gustgrid.operators.region_join import points_in_regions
 from gustgrid.operators.regions import points_near_polygon
@@ -110,14 +110,14 @@ def cross_validate(sub: DataFrame, fits: DataFrame, keys: Sequence[str], nmax: i
     """
     keys = list(keys)
     obs = [f"obs_{v}" for v in VARS]
-    nb = knn_join(
+    rows = knn_arrays(
         sub.withColumns({f"obs_{v}": F.col(v) for v in VARS}), sub, nmax, keys, "node_key", "node_key", "x_local", "y_local",
         fold="fold", train_cols=VARS, query_cols=obs,
     )
     wanted = {f"p_{v}_{m}": (F.col("var") == v) & (F.col("model") == m) for v in VARS for m in MODELS}
     # A row per key, written so that the planner knows how small it is; the neighbours are not shuffled again.
     params = stage(_per_key(fits, keys, wanted, _model_struct()), "models")
-    rows = gather_neighbors(nb, keys, VARS, obs).join(params, keys)
+    rows = rows.join(params, keys)
     tasks = [Task(f"{v}_{m}", f"p_{v}_{m}", v) for v in VARS for m in MODELS]
     solved = krige(rows, tasks, [*keys, *obs])
     long = F.array(*(
@@ -158,16 +158,15 @@ def predict_grid(
 ) -> DataFrame:
     """Values at every grid node: components, variances, regression kriging and neighbour statistics."""
     keys, carry = list(keys), list(carry)
-    nb = knn_join(
+    rows = knn_arrays(
         grid, nodes, p.nmax, keys, "node_id", "node_key", "x_local", "y_local",
         train_cols=[*VARS, "topo"], query_cols=carry,
     )
-    extra = [idw_aggregate("topo").alias("topo"), *neighbor_aggregates(p.cutoff)]
-    rows = gather_neighbors(nb, keys, [*VARS, "topo"], carry, extra)
+    rows = rows.select("*", idw_of("nb", "topo").alias("topo"), *neighbor_counts("nb", p.cutoff))
 
     main = _per_key(chosen, keys, {f"p_{v}": F.col("var") == v for v in VARS}, _model_struct())
     trends = F.array(*(F.struct(F.lit(v).alias("var"), F.col(f"{v}_t0").alias("t0"), F.col(f"{v}_t1").alias("t1")) for v in VARS))
-    rk = topo_trend.select(*keys, F.inline(trends)).join(rk_models, [*keys, "var"], "left")
+    rk = by_shuffle(topo_trend.select(*keys, F.inline(trends))).join(rk_models, [*keys, "var"], "left")
     rk = _per_key(rk, keys, {f"r_{v}": F.col("var") == v for v in VARS}, _model_struct("t0", "t1"))
     params = stage(main.join(rk, keys, "left"), "models")
     rows = rows.join(params, keys)
@@ -294,7 +293,7 @@ def _clipped(grid: DataFrame, settings: DataFrame, keys: list[str]) -> DataFrame
 
 def _diagnostics(counts, chosen, held, keys) -> DataFrame:
     """Per key: counts, chosen models with scores and parameters, hold-out scores."""
-    models = chosen.join(held.withColumnsRenamed({"rsr": "test_rsr", "bias": "test_bias"}), [*keys, "var"], "left")
+    models = by_shuffle(chosen).join(held.withColumnsRenamed({"rsr": "test_rsr", "bias": "test_bias"}), [*keys, "var"], "left")
     wide = []
     for v in VARS:
         def pick(c):
