@@ -25,7 +25,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gustgrid.llm.common import worker_cache
-from gustgrid.llm.prefix_bpe import piece_splitter
+from gustgrid.llm.prefix_bpe import _byte_chars, piece_splitter
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -34,6 +34,8 @@ RANK_BITS = 512
 # Bytes of remembered pieces and ids, about, in one generation of a worker.
 REMEMBERED_BYTES = 64_000_000
 _POPCOUNT = np.array([bin(b).count("1") for b in range(256)], np.uint8)
+# The letter of each byte in a byte-level vocabulary.
+_LETTERS = {byte: letter for letter, byte in _byte_chars().items()}
 
 SEGMENT_SCHEMA = ("part long, segment long, n_docs long, n_tokens long, doc_ids array<long>, doc_ends array<long>, "
                   "levels array<binary>, bitmaps array<binary>, ranks array<binary>")
@@ -80,11 +82,16 @@ def dac_get(levels: list[bytes], bitmaps: list[bytes], ranks: list[bytes], i: in
     return value
 
 
+def _byte_letters(piece: str) -> str:
+    """The text over which a byte-level vocabulary is made: one letter for each byte."""
+    return piece.encode().decode("latin-1").translate(_LETTERS)
+
+
 class Encoder:
     """Ids of texts as the tokenizers library gives them, each distinct piece encoded once.
 
     A byte-level vocabulary is applied to pieces of the text (letters, digits, marks, white space). A text
-    is cut into them here, the library encodes all new pieces of a batch, and their ids are remembered in two
+    is cut into them here, the library's model encodes all new pieces of a batch, and their ids are remembered in two
     generations of about ``REMEMBERED_BYTES`` each. Texts with a special token's string go through it whole.
     """
 
@@ -95,7 +102,6 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces = piece_splitter()
-        self.newline = int(np.frombuffer(self._library(["\n"])[0], "<u4")[0])
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.held = 0
@@ -107,35 +113,33 @@ class Encoder:
         """Ids of pieces that the young generation lacks: from the old one, the others from the library."""
         old = self.old
         self.young.update((p, old[p]) for p in pieces if p in old)
-        new = [p for p in pieces if p not in old]
-        # A line each, since the library encodes one text faster than many; white space goes by itself.
-        lines = [p for p in new if not p.isspace()]
-        if lines:
-            ids = self._library(["\n".join(lines) + "\n"])[0]
-            ends = np.flatnonzero(np.frombuffer(ids, "<u4") == self.newline).tolist()
-            self.young.update((p, ids[4 * a + 4 : 4 * b]) for p, a, b in zip(lines, [-1, *ends[:-1]], ends, strict=True))
-        spaces = [p for p in new if p.isspace()]
-        self.young.update(zip(spaces, self._library(spaces)))
+        tokens = self.tokenizer.model.tokenize
+        self.young.update((p, array("I", [t.id for t in tokens(_byte_letters(p))]).tobytes()) for p in pieces if p not in old)
         self.held += sum(map(len, pieces)) + 220 * len(pieces)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text; a null text is empty."""
         if self.held > REMEMBERED_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
-        known, cut, new = self.young.get, [], set()
+        known, out, cut, new = self.young.get, [], [], set()
         for text in texts:
-            if not text or any(s in text for s in self.special):
-                cut.append((text, None))
-                continue
-            pieces = self.pieces(text)
-            ids = list(map(known, pieces))
-            if None in ids:
-                new.update(p for p, i in zip(pieces, ids) if i is None)
-                ids = None
-            cut.append((pieces, ids))
+            if not text:
+                out.append(b"")
+            elif any(s in text for s in self.special):
+                out.append(self._library([text])[0])
+            else:
+                pieces = self.pieces(text)
+                try:
+                    out.append(b"".join(map(known, pieces)))
+                except TypeError:  # a piece that is not remembered
+                    new.update(p for p in pieces if p not in self.young)
+                    cut.append((len(out), pieces))
+                    out.append(b"")
         if new:
             self._learn(new)
-        return [b"".join(ids or map(known, pieces)) if isinstance(pieces, list) else self._library([pieces])[0] if pieces else b"" for pieces, ids in cut]
+        for i, pieces in cut:
+            out[i] = b"".join(map(known, pieces))
+        return out
 
 
 def _write_segments(path: str, end_id: int):

@@ -69,3 +69,13 @@ def test_empty_table(spark):
     out = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     write_tokens(spark.createDataFrame([], "doc_id long, text string"), out, TOKENIZER)
     assert read_documents(spark, out).collect() == []
+
+
+def test_new_pieces_skip_the_split_of_the_library(monkeypatch):
+    from tokenizers import Tokenizer
+
+    texts = ["Ωmega naïve\u00a0x\r\n\n  12 don't!", " \t\n", "日本語 \U0001f600 e\u0301", "a" * 300, "\x00\x7f\x80 ~", "plain words plain words"]
+    encoder, library = Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    monkeypatch.setattr(encoder, "_library", None)
+    for _ in range(2):
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
