@@ -38,6 +38,8 @@ DEPTHS, CELL_BITS, CROWD = (0, 1, 2, 3, 5, 8, 12, 18, 26, 36, 48), 50, 4
 FOLD_ROOM = 1.6
 # Queries of a cell that meet its block in one row, and pairs taken at a time.
 PACK_ROWS, CHUNK = 1000, 1 << 16
+# Cells of 2**NEAR_BITS by as many lie in one task when counts are copied to the cells around.
+NEAR_BITS = 3
 
 
 def _into_block(df: DataFrame, radius: int) -> DataFrame:
@@ -121,8 +123,9 @@ class _Grid:
 
 
 def _grid_of(train: DataFrame, keys: list[str], k: float) -> _Grid | None:
-    """Two small jobs: extent and average density of all training rows, then the depth at which no
-    cell is crowded. A dozen numbers reach the driver."""
+    """A few small jobs: extent and average density of all training rows, then the depth at which no
+    cell is crowded. Most tables need none, so deeper cells are counted only where the ones before are
+    crowded. A dozen numbers reach the driver."""
     row = (
         train.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"), F.min("t_x").alias("x0"), F.max("t_x").alias("x1"),
@@ -138,12 +141,17 @@ def _grid_of(train: DataFrame, keys: list[str], k: float) -> _Grid | None:
     side = min(side, max(w, h)) or 1.0
     top = max(0, math.ceil(math.log2(max(w, h, side) / side)))
     depths = [d for d in DEPTHS if d + top <= CELL_BITS] or [0]
-    deepest = _Grid(x0, x1, y0, y1, side, top, depths[-1])
-    counts = train.selectExpr(*keys, *deepest.cell("t_x", "t_y")).selectExpr(
-        *keys, "_fx", "_fy", f"explode(array({', '.join(map(str, depths))})) AS _d"
-    ).selectExpr(*keys, "_d", f"shiftright(_fx, {depths[-1]} - _d) AS _cx", f"shiftright(_fy, {depths[-1]} - _d) AS _cy")
-    crowds = counts.groupBy(*keys, "_d", "_cx", "_cy").agg(F.count(F.lit(1)).alias("n")).groupBy("_d").agg(F.max("n").alias("n")).collect()
-    finer = min((r["_d"] for r in crowds if r["n"] <= CROWD * k), default=depths[-1])
+    finer = depths[-1]
+    for tried in filter(None, (depths[:1], depths[1:4], depths[4:])):
+        deepest = _Grid(x0, x1, y0, y1, side, top, tried[-1])
+        counts = train.selectExpr(*keys, *deepest.cell("t_x", "t_y")).selectExpr(
+            *keys, "_fx", "_fy", f"explode(array({', '.join(map(str, tried))})) AS _d"
+        ).selectExpr(*keys, "_d", f"shiftright(_fx, {tried[-1]} - _d) AS _cx", f"shiftright(_fy, {tried[-1]} - _d) AS _cy")
+        crowds = counts.groupBy(*keys, "_d", "_cx", "_cy").agg(F.count(F.lit(1)).alias("n")).groupBy("_d").agg(F.max("n").alias("n")).collect()
+        enough = [r["_d"] for r in crowds if r["n"] <= CROWD * k]
+        if enough:
+            finer = min(enough)
+            break
     return _Grid(x0, x1, y0, y1, side, top, finer)
 
 
@@ -166,7 +174,9 @@ def _query_levels(train: DataFrame, query: DataFrame, grid: _Grid, keys: list[st
     if fold:
         # Rows outside the largest fold of a cell are eligible for a query of any fold.
         nested = nested.groupBy(*by).agg((F.sum("n") - F.max("n")).alias("n"))
-    around = _into_block(nested, 1).groupBy(*by).agg(F.sum("n").alias("n")).filter(F.col("n") >= k).drop("n")
+    # Cells near each other are brought together, so most copies of a cell are summed where they are made.
+    near = nested.repartition(*keys, "_l", F.shiftright("_cx", NEAR_BITS), F.shiftright("_cy", NEAR_BITS))
+    around = _into_block(near, 1).groupBy(*by).agg(F.sum("n").alias("n")).filter(F.col("n") >= k).drop("n")
     asked = query.select(*keys, "_fx", "_fy").distinct().selectExpr(*keys, "_fx", "_fy", "_fx AS _qx", "_fy AS _qy", grid.levels)
     return (
         by_shuffle(_at_level(asked, grid)).join(around, by)
@@ -288,22 +298,28 @@ def knn_arrays(
     fold: str | None = None,
     train_cols: Sequence[str] = (),
     query_cols: Sequence[str] = (),
+    spread: str = "train",
 ) -> DataFrame:
     """:func:`knn_join` with one row per query: keys, ``q_id, q_x, q_y``, the ``query_cols``, and ``nb``, the array of its
     neighbours in rank order (``rank, t_x, t_y, d2`` and the ``train_cols``). ``fold`` is a whole number.
 
     A query's candidates are never rows: the queries of a cell and the training rows of its block meet as arrays, and
-    numpy picks the nearest. Cells of more than ``PACK_ROWS`` queries are cut by a hash of their id; blocks of
+    numpy picks the nearest. With ``spread="query"``, for few queries, they are copied into their block instead, meet
+    the rows of each cell, and the nearest of every cell are merged. Cells of more than ``PACK_ROWS`` queries are cut by a hash of their id; blocks of
     more than ``_crowd(k)`` training rows take the way of :func:`knn_join`, which sorts pairs in many tasks.
     """
     keys = list(keys)
     q, t, grid = _celled(query, train, k, keys, query_id, train_id, x, y, None, fold, train_cols, query_cols, False)
     cell = [*keys, "_l", "_cx", "_cy"]
-    held = _into_block(t.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")), 1).groupBy(*cell).agg(F.sum("n").alias("n"))
+    held = t.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
+    if spread == "train":
+        held = _into_block(held, 1).groupBy(*cell).agg(F.sum("n").alias("n"))
+        around, carried = _into_block(t, 1).filter(grid.inside()), [*train_cols]
+    else:
+        q, around, carried = _into_block(q, 1).filter(grid.near_cell()), t, ["t_id", *train_cols]
     crowded = stage(held.filter(F.col("n") > _crowd(k)).select(*cell), "crowded")
     large = q.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / F.lit(PACK_ROWS)).cast("int").alias("_parts")).filter("_parts > 1")
     large = stage(large, "large-cells")
-    around = _into_block(t, 1).filter(grid.inside())
 
     t_item = F.struct("t_id", *train_cols, "t_x", "t_y", *(["t_fold"] if fold else []))
     q_item = F.struct(*(c for c in q.columns if c not in cell))
@@ -315,9 +331,9 @@ def knn_arrays(
 
     kept = ["q_id", "q_x", "q_y", *query_cols]
     q_types, t_types = ({f.name: f for f in df.schema} for df in (q, t))
-    item = [T.StructField("rank", T.IntegerType()), *(T.StructField(c, T.DoubleType()) for c in ("t_x", "t_y", "d2")), *(t_types[c] for c in train_cols)]
+    item = [T.StructField("rank", T.IntegerType()), *(T.StructField(c, T.DoubleType()) for c in ("t_x", "t_y", "d2")), *(t_types[c] for c in carried)]
     schema = T.StructType([q_types[c] for c in (*keys, *kept)] + [T.StructField("nb", T.ArrayType(T.StructType(item)))])
-    carried, folded = [*train_cols], fold is not None
+    folded = fold is not None
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,9 +357,20 @@ def knn_arrays(
     hot = by_shuffle(q.join(crowded, cell, "left_semi")).join(around.join(crowded, cell, "left_semi"), cell)
     hot = _nearest(hot, k, keys, [*cell, "q_id"], None, fold, train_cols, query_cols, ["_l", "_cx", "_cy"])
     rest = hot.groupBy(*cell, "q_id").agg(
-        F.sort_array(F.collect_list(F.struct("rank", "t_x", "t_y", "d2", *train_cols))).alias("nb"),
+        F.sort_array(F.collect_list(F.struct("rank", "t_x", "t_y", "d2", *carried))).alias("nb"),
         *(F.first(c).alias(c) for c in ("q_x", "q_y", *query_cols)))
-    return usual.unionByName(rest.select(*schema.names))
+    found = usual.unionByName(rest.select(*schema.names))
+    return found if spread == "train" else _merged(found, k, keys, train_cols, kept)
+
+
+def _merged(found: DataFrame, k: int, keys: list[str], train_cols: Sequence[str], kept: Sequence[str]) -> DataFrame:
+    """The k nearest of those that a query's cells gave, in the order of :func:`_nearest`."""
+    order = ["d2", "t_id", *train_cols, "t_x", "t_y"]
+    every = F.transform(F.flatten(F.collect_list("nb")), lambda e: F.struct(*(e[c].alias(c) for c in order)))
+    rows = found.groupBy(*keys, "q_id").agg(every.alias("_every"), *(F.first(c).alias(c) for c in kept if c != "q_id"))
+    nb = F.transform(F.slice(F.sort_array("_every"), 1, k), lambda e, i: F.struct(
+        (i + 1).alias("rank"), *(e[c].alias(c) for c in ("t_x", "t_y", "d2", *train_cols))))
+    return rows.select(*keys, *kept, nb.alias("nb"))
 
 
 def _numbers(array: pa.Array) -> np.ndarray:

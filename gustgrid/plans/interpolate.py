@@ -21,10 +21,10 @@ from gustgrid.functions.crs import ByRow, LonLat, Utm
 from gustgrid.functions.geometry import in_box, in_ring, python_bounds
 from gustgrid.functions.times import parse_timestamp
 from gustgrid.functions.wind import dir_from_uv, speed_from_uv, uv_from_speed_dir
-from gustgrid.operators.kriging import Task, gather_neighbors, krige
+from gustgrid.operators.kriging import Task, krige
 from gustgrid.operators.lattice import PROJECTION, append_points, assign_node_id, infer_lattice, output_counts, refine_grid, source_tag
 from gustgrid.operators.metrics import cv_score
-from gustgrid.operators.neighbors import idw_aggregate, idw_of, idw_within, knn_arrays, knn_join, neighbor_counts
+from gustgrid.operators.neighbors import idw_of, idw_within, knn_arrays, neighbor_counts
 from gustgrid.operators.projection import project, unproject
 from gustgrid.operators.region_join import points_in_regions
 from gustgrid.operators.regions import points_near_polygon
@@ -132,12 +132,12 @@ def holdout_metrics(nodes: DataFrame, chosen: DataFrame, keys: Sequence[str], nm
     keys = list(keys)
     obs = [f"obs_{v}" for v in VARS]
     test = nodes.filter("is_test").withColumns({f"obs_{v}": F.col(v) for v in VARS})
-    nb = knn_join(
+    rows = knn_arrays(
         test, nodes.filter("NOT is_test"), nmax, keys, "node_key", "node_key", "x_local", "y_local",
         train_cols=VARS, query_cols=obs, spread="query",
     )
     idw = [f"idw_{v}" for v in VARS]
-    rows = gather_neighbors(nb, keys, VARS, obs, [idw_aggregate(v).alias(f"idw_{v}") for v in VARS])
+    rows = rows.select("*", *(idw_of("nb", v).alias(f"idw_{v}") for v in VARS))
     rows = rows.join(stage(_per_key(chosen, keys, {f"p_{v}": F.col("var") == v for v in VARS}, _model_struct()), "models"), keys)
     rows = rows.withColumns({f"is_idw_{v}": F.col(f"p_{v}.model") == NO_MODEL for v in VARS})
     flags = [f"is_idw_{v}" for v in VARS]
