@@ -56,3 +56,12 @@ def test_counts_of_near_cells_meet(spark):
     levels = neighbors._query_levels(train, train, grid, ["k"], 4, None)
     assert levels.count() == train.select("_fx", "_fy").distinct().count()
     assert "shiftright(_cx" in levels._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bounded_neighbours_are_not_broadcast(spark):
+    """Queries copied to the cells around them outgrow a broadcast, though their file is small."""
+    df = spark.createDataFrame([r for r in rows(300, 5) if r[0] is not None], SCHEMA).coalesce(1)
+    near = neighbors.knn_join(df, df, 5, ["k"], train_cols=["v"], maxdist=2.5, spread="query")
+    plan = near._jdf.queryExecution().executedPlan().toString().splitlines()
+    met = [line for line in plan if "Join" in line and "_cx" in line.split("Join", 1)[1]]
+    assert met and all("SortMergeJoin" in line for line in met)
