@@ -20,8 +20,9 @@ CANDIDATES = 16
 VOTES, STEP_ROOM = 0.9, 1e-3
 # Column with the projection of a key's lattice, where keys have their own.
 PROJECTION = "_projection"
-# Points and keys of one block when a point list meets the hours: a task makes the pairs of a few blocks.
-POINT_BLOCK, BLOCKS_A_TASK = 1000, 8
+# Points and keys of one block when a point list meets the hours: a task makes the pairs of a few blocks. Copies of rows for
+# the block pairs that one task makes, about.
+POINT_BLOCK, BLOCKS_A_TASK, COPIES_A_TASK = 1000, 8, 1_000_000
 
 
 def anchor_offset(df: DataFrame, keys: Sequence[str], x="x", y="y", proj_x="proj_x", proj_y="proj_y") -> DataFrame:
@@ -194,14 +195,20 @@ def append_points(grid: DataFrame, points: DataFrame, lattice: DataFrame, keys:
     of_points, of_keys = (max(1, -(-df.count() // POINT_BLOCK)) for df in (listed, origins))
     tasks = max(int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-of_points * of_keys // BLOCKS_A_TASK))
 
-    def dealt(df, own, blocks, other, copies):
-        block = F.pmod(F.xxhash64(*df.columns), F.lit(blocks)).cast("int").alias(own)
-        return df.select("*", block, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other)).repartition(tasks, "_p", "_k")
-
-    pairs = by_shuffle(dealt(listed, "_p", of_points, "_k", of_keys)).join(dealt(origins, "_k", of_keys, "_p", of_points), ["_p", "_k"])
+    a, b = _copied(listed, "_p", of_points, "_k", of_keys), _copied(origins, "_k", of_keys, "_p", of_points)
+    pairs = by_shuffle(a.repartition(tasks, "_p", "_k")).join(b.repartition(tasks, "_p", "_k"), ["_p", "_k"])
     return _appended(grid, pairs.drop("_p", "_k"), keys, projection)
 
 
+def _copied(df: DataFrame, own: str, blocks: int, other: str, copies: int) -> DataFrame:
+    """Adds the row's block ``own`` and a copy for each block ``other`` of the other list. The copies are as many as the pairs
+    of a block and a row, so many are made by several tasks, however few files the list comes from."""
+    block = F.pmod(F.xxhash64(*df.columns), F.lit(blocks)).cast("int").alias(own)
+    tasks = -(-blocks * POINT_BLOCK * copies // COPIES_A_TASK)
+    rows = df.repartition(tasks) if tasks > 1 else df
+    return rows.select("*", block, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other))
+
+
 def _appended(grid: DataFrame, named: DataFrame, keys: list[str], projection) -> DataFrame:
     named = project(named, projection).select(
         *keys, F.col("name").alias("node_id"),
