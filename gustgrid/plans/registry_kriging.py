@@ -13,7 +13,7 @@ from gustgrid.operators import kriging, neighbors
 from gustgrid.params import InterpolationParams
 from gustgrid.plans import interpolate as interp
 from gustgrid.plans.registry_columns import query
-from gustgrid.plans.registry_fields import rounded
+from gustgrid.plans.registry_fields import FITS as FITTED_SQL, PARAMS, REFINED_SQL, rounded
 
 # Model, nugget, partial sill and range of each solved variable; not fitted, so that one thing is tested at a time.
 FITS = [("u", "Exp", 0.05, 1.2, 14.0), ("u", "Gau", 0.2, 0.9, 9.0), ("u", "Sph", 0.1, 1.0, 25.0),
@@ -145,3 +145,37 @@ def _(t):
     chosen = _chosen(t)
     out = interp.predict_grid(grid, nodes, chosen, chosen, trend, ["pk"], p, ["spacing", "is_orig", "is_test_point"])
     return rounded(out.selectExpr("pk", "node_id AS q_id", "u_rkt", "v_rkt", "nearest_distance_km"), 5)
+
+
+def _whole_job_sql(p: InterpolationParams) -> str:
+    """Targets of the refined lattice by the whole job: split, trends, variograms, fits, cross-validated choice, both predictions."""
+    data = f"""{REFINED_SQL}, data AS (SELECT t.pk, r.node AS id, t.x, t.y, t.topo, t.u, t.v FROM tiles t JOIN refined r ON r.pk = t.pk AND r.x = t.x AND r.y = t.y),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY pk ORDER BY md5(concat('{p.seed}:', CAST(id AS VARCHAR))), id) AS rk, ceil(n * {p.test_pct} / 100e0) AS held
+ FROM (SELECT *, count(*) OVER (PARTITION BY pk) AS n FROM data)),
+sub AS MATERIALIZED (SELECT pk, id, x, y, topo, u, v, CAST((rk - held - 1) % {p.nfold} AS INT) AS fold FROM ranked WHERE rk > held AND rk <= held + ceil((n - held) * {p.subsample_pct} / 100e0))"""
+    # Each kriging step has its own neighbours and systems, so it is a query within the query.
+    scores = f"""scores AS MATERIALIZED (WITH {nearest('sub', 'sub', p.nmax, 'q.fold <> t.fold', ', q.u AS ou')},
+ src AS (SELECT nb.* EXCLUDE (u, v), f.* EXCLUDE (pk), nb.u AS z FROM nb JOIN fits f USING (pk) WHERE f.var = 'u_res'), {kriged('src', p.nmax, 3)}
+ SELECT pk, model, sqrt(avg((ou - pred) ** 2)) / nullif(stddev_samp(ou), 0) AS rsr FROM solved GROUP BY pk, model)"""
+    models = """best AS (SELECT * FROM (SELECT f.*, row_number() OVER (PARTITION BY pk ORDER BY rsr, model) AS place FROM fits f JOIN scores USING (pk, model) WHERE f.var = 'u_res' AND rsr IS NOT NULL) WHERE place = 1),
+first AS (SELECT pk, var[1] AS var, arg_min(model, model) AS model, arg_min(nugget, model) AS nugget, arg_min(psill, model) AS psill, arg_min(range, model) AS range FROM fits WHERE var IN ('u_tres', 'v_tres') GROUP BY pk, var),
+trends AS (SELECT pk, unnest(['u', 'v']) AS var, unnest([regr_intercept(u, topo), regr_intercept(v, topo)]) AS t0, unnest([regr_slope(u, topo), regr_slope(v, topo)]) AS t1 FROM data GROUP BY pk),
+targets AS (SELECT pk, node AS id, x, y FROM refined WHERE NOT is_orig)"""
+    near = f"""near AS MATERIALIZED (WITH {nearest('targets', 'data', p.nmax)} SELECT * FROM nb),
+inverse AS (SELECT pk, id AS q_id, sum(u / w) / sum(1 / w) AS u FROM (SELECT q.pk, q.id, t.u, (q.x - t.x) ** 2 + (q.y - t.y) ** 2 AS w FROM targets q JOIN data t ON q.pk = t.pk WHERE q.pk NOT IN (SELECT pk FROM best)) WHERE w <= {p.cutoff ** 2} GROUP BY ALL)"""
+    main = f"""main AS MATERIALIZED (WITH src AS (SELECT near.* EXCLUDE (u, v), model, nugget, psill, range, near.u AS z FROM near JOIN best USING (pk)), {kriged('src', p.nmax, 3)} SELECT pk, q_id, model, pred FROM solved)"""
+    residual = f"""residual AS MATERIALIZED (WITH r AS (SELECT near.* EXCLUDE (u, v), f.* EXCLUDE (pk), t0, t1, CASE f.var WHEN 'u' THEN near.u ELSE near.v END AS z0,
+  list_sum(list_transform(topo, lambda x, i: x / d2[i])) / list_sum(list_transform(d2, lambda x: 1 / x)) AS here FROM near JOIN first f USING (pk) JOIN trends t ON t.pk = near.pk AND t.var = f.var),
+ src AS (SELECT * EXCLUDE (z0), list_transform(z0, lambda x, i: x - (t0 + t1 * topo[i])) AS z FROM r), {kriged('src', p.nmax, 1)} SELECT pk, q_id, var, t0 + t1 * here + pred AS rkt FROM solved)"""
+    return f"""WITH {data}, {FITTED_SQL.replace('tiles', 'sub')}, {scores}, {models}, {near}, {main}, {residual},
+wide AS (SELECT pk, q_id, max(rkt) FILTER (var = 'u') AS u_rkt, max(rkt) FILTER (var = 'v') AS v_rkt FROM residual GROUP BY pk, q_id)
+SELECT n.pk, CAST(n.q_id AS VARCHAR) AS node_id, round(CASE WHEN m.model IS NULL THEN i.u ELSE m.pred END, 5) + 0e0 AS u, round(u_rkt, 5) + 0e0 AS u_rkt, round(v_rkt, 5) + 0e0 AS v_rkt,
+ round(sqrt(d2[1]), 5) + 0e0 AS nearest_distance_km, CAST(len(list_filter(d2, lambda x: x <= {p.cutoff ** 2})) AS INT) AS neighbors_used, coalesce(m.model, 'IDW') AS vgm_model_u
+FROM near n LEFT JOIN main m USING (pk, q_id) LEFT JOIN inverse i USING (pk, q_id) LEFT JOIN wide w USING (pk, q_id)"""
+
+
+@query("regression_kriging", _whole_job_sql(PARAMS), "tiles")
+def _(t):
+    """The whole job: fitted and cross-validated models, universal and regression kriging from all neighbours."""
+    g = interp.interpolate(t.tiles.select("pk", "x", "y", "topo", "u", "v"), ["pk"], PARAMS).grid.filter("NOT is_orig")
+    return rounded(g.select("pk", "node_id", "u", "u_rkt", "v_rkt", "nearest_distance_km", "neighbors_used", "vgm_model_u"), 5)
